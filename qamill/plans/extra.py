@@ -1,5 +1,9 @@
-"""Registered queries that write and read files (sources, sinks, ingest,
-replay).  Filled in as those operators land.
+"""Registered queries that write and read files: sources and sinks (S1-S3,
+S5, K1-K3, K6), the offline job (X1), the drop-directory ingest as a stream
+(ST1 with S4, S6, S7, V*, K4, K5, K8) and the scored replay (ST2, ST3).
+
+Each call works in a fresh folder under the shared checkpoint folder and
+returns what Spark reads back, so the oracle is the source table itself.
 """
 
 from __future__ import annotations
@@ -7,9 +11,166 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from qamill.operators import clean as C
+from qamill.operators import profile as P
+from qamill.operators import versions as V
+from qamill.plans import catalog as Q
+from qamill.plans import dropgen, jobs
+from qamill.plans import oracle as O
+from qamill.plans import standins as S
+from qamill.session import scratch_dir
+from qamill.sources import io
+from qamill.streaming.ingest import run_ingest_once
+from qamill.streaming.replay import start_replay, word_count_score
+
+DOC_SCHEMA = T.StructType([T.StructField("id", T.LongType())] + list(io.QA_SCHEMA.fields))
+
+
+def q_arrow_scan(spark, sf_dir):
+    """Land qa_docs as Arrow stream shards, scan them back."""
+    root = scratch_dir(spark, "arrow")
+    docs = S.qa_docs(spark, sf_dir).select("id", *C.QA_COLUMNS)
+    io.write_arrow(docs.repartition(4), root, "train").collect()   # one small row per shard
+    return io.read_arrow(spark, root, "train", schema=DOC_SCHEMA)
+
+
+def q_csv_export(spark, sf_dir):
+    """K6: explorer selection exported as CSV and read back."""
+    root = scratch_dir(spark, "csv")
+    f = P.explore(S.qa_clean(spark, sf_dir), Q.EXPLORE_TYPES, Q.EXPLORE_KEYWORD)
+    f = f.select("id", "question_type", "question", "answer")
+    io.write_csv(f, root)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("question_type", T.StringType()),
+                           T.StructField("question", T.StringType()), T.StructField("answer", T.StringType())])
+    return io.read_csv(spark, root, schema)
+
+
+def _offline(spark, sf_dir) -> str:
+    root = scratch_dir(spark, "offline")
+    jobs.offline_prepare(spark, S.qa_docs(spark, sf_dir), root)
+    return root
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    """X1 with K1 + S3: splits written as JSON Lines, read back."""
+    root = _offline(spark, sf_dir)
+    sp = io.read_jsonl(spark, f"{root}/splits", jobs.SPLITS_READ_SCHEMA)
+    return sp.select("id", *C.QA_COLUMNS, "pos", "split", "split_pos")
+
+
+def q_production_files(spark, sf_dir):
+    """X1 with K2: production batches written per batch, read back."""
+    root = _offline(spark, sf_dir)
+    schema = T.StructType(list(jobs.SPLIT_SCHEMA.fields) + [T.StructField("batch", T.IntegerType())])
+    return io.read_jsonl(spark, f"{root}/production", schema).select("id", "batch")
+
+
+def q_offline_metadata(spark, sf_dir):
+    """X1 with K3 + S5: the run document, read back and flattened."""
+    root = _offline(spark, sf_dir)
+    m = io.read_meta(spark, f"{root}/metadata", io.META_OFFLINE)
+    return m.select("source", "initial_records", "final_records",
+                    F.col("split_counts.training").alias("training"),
+                    F.col("split_counts.validation").alias("validation"),
+                    F.col("split_counts.testing").alias("testing"),
+                    *[F.col("dropped")[k].alias(k) for k in P.DROP_KEYS],
+                    "rows_removed")
+
+
+def _ingest(spark, sf_dir) -> str:
+    """Two streaming runs over a growing drop directory: JSONL files and
+    one-line arrays first (v1), pretty-printed arrays later (v2)."""
+    root = scratch_dir(spark, "ingest")
+    docs = S.qa_docs(spark, sf_dir)
+    drop, base, arch, ck = f"{root}/drop", f"{root}/base", f"{root}/archive", f"{root}/_ckpt"
+    dropgen.jsonl_files(spark, docs.where(F.col("id") % 4 < 2), f"{root}/tmp1", drop, "lines")
+    dropgen.array_files(spark, docs.where(F.col("id") % 4 == 2), f"{root}/tmp2", drop, "array")
+    run_ingest_once(spark, drop, base, arch, ck, quarantine_path=f"{root}/quarantine")
+    dropgen.array_files(spark, docs.where(F.col("id") % 4 == 3), f"{root}/tmp3", drop, "pretty",
+                        pretty=True)
+    run_ingest_once(spark, drop, base, arch, ck, quarantine_path=f"{root}/quarantine")
+    return root
+
+
+def q_ingest_records(spark, sf_dir):
+    root = _ingest(spark, sf_dir)
+    return V.read_all(spark, f"{root}/base").select("id", *C.QA_COLUMNS, "version")
+
+
+def q_ingest_versions(spark, sf_dir):
+    root = _ingest(spark, sf_dir)
+    return V.manifest(spark, f"{root}/base").select("version", "record_count")
+
+
+def q_ingest_quarantine(spark, sf_dir):
+    root = _ingest(spark, sf_dir)
+    schema = T.StructType([T.StructField("reason", T.StringType()), T.StructField("raw", T.StringType())])
+    return spark.read.schema(schema).json(f"{root}/quarantine").select("reason", "raw")
+
+
+def q_replay_score(spark, sf_dir):
+    """Production batches replayed as a stream, scored per record."""
+    root = _offline(spark, sf_dir)
+    schema = T.StructType(list(jobs.SPLIT_SCHEMA.fields) + [T.StructField("batch", T.IntegerType())])
+    q = start_replay(spark, f"{root}/production", schema, word_count_score,
+                     f"{root}/replay", f"{root}/_replay_ckpt", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/replay").select("pos", "status", "response", "error")
+
 
-EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "arrow_scan": q_arrow_scan,
+    "csv_export": q_csv_export,
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "production_files": q_production_files,
+    "offline_metadata": q_offline_metadata,
+    "ingest_records": q_ingest_records,
+    "ingest_versions": q_ingest_versions,
+    "ingest_quarantine": q_ingest_quarantine,
+    "replay_score": q_replay_score,
+}
 
 
 def extra_oracle_sql() -> dict[str, str]:
-    return {}
+    docs = f"with {O.QA_DOCS}"
+    valid = (f"question is not null and answer is not null and not {O.blank('question')} "
+             f"and not {O.blank('answer')}")
+    junk = "(id % 4 < 2 and id % 37 = 0)"
+    types_in = O.TYPES_IN
+    kw = O.KW
+    return {
+        "arrow_scan": f"{docs} select id, synonyms, question_type, question, question_focus, answer from qa_docs",
+        "csv_export": f"""with {O.QA_DOCS}, {O.QA_CLEAN}
+select id, question_type, question, answer from qa_clean
+where question_type in ({types_in}) and regexp_matches(question, {kw})""",
+        "jsonl_roundtrip": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
+select id, synonyms, question_type, question, question_focus, answer, pos, split, split_pos from splits""",
+        "production_files": f"with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}, {O.PROD} select id, batch from prod",
+        "offline_metadata": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}, {O.PROFILE},
+c as (select cast(count_if(split = 'training') as bigint) as training,
+             cast(count_if(split = 'validation') as bigint) as validation,
+             cast(count_if(split = 'evaluation') as bigint) as testing,
+             cast(count(*) as bigint) as final_records from splits)
+select 'raw-dataset' as source, initial_records, final_records, training, validation, testing,
+       missing_question, missing_answer, blank_question, blank_answer,
+       cast(missing_question + missing_answer + blank_question + blank_answer as bigint) as total_dropped,
+       rows_removed
+from prof, c""",
+        "ingest_records": f"""{docs}
+select id, synonyms, question_type, question, question_focus, answer,
+       cast(case when id % 4 = 3 then 2 else 1 end as integer) as version
+from qa_docs where {valid} and not {junk}""",
+        "ingest_versions": f"""{docs}
+select cast(case when id % 4 = 3 then 2 else 1 end as integer) as version, cast(count(*) as bigint) as record_count
+from qa_docs where {valid} and not {junk} group by 1""",
+        "ingest_quarantine": f"""{docs}
+select 'invalid_json' as reason, {O.lit(dropgen.JUNK_PREFIX)} || coalesce(question, '') as raw
+from qa_docs where {junk}""",
+        "replay_score": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
+select pos, 'ok' as status, cast(len({O.words('question')}) as varchar) as response,
+       cast(null as varchar) as error
+from splits where split = 'evaluation'""",
+    }

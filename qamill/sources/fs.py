@@ -64,3 +64,26 @@ def list_tree(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .option("pathGlobFilter", glob).load(path)
             .select(F.col("path"), F.col("length")))
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename one file or directory (metadata only)."""
+    fs, sp = _fs(spark, src)
+    _, dp = _fs(spark, dst)
+    fs.mkdirs(dp.getParent())
+    if not fs.rename(sp, dp):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
+def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    """Paths of the data files directly under ``path`` (metadata only);
+    names starting with ``_`` or ``.`` are skipped, as Spark does."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
+            out.append(st.getPath().toString())
+    return sorted(out)
