@@ -87,3 +87,10 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
         if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
             out.append(st.getPath().toString())
     return sorted(out)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library created (e.g. a staging folder)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
