@@ -66,15 +66,25 @@ def quality_profile(df: DataFrame, question: str = "question", answer: str = "an
     return df.agg(*profile_columns(question, answer))
 
 
+def kept(required: Iterable[str] = ("question", "answer")) -> Column:
+    """Predicate of P2 + P3: every required column present and not blank."""
+    cond = F.lit(True)
+    for c in required:
+        cond = cond & F.col(c).isNotNull() & ~is_blank(c)
+    return cond
+
+
+def allowed(column: str = "question_type", allowed_types: Iterable[str] = SAFE_TYPES) -> Column:
+    """Predicate of P4 (null type -> false)."""
+    return F.coalesce(F.lower(F.col(column)).isin(*list(allowed_types)), F.lit(False))
+
+
 def drop_missing_or_blank(df: DataFrame, required: Iterable[str] = ("question", "answer")) -> DataFrame:
     """Drop rows where a required column is null or blank after strip.
 
     The stored text is not trimmed.
     """
-    cond = F.lit(True)
-    for c in required:
-        cond = cond & F.col(c).isNotNull() & ~is_blank(c)
-    return df.where(cond)
+    return df.where(kept(required))
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str] = RETRAIN_DROP) -> DataFrame:

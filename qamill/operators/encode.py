@@ -4,9 +4,16 @@
 The default encoder is a word vocabulary built by Spark: words are counted
 with a partial aggregation, the ``max_vocab`` most frequent (ties by word)
 become ids ``first_id..``; id 0 is unknown and id 1 is end-of-sequence, also
-used as padding (T7).  Encoding slices each prompt to ``max_len`` words
-*before* exploding, joins the vocabulary (broadcast only after its byte size
-was checked), and regroups per row (at most ``max_len`` entries per group).
+used as padding (T7).
+
+Two execution paths give the same arrays:
+
+* ``map`` (default when the vocabulary's measured size fits a broadcast):
+  the vocabulary is broadcast once and every Arrow batch is encoded in
+  ``mapInArrow``: no shuffle at all, one pass over the prompts.
+* ``join`` (fallback for a vocabulary too big to broadcast): slice each
+  prompt to ``max_len`` words, explode, join the vocabulary, regroup per row
+  (a shuffle of ``max_len`` rows per sample).
 
 A pretrained sub-word tokenizer can be plugged in through ``encode_with``:
 it runs in ``mapInPandas`` over Arrow batches.
@@ -65,21 +72,76 @@ def vocab_fits_broadcast(vocab: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -
 
 def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt",
            max_len: int = MAX_LEN, pad_id: int = EOS_ID, unk_id: int = UNK_ID,
-           label_pad: int | None = None, broadcast: bool | None = None,
+           label_pad: int | None = None, method: str = "auto",
            carry: tuple[str, ...] = ()) -> DataFrame:
     """Encode ``text`` to fixed-length ``input_ids``, ``attention_mask``, ``labels``.
 
-    Truncate to ``max_len``, right-pad with ``pad_id``; mask is 1 for words
-    and 0 for padding; labels copy the ids (pads included, as in the
-    reference) unless ``label_pad`` is given (e.g. -100).  ``key`` must be unique.
-    Returns ``key``, the small ``carry`` columns and the three arrays; the
-    text itself is not carried through the regrouping shuffle.
+    Truncate to ``max_len`` words, right-pad with ``pad_id``; mask is 1 for
+    words and 0 for padding; labels copy the ids (pads included, as in the
+    reference) unless ``label_pad`` is given (e.g. -100).  Returns ``key``,
+    the ``carry`` columns and the three arrays.  ``method``: ``auto``,
+    ``map`` or ``join`` (see the module docstring).
     """
+    if method == "auto":
+        method = "map" if vocab_fits_broadcast(vocab) else "join"
+    if method == "map":
+        return _encode_map(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, carry)
+    return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, True, carry)
+
+
+def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
+                unk_id: int, label_pad: int | None, carry: tuple[str, ...]) -> DataFrame:
+    import numpy as np  # noqa: PLC0415
+    import pyarrow as pa  # noqa: PLC0415
+
+    spark = df.sparkSession
+    # Bounded by max_vocab rows and measured by the caller: safe to broadcast.
+    table = {r["word"]: int(r["token_id"]) for r in vocab.select("word", "token_id").collect()}
+    bc = spark.sparkContext.broadcast(table)
+    keys = [key, *carry]
+    src = df.select(*keys, F.col(text).alias("_text"))
+    out_fields = [f for f in src.schema.fields if f.name != "_text"] + list(ENCODED_SCHEMA.fields)
+    out_schema = T.StructType(out_fields)
+    lab_pad = pad_id if label_pad is None else label_pad
+
+    def run(batches):
+        lookup = bc.value
+        for b in batches:
+            texts = b.column("_text").to_pylist()
+            n = len(texts)
+            ids = np.full((n, max_len), pad_id, dtype=np.int32)
+            mask = np.zeros((n, max_len), dtype=np.int32)
+            labels = np.full((n, max_len), lab_pad, dtype=np.int32)
+            for i, t in enumerate(texts):
+                if not t:
+                    continue
+                # str.split(None, k) stops after k words (Python whitespace).
+                ws = t.split(None, max_len)[:max_len]
+                row = [lookup.get(w, unk_id) for w in ws]
+                k = len(row)
+                ids[i, :k] = row
+                mask[i, :k] = 1
+                labels[i, :k] = row
+            offsets = pa.array(np.arange(0, (n + 1) * max_len, max_len, dtype=np.int32))
+
+            def lists(m):
+                return pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1)))
+
+            cols = [b.column(f.name) for f in out_fields[:len(keys)]]
+            yield pa.RecordBatch.from_arrays(
+                cols + [lists(ids), lists(mask), lists(labels if label_pad is not None else ids)],
+                names=[f.name for f in out_fields])
+
+    return src.mapInArrow(run, out_schema)
+
+
+def _encode_join(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
+                 unk_id: int, label_pad: int | None, broadcast: bool,
+                 carry: tuple[str, ...]) -> DataFrame:
+    """Join path of ``encode``; ``key`` must be unique."""
     keys = [key, *carry]
     sliced = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w"))
     exploded = sliced.select(*keys, F.posexplode_outer("_w").alias("_i", "word"))
-    if broadcast is None:
-        broadcast = vocab_fits_broadcast(vocab)
     v = vocab.select("word", "token_id")
     v = F.broadcast(v) if broadcast else v
     looked = exploded.join(v, "word", "left").select(

@@ -48,20 +48,29 @@ def _offsets(counts: DataFrame, part: Sequence[str], bucket: str, n: str) -> Dat
         F.sum(n).over(tot).alias("_total"))
 
 
+def bucket_of(key: str | Column, seed: int | str = DEFAULT_SEED,
+              bucket_digits: int = BUCKET_DIGITS) -> Column:
+    """The rank bucket of a key: the first hex digits of its shuffle key."""
+    return F.conv(F.substring(shuffle_key(key, seed), 1, bucket_digits), 16, 10).cast("int")
+
+
 def hashed_rank(df: DataFrame, key: str, seed: int | str = DEFAULT_SEED, out: str = "pos",
                 partition_by: Sequence[str] = (), total: str | None = "n_total",
-                bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
+                bucket_digits: int = BUCKET_DIGITS, counts: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 0-based position in the order ``(md5(seed|key), key)``.
 
     With ``partition_by`` the positions restart in each group.  ``total`` adds
     the group size (needed by positional splits).  The extra side is
     ``groups x 16**bucket_digits`` rows at most, so it is broadcast.
+    ``counts`` (``partition_by`` + ``_b``, ``_n``) may be given when an
+    earlier pass already counted the rows per bucket (saves a scan).
     """
     part = list(partition_by)
     h = shuffle_key(key, seed)
     keyed = df.withColumn("_h", h).withColumn(
         "_b", F.conv(F.substring("_h", 1, bucket_digits), 16, 10).cast("int"))
-    counts = keyed.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = keyed.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, part, "_b", "_n")
     local = F.row_number().over(Window.partitionBy(*part, "_b").orderBy("_h", key)) - 1
     ranked = (keyed.withColumn("_r", local)
@@ -121,7 +130,8 @@ RETRAIN_FRACTIONS = {"training": 0.8}
 
 def split_positional(df: DataFrame, key: str, fractions: Mapping[str, float] = OFFLINE_FRACTIONS,
                      rest: str = "evaluation", seed: int | str | None = DEFAULT_SEED,
-                     order: Sequence[str] | None = None, out: str = "split") -> DataFrame:
+                     order: Sequence[str] | None = None, out: str = "split",
+                     counts: DataFrame | None = None) -> DataFrame:
     """Seeded shuffle then positional split (R1 + R2), or a split in stored
     order when ``order`` is given (R4).
 
@@ -131,7 +141,7 @@ def split_positional(df: DataFrame, key: str, fractions: Mapping[str, float] = O
     if order is not None:
         ranked = ordered_rank(df, order)
     else:
-        ranked = hashed_rank(df, key, seed)
+        ranked = hashed_rank(df, key, seed, counts=counts)
     pos, n = F.col("pos"), F.col("n_total")
     starts = F.lit(0).cast("bigint")
     start_expr = None

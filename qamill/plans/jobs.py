@@ -17,7 +17,7 @@ from qamill.operators import encode as E
 from qamill.operators import order as O
 from qamill.operators import profile as P
 from qamill.operators import versions as V
-from qamill.sources import io
+from qamill.sources import fs, io
 
 SPLIT_SCHEMA = T.StructType([T.StructField("id", T.LongType())] + list(io.QA_SCHEMA.fields) + [
     T.StructField("pos", T.LongType()), T.StructField("split_pos", T.LongType())])
@@ -46,9 +46,21 @@ def offline_prepare(spark: SparkSession, raw: DataFrame, out: str, key: str = "i
     """
     out = out.rstrip("/")
     raw = C.project(raw, (key,) + C.QA_COLUMNS)
-    prof = C.quality_profile(raw).first()              # A1, A2: one aggregate
-    cleaned = C.clean_allowlist(raw, columns=None)     # P2-P4
-    sp = O.split_positional(cleaned, key, seed=seed)   # R1, R2
+    # One pass over the raw table gives both the quality profile (A1, A2) and
+    # the per-bucket row counts the seeded rank needs (R1): rows that survive
+    # cleaning are grouped by their rank bucket, the others under -1.  At most
+    # 16**4 + 1 small rows, staged in the shared folder and read twice.
+    keep = C.kept() & C.allowed()
+    grp = F.when(keep, O.bucket_of(key, seed)).otherwise(F.lit(-1)).alias("_b")
+    staged = f"{out}/_staging/bucket_profile"
+    raw.groupBy(grp).agg(F.count(F.lit(1)).alias("_n"), *C.profile_columns()[1:]) \
+        .write.mode("overwrite").parquet(staged)
+    bp = spark.read.parquet(staged)
+    prof = bp.agg(F.sum("_n").alias("initial_records"),
+                  *[F.sum(k).alias(k) for k in (*P.DROP_KEYS, "rows_removed")]).first()
+    counts = bp.where(F.col("_b") >= 0).select("_b", "_n")
+    cleaned = raw.where(keep)                          # P2-P4
+    sp = O.split_positional(cleaned, key, seed=seed, counts=counts)   # R1, R2
     obs = Observation("split_counts")
     sp = sp.observe(obs,
                     F.count_if(F.col("split") == "training").alias("training"),
@@ -69,6 +81,7 @@ def offline_prepare(spark: SparkSession, raw: DataFrame, out: str, key: str = "i
                  (int(counts["training"]), int(counts["validation"]), m),
                  dropped, int(prof["rows_removed"]))]
     io.write_meta(spark.createDataFrame(meta_row, io.META_OFFLINE), f"{out}/metadata")
+    fs.remove(spark, f"{out}/_staging")
     return OfflineResult(int(prof["initial_records"]), final,
                          {"training": int(counts["training"]), "validation": int(counts["validation"]),
                           "testing": m}, dropped)

@@ -38,11 +38,12 @@ def qa_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> (id, synonyms, question_type, question, question_focus, answer)."""
     d = table(spark, sf_dir, "documents")
     doc_id, text = F.col("doc_id"), F.col("text")
-    nl = F.lit("\n")
     first_nl = F.instr(text, "\n")
+    # First line: substring_index stops at the first newline (split_part would
+    # split the whole document into an array first).
     question = (F.when(doc_id % 13 == 0, F.lit(None).cast("string"))
                 .when(doc_id % 17 == 0, F.lit("  \t"))
-                .otherwise(F.split_part(text, nl, F.lit(1))))
+                .otherwise(F.substring_index(text, "\n", 1)))
     answer = (F.when(doc_id % 19 == 0, F.lit(None).cast("string"))
               .when(first_nl == 0, F.lit(""))
               .otherwise(F.substr(text, first_nl + 1)))

@@ -1,21 +1,25 @@
 from qamill.operators import encode as E
 
 
-def test_encode_pad_truncate_mask(spark):
+import pytest
+
+
+@pytest.mark.parametrize("method", ["map", "join"])
+def test_encode_pad_truncate_mask(spark, method):
     df = spark.createDataFrame([(1, "a b c"), (2, "a b c d e f"), (3, "a b c d"), (4, "")],
                                "id bigint, prompt string")
     vocab = E.build_vocab(df, "prompt", max_vocab=3)
     v = {r["word"]: r["token_id"] for r in vocab.collect()}
     assert v == {"a": 2, "b": 3, "c": 4}          # by count desc, then word
-    enc = {r["id"]: r for r in E.encode(df, vocab, max_len=4).collect()}
+    enc = {r["id"]: r for r in E.encode(df, vocab, max_len=4, method=method).collect()}
     assert enc[1]["input_ids"] == [2, 3, 4, 1] and enc[1]["attention_mask"] == [1, 1, 1, 0]
     assert enc[2]["input_ids"] == [2, 3, 4, 0] and enc[2]["attention_mask"] == [1, 1, 1, 1]
     assert enc[3]["input_ids"] == [2, 3, 4, 0]
     assert enc[4]["input_ids"] == [1, 1, 1, 1] and enc[4]["attention_mask"] == [0, 0, 0, 0]
     assert all(r["labels"] == r["input_ids"] for r in enc.values())
-    masked = {r["id"]: r for r in E.encode(df, vocab, max_len=4, label_pad=-100).collect()}
+    masked = {r["id"]: r for r in E.encode(df, vocab, max_len=4, label_pad=-100, method=method).collect()}
     assert masked[1]["labels"] == [2, 3, 4, -100]
-    pairs = E.next_token_pairs(E.encode(df, vocab, max_len=4)).where("id = 1").first()
+    pairs = E.next_token_pairs(E.encode(df, vocab, max_len=4, method=method)).where("id = 1").first()
     assert pairs["inputs"] == [2, 3, 4] and pairs["targets"] == [3, 4, 1]
 
 
@@ -29,3 +33,12 @@ def test_encoder_hook(spark):
     df = spark.createDataFrame([(1, "abc")], "id bigint, prompt string")
     r = E.encode_with(df, enc).first()
     assert r["input_ids"] == [3, 3]
+
+
+def test_methods_agree_on_unicode_whitespace(spark):
+    texts = [(1, "x\u2003y\u00a0z  w\x1cq"), (2, " lead  trail\u3000"), (3, None)]
+    df = spark.createDataFrame(texts, "id bigint, prompt string")
+    vocab = E.build_vocab(df, "prompt")
+    a = sorted(E.encode(df, vocab, max_len=3, method="map").collect())
+    b = sorted(E.encode(df, vocab, max_len=3, method="join").collect())
+    assert a == b
