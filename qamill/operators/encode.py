@@ -55,11 +55,20 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
                 first_id: int = FIRST_WORD_ID) -> DataFrame:
     """Top ``max_vocab`` words by count, ties by word: ``(word, n, token_id)``.
 
-    The cap is the feature (a vocabulary size).  ``orderBy().limit()`` is a
-    top-k: each partition keeps its best ``max_vocab`` rows, so the final
-    numbering window sees at most ``max_vocab`` rows.
+    The cap is the feature (a vocabulary size).  Words below the k-th largest
+    count can never enter, so a counts-of-counts histogram (one row per
+    distinct count value) gives that threshold first and only words at or
+    above it reach the top-k (``orderBy().limit()``: each partition keeps its
+    best k, the final merge sees at most k per partition of a small set).
     """
-    top = word_counts(df, text).orderBy(F.desc("n"), F.asc("word")).limit(max_vocab)
+    counts = word_counts(df, text)
+    per_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = per_n.withColumn("cum", F.sum("c").over(w))
+    row = reach.where(F.col("cum") >= max_vocab).agg(F.max("n").alias("t")).first()
+    threshold = row["t"] if row is not None and row["t"] is not None else 0
+    top = (counts.where(F.col("n") >= F.lit(threshold))
+           .orderBy(F.desc("n"), F.asc("word")).limit(max_vocab))
     w = Window.orderBy(F.desc("n"), F.asc("word"))
     return top.withColumn("token_id", (F.row_number().over(w) - 1 + first_id).cast("int"))
 

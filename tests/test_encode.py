@@ -42,3 +42,10 @@ def test_methods_agree_on_unicode_whitespace(spark):
     a = sorted(E.encode(df, vocab, max_len=3, method="map").collect())
     b = sorted(E.encode(df, vocab, max_len=3, method="join").collect())
     assert a == b
+
+
+def test_vocab_threshold_keeps_ties_by_word(spark):
+    df = spark.createDataFrame([(1, "x x x y y z z w w v")], "id bigint, prompt string")
+    got = [(r["word"], r["token_id"]) for r in E.build_vocab(df, "prompt", 2).orderBy("token_id").collect()]
+    assert got == [("x", 2), ("w", 3)]
+    assert E.build_vocab(df, "prompt", 100).count() == 5
