@@ -211,7 +211,9 @@ def history(meta: DataFrame, version: str = "version_tag", records: str = "recor
     missing count -> 0, ISO time parsed (UTC), ``seq`` = order by time with
     missing times last.  The frame has one row per version (small).
     """
-    ts = F.try_to_timestamp(F.col(timestamp)).cast("timestamp_ntz")
+    # ISO text in UTC ("...Z") read as its UTC wall clock, whatever the
+    # session time zone; malformed text -> null.
+    ts = F.col(timestamp).try_cast("timestamp_ntz")
     h = meta.select(F.col(version).alias("version"),
                     F.coalesce(F.col(records).cast("bigint"), F.lit(0).cast("bigint")).alias("records"),
                     ts.alias("timestamp"))

@@ -64,3 +64,16 @@ def test_dropped_rows(spark):
     meta = spark.createDataFrame([(1, 2, 3, 4, 10)], ", ".join(f"{k} bigint" for k in P.DROP_KEYS))
     got = {r["type"]: r["count"] for r in P.dropped_rows(meta).collect()}
     assert got == dict(zip(P.DROP_KEYS, [1, 2, 3, 4, 10]))
+
+
+def test_history_does_not_depend_on_session_time_zone(spark):
+    rows = [("v1", 5, "2024-03-10T10:30:00.250000Z"), ("v2", 1, "2024-01-01T00:00:00Z")]
+    meta = spark.createDataFrame(rows, "version_tag string, record_count bigint, timestamp string")
+    utc = sorted(P.history(meta).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = sorted(P.history(meta).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
+    assert str(utc[0]["timestamp"]) == "2024-03-10 10:30:00.250000"
