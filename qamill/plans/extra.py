@@ -121,6 +121,39 @@ def q_replay_score(spark, sf_dir):
     return spark.read.parquet(f"{root}/replay").select("pos", "status", "response", "error")
 
 
+def _feed(spark, sf_dir) -> str:
+    root = _offline(spark, sf_dir)
+    jobs.training_feed(spark, root, f"{root}/feed", seed=Q.SEED, max_len=Q.SEQ_LEN,
+                       max_vocab=Q.VOCAB_SIZE, batch_size=Q.BATCH_SIZE, workers=Q.WORKERS, epochs=2)
+    return root
+
+
+def q_training_samples(spark, sf_dir):
+    """Offline splits -> instruction prompts -> vocabulary of the training
+    split -> fixed-length arrays, sharded per worker (T1, T3, T6, T7)."""
+    root = _feed(spark, sf_dir)
+    return spark.read.parquet(f"{root}/feed/samples").select(
+        "id", "split", "shard", "input_ids", "attention_mask", "labels")
+
+
+def q_training_batches(spark, sf_dir):
+    """Batch plan, training reshuffled per epoch, validation in order (T5)."""
+    root = _feed(spark, sf_dir)
+    return spark.read.parquet(f"{root}/feed/batches").select(
+        "split", "epoch", "batch_id", "ids", "n_rows")
+
+
+def q_retrain_samples(spark, sf_dir):
+    """Latest ingested version -> stored-order 80/20 -> short prompts ->
+    arrays; the version travels with every row (V3, R4, T2, T3, V8).
+    Rows-only: the stored order depends on drop-file names."""
+    root = _ingest(spark, sf_dir)
+    jobs.retraining_feed(spark, f"{root}/base", f"{root}/feed", seed=Q.SEED, max_len=Q.SEQ_LEN,
+                         max_vocab=Q.VOCAB_SIZE, batch_size=Q.BATCH_SIZE, workers=Q.WORKERS)
+    return spark.read.parquet(f"{root}/feed/samples").select(
+        "id", "split", "shard", "version", "input_ids", "attention_mask", "labels")
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrow_scan": q_arrow_scan,
     "csv_export": q_csv_export,
@@ -131,6 +164,9 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_versions": q_ingest_versions,
     "ingest_quarantine": q_ingest_quarantine,
     "replay_score": q_replay_score,
+    "training_samples": q_training_samples,
+    "training_batches": q_training_batches,
+    "retrain_samples": q_retrain_samples,
 }
 
 
@@ -169,6 +205,27 @@ from qa_docs where {valid} and not {junk} group by 1""",
         "ingest_quarantine": f"""{docs}
 select 'invalid_json' as reason, {O.lit(dropgen.JUNK_PREFIX)} || coalesce(question, '') as raw
 from qa_docs where {junk}""",
+        "training_samples": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS},
+p as (select id, split, split_pos, {O.PROMPT_INSTRUCT} as prompt from splits
+      where split in ('training', 'validation')),
+{O.vocab_sql("p", "split = 'training'")},
+{O.encode_sql("p", ", split, split_pos")}
+select id, split, cast(split_pos % {Q.WORKERS} as integer) as shard, input_ids, attention_mask, labels
+from encoded""",
+        "training_batches": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS},
+ep as (select unnest([0, 1]) as epoch),
+tr as (select e.epoch, s.id,
+              row_number() over (partition by e.epoch
+                                 order by md5('{Q.SEED}|' || e.epoch || '|' || cast(s.id as varchar)), s.id) - 1
+                as bpos
+       from splits s, ep e where s.split = 'training'),
+va as (select id, split_pos as bpos from splits where split = 'validation')
+select 'training' as split, cast(epoch as integer) as epoch, cast(bpos // {Q.BATCH_SIZE} as bigint) as batch_id,
+       list(id order by bpos) as ids, cast(count(*) as integer) as n_rows
+from tr group by epoch, bpos // {Q.BATCH_SIZE}
+union all
+select 'validation', cast(0 as integer), cast(bpos // {Q.BATCH_SIZE} as bigint),
+       list(id order by bpos), cast(count(*) as integer) from va group by bpos // {Q.BATCH_SIZE}""",
         "replay_score": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
 select pos, 'ok' as status, cast(len({O.words('question')}) as varchar) as response,
        cast(null as varchar) as error

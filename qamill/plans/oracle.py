@@ -101,28 +101,40 @@ PROMPT_SHORT = f"{lit(SHORT_HEAD)} || coalesce(question, 'None') || {lit(SHORT_M
 PROMPT_INSTRUCT = (f"{lit(INSTRUCT_HEAD)} || coalesce(question, 'None') || {lit(INSTRUCT_MID)} || "
                    f"coalesce(answer, 'None') || {lit(INSTRUCT_TAIL)}")
 
-VOCAB = f"""p as (select id, {PROMPT_SHORT} as prompt from qa_pairs),
-wc as (select word, count(*) as n from (select unnest({words('prompt')}) as word from p) group by word),
+def vocab_sql(src: str = "p", where: str = "true") -> str:
+    """CTEs ``wc`` and ``vocab`` over the prompts of CTE ``src``."""
+    return f"""wc as (select word, count(*) as n from (select unnest({words('prompt')}) as word from {src}
+                                             where {where}) group by word),
 vocab as (
   select word, cast(n as bigint) as n,
          cast(row_number() over (order by n desc, word) + 1 as integer) as token_id
   from wc qualify row_number() over (order by n desc, word) <= {Q.VOCAB_SIZE})"""
 
-ENCODE = f"""pw as (select id, ({words('prompt')})[1:{Q.SEQ_LEN}] as ws from p),
+
+def encode_sql(src: str = "p", extra: str = "") -> str:
+    """CTE ``encoded``: fixed-length arrays for every prompt of CTE ``src``;
+    ``extra`` = more columns of ``src`` to keep (with a leading comma)."""
+    return f"""pw as (select id{extra}, ({words('prompt')})[1:{Q.SEQ_LEN}] as ws from {src}),
 ex as (select id, unnest(ws) as word, unnest(range(len(ws))) as i from pw),
 ids as (
   select ex.id, list(cast(coalesce(v.token_id, 0) as integer) order by ex.i) as ids
   from ex left join vocab v on v.word = ex.word group by ex.id),
 enc as (
-  select pw.id, coalesce(ids.ids, []) as ids from pw left join ids on ids.id = pw.id),
+  select pw.*, coalesce(ids.ids, []) as ids from pw left join ids on ids.id = pw.id),
 encoded as (
-  select id,
+  select id{extra},
     list_concat(ids, list_transform(range({Q.SEQ_LEN} - len(ids)), lambda x: cast(1 as integer))) as input_ids,
     list_concat(list_transform(range(len(ids)), lambda x: cast(1 as integer)),
                 list_transform(range({Q.SEQ_LEN} - len(ids)), lambda x: cast(0 as integer))) as attention_mask,
     list_concat(ids, list_transform(range({Q.SEQ_LEN} - len(ids)), lambda x: cast(1 as integer))) as labels
   from enc)"""
 
+
+VOCAB = f"""p as (select id, {PROMPT_SHORT} as prompt from qa_pairs),
+{vocab_sql()}"""
+
+ENCODE = encode_sql()
+
 TYPES_IN = ", ".join(lit(t) for t in Q.EXPLORE_TYPES)
 KW = lit("(?i)" + Q.EXPLORE_KEYWORD)
 
