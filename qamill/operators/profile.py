@@ -25,16 +25,11 @@ DROP_KEYS: tuple[str, ...] = (
 
 def with_total(grouped: DataFrame, count_col: str, by: Sequence[str] = (),
                out: str = "_total") -> DataFrame:
-    """Attach the (per-group) sum of ``count_col`` to an aggregated frame.
-
-    The totals side has one row per group of ``by`` (one row without ``by``);
-    it is joined on an equality key and broadcast.
+    """Attach the (per-group) sum of ``count_col`` to an *aggregated* frame
+    (one row per distinct value), with a window over that small frame.
     """
-    keys = list(by) or ["_one"]
-    g = grouped if by else grouped.withColumn("_one", F.lit(1))
-    tot = g.groupBy(*keys).agg(F.sum(count_col).alias(out))
-    res = g.join(F.broadcast(tot), keys)
-    return res if by else res.drop("_one")
+    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    return grouped.withColumn(out, F.sum(count_col).over(w))
 
 
 def distribution(df: DataFrame, column: str = "question_type", include_null: bool = True,
@@ -81,66 +76,44 @@ def _value_histogram(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
             .withColumn("_n", F.sum("_c").over(wn)))
 
 
-def _kth(k: Column, x: str) -> Column:
-    """Aggregate: the k-th smallest value (1-based) from a value histogram."""
-    return F.min(F.when(F.col("_cum") >= k, F.col(x)))
-
-
 def box_stats(df: DataFrame, x: str = "question_length", by: Sequence[str] = (),
               method: str = "linear") -> DataFrame:
     """Box summary: min, quartiles, max, fences, whiskers, outliers.
 
     ``linear`` is the usual type-7 quantile (position ``(n-1)q``);
     ``hazen`` is position ``qn + 0.5`` clamped to ``[1, n]``.  Interpolation:
-    ``lo + (hi - lo) * frac``.
+    ``lo + (hi - lo) * frac``.  Everything is computed on the value histogram
+    (one row per distinct value and group): quartiles and fences as window
+    columns over it, then one aggregate per group.  Whiskers are the extreme
+    values inside the fences; outliers are the rows outside.
     """
+    if method not in ("linear", "hazen"):
+        raise ValueError(method)
     h = _value_histogram(df, x, by)
-    n = F.first("_n")
+    grp = Window.partitionBy(*by) if by else Window.partitionBy()
+    n = F.col("_n").cast("double")
     qs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-
-    def pos0(q: float) -> Column:
-        # 0-based fractional position
-        if method == "linear":
-            return (F.col("_n") - 1).cast("double") * F.lit(q)
-        if method == "hazen":
-            p = F.col("_n").cast("double") * F.lit(q) + F.lit(0.5)
-            return F.least(F.greatest(p, F.lit(1.0)), F.col("_n").cast("double")) - F.lit(1.0)
-        raise ValueError(method)
-
     for name, q in qs.items():
-        h = (h.withColumn(f"_{name}_p", pos0(q))
-             .withColumn(f"_{name}_lo", F.floor(F.col(f"_{name}_p")) + 1)
-             .withColumn(f"_{name}_hi", F.ceil(F.col(f"_{name}_p")) + 1))
-    aggs = [n.alias("n"), F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")]
-    for name in qs:
-        aggs += [_kth(F.col(f"_{name}_lo"), x).cast("double").alias(f"_{name}_xlo"),
-                 _kth(F.col(f"_{name}_hi"), x).cast("double").alias(f"_{name}_xhi"),
-                 F.first(f"_{name}_p").alias(f"_{name}_p")]
-    s = h.groupBy(*by).agg(*aggs)
-    for name in qs:
-        p = F.col(f"_{name}_p")
-        frac = p - F.floor(p)
-        lo, hi = F.col(f"_{name}_xlo"), F.col(f"_{name}_xhi")
-        s = s.withColumn(name, lo + (hi - lo) * frac)
-    s = (s.withColumn("iqr", F.col("q3") - F.col("q1"))
+        if method == "linear":
+            p = (n - 1) * F.lit(q)
+        else:
+            p = F.least(F.greatest(n * F.lit(q) + F.lit(0.5), F.lit(1.0)), n) - F.lit(1.0)
+        lo = F.min(F.when(F.col("_cum") >= F.floor(p) + 1, F.col(x))).over(grp).cast("double")
+        hi = F.min(F.when(F.col("_cum") >= F.ceil(p) + 1, F.col(x))).over(grp).cast("double")
+        h = h.withColumn(name, lo + (hi - lo) * (p - F.floor(p)))
+    h = (h.withColumn("iqr", F.col("q3") - F.col("q1"))
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr"))
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr")))
-    s = s.select(*by, "n", "min", "q1", "median", "q3", "max", "iqr", "lower_fence", "upper_fence")
-    # Whiskers: extreme values inside the fences; outliers: rows outside.
-    # Taken from the value histogram again (its shuffle is reused), not from
-    # a second pass over the rows.
-    keys = list(by) or ["_one"]
-    fences = s.select(*by, "lower_fence", "upper_fence")
-    if not by:
-        h, s, fences = (h.withColumn("_one", F.lit(1)), s.withColumn("_one", F.lit(1)),
-                        fences.withColumn("_one", F.lit(1)))
     inside = (F.col(x) >= F.col("lower_fence")) & (F.col(x) <= F.col("upper_fence"))
-    wh = h.join(F.broadcast(fences), keys).groupBy(*keys).agg(
+    return h.groupBy(*by).agg(
+        F.first("_n").alias("n"),
+        F.min(x).cast("double").alias("min"),
+        *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
+        F.max(x).cast("double").alias("max"),
+        *[F.first(c).alias(c) for c in ("iqr", "lower_fence", "upper_fence")],
         F.min(F.when(inside, F.col(x))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col(x))).cast("double").alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
-    res = s.join(wh, keys)
-    return res if by else res.drop("_one")
 
 
 def histogram(df: DataFrame, x: str = "question_length", max_bins: int = 30,
@@ -150,26 +123,26 @@ def histogram(df: DataFrame, x: str = "question_length", max_bins: int = 30,
     ``width = (max - min) / max_bins``; ``bin = least(max_bins-1, floor((x-min)/width))``;
     all values in one bin when ``max = min``.  Only non-empty bins are returned.
     """
-    keys = list(by) or ["_one"]
     src = df.where(F.col(x).isNotNull())
-    if not by:
-        src = src.withColumn("_one", F.lit(1))
-    rng = src.groupBy(*keys).agg(F.min(x).cast("double").alias("_lo"), F.max(x).cast("double").alias("_hi"))
+    # Histogram of distinct values first (partial aggregation), then bins:
+    # the ranges are windows over that small frame.
+    vals = src.groupBy(*by, x).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    vals = (vals.withColumn("_lo", F.min(x).over(w).cast("double"))
+                .withColumn("_hi", F.max(x).over(w).cast("double")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(max_bins))
     b = (F.when(F.col("_hi") == F.col("_lo"), F.lit(0))
          .otherwise(F.least(F.lit(max_bins - 1),
                             F.floor((F.col(x).cast("double") - F.col("_lo")) / width).cast("int"))))
-    binned = (src.join(F.broadcast(rng), keys)
-              .withColumn("bin", b.cast("int"))
+    binned = (vals.withColumn("bin", b.cast("int"))
               .withColumn("_w", F.when(F.col("_hi") == F.col("_lo"), F.lit(0.0)).otherwise(width)))
-    out = binned.groupBy(*keys, "bin").agg(
-        F.count(F.lit(1)).alias("n"),
+    out = binned.groupBy(*by, "bin").agg(
+        F.sum("_c").cast("bigint").alias("n"),
         F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
-    out = out.select(*by, "bin",
-                     (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_low"),
-                     (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_high"),
-                     "n")
-    return out
+    return out.select(*by, "bin",
+                      (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_low"),
+                      (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_high"),
+                      "n")
 
 
 def explore(df: DataFrame, types: Sequence[str] = (), keyword: str = "",

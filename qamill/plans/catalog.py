@@ -84,8 +84,9 @@ def q_distinct_types(spark, sf_dir):
 
 
 def q_missing_types(spark, sf_dir):
-    pb = q_production_batches(spark, sf_dir).join(
-        S.qa_clean(spark, sf_dir).select("id", "question_type"), "id")
+    """Expected types absent from each production batch (A10 per batch)."""
+    ev = offline_splits(spark, sf_dir).where(F.col("split") == "evaluation")
+    pb = O.chunk(ev, "split_pos", "split_size", 3)
     return P.missing_values(pb, "question_type", by=["batch"])
 
 

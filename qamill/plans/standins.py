@@ -86,13 +86,9 @@ def version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with a ``version`` = day number (1 = first day of the table)."""
     e = table(spark, sf_dir, "events")
     day = F.unix_date(F.to_date("ts"))
-    first = e.agg(F.min(F.unix_date(F.to_date("ts"))).alias("_d0"))
-    # One-row side of an equi-join on a constant key: a broadcast hash join,
-    # never a cartesian product.
-    return (e.withColumn("_k", F.lit(1))
-            .join(F.broadcast(first.withColumn("_k", F.lit(1))), "_k")
-            .withColumn("version", (day - F.col("_d0") + 1).cast("int"))
-            .drop("_k", "_d0"))
+    # The first day is one scalar (a global aggregate), used as a literal.
+    d0 = e.agg(F.min(day).alias("d0")).first()["d0"]
+    return e.withColumn("version", (day - F.lit(d0 if d0 is not None else 0) + 1).cast("int"))
 
 
 def version_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
