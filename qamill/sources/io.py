@@ -57,18 +57,25 @@ def read_meta(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def land_raw(spark: SparkSession, src: str, dest: str, fmt: str = "parquet",
-             options: dict[str, str] | None = None, schema: T.StructType | None = None) -> DataFrame:
+             options: dict[str, str] | None = None, schema: T.StructType | None = None,
+             add_id: str | None = "id", split: str | None = "train") -> DataFrame:
     """Land the raw corpus once as a Parquet snapshot so later stages never
     touch the origin (S1).  ``fmt`` is any Spark source; ``arrow`` means a
-    directory of Arrow stream shards (S2).
+    saved dataset of Arrow stream shards, split ``split`` (S2).
+
+    ``add_id`` adds a unique row id when the source has none: assigned while
+    landing, so it is fixed in the snapshot from then on (the seeded shuffle
+    needs a unique key).
     """
     if fmt == "arrow":
-        df = read_arrow(spark, src, schema=schema)
+        df = read_arrow(spark, src, split=split, schema=schema)
     else:
         r = spark.read.format(fmt).options(**(options or {}))
         if schema is not None:
             r = r.schema(schema)
         df = r.load(src)
+    if add_id and add_id not in df.columns:
+        df = df.withColumn(add_id, F.monotonically_increasing_id())
     df.write.mode("errorifexists").parquet(dest)
     return spark.read.parquet(dest)
 

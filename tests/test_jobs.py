@@ -75,3 +75,16 @@ def test_replay_scores_in_order(spark, tmpdir_shared):
     assert [r["pos"] for r in rows] == list(range(6))
     assert [r["status"] for r in rows] == ["ok"] * 5 + ["error"]
     assert rows[2]["response"] == "3" and rows[5]["error"].startswith("ValueError")
+
+
+def test_cli_land_and_offline(spark, tmpdir_shared):
+    from qamill.plans import cli
+
+    src = f"{tmpdir_shared}/raw"
+    standins.qa_docs(spark, SF).drop("id").write.json(src)
+    cli.main(["land", "--src", src, "--format", "json", "--dest", f"{tmpdir_shared}/snap"])
+    snap = spark.read.parquet(f"{tmpdir_shared}/snap")
+    assert snap.select("id").distinct().count() == snap.count() == 200
+    cli.main(["offline", "--raw", f"{tmpdir_shared}/snap", "--out", f"{tmpdir_shared}/out"])
+    meta = io.read_meta(spark, f"{tmpdir_shared}/out/metadata", io.META_OFFLINE).first()
+    assert meta["initial_records"] == 200
