@@ -52,7 +52,7 @@ def word_counts(df: DataFrame, text: str = "prompt") -> DataFrame:
 
 
 def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
-                first_id: int = FIRST_WORD_ID) -> DataFrame:
+                first_id: int = FIRST_WORD_ID, staging: str | None = None) -> DataFrame:
     """Top ``max_vocab`` words by count, ties by word: ``(word, n, token_id)``.
 
     The cap is the feature (a vocabulary size).  Words below the k-th largest
@@ -62,6 +62,10 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
     best k, the final merge sees at most k per partition of a small set).
     """
     counts = word_counts(df, text)
+    if staging:
+        # The word counts feed two jobs (threshold, top-k): write them once.
+        counts.write.mode("overwrite").parquet(staging)
+        counts = df.sparkSession.read.parquet(staging)
     per_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
     w = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = per_n.withColumn("cum", F.sum("c").over(w))

@@ -103,12 +103,18 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     Output: ``vocab/``, ``samples/split=/shard=/`` (Parquet), ``batches/``.
     """
     out = out.rstrip("/")
+    stage = f"{out}/_staging"
     lit_cols = [F.lit(v).alias(k) for k, v in (extra or {}).items()]
     both = (train.select(key, "split_pos", "question", "answer", F.lit("training").alias("split"))
             .unionByName(val.select(key, "split_pos", "question", "answer",
                                     F.lit("validation").alias("split"))))
     prompts = both.select(key, "split", "split_pos", prompt("question", "answer", style).alias("prompt"))
-    vocab = E.build_vocab(prompts.where(F.col("split") == "training"), "prompt", max_vocab)
+    # Key table (small columns only) for the batch plans: written once instead
+    # of re-reading the text inputs for every epoch.
+    prompts.select(key, "split", "split_pos").write.mode("overwrite").parquet(f"{stage}/keys")
+    keys = spark.read.parquet(f"{stage}/keys")
+    vocab = E.build_vocab(prompts.where(F.col("split") == "training"), "prompt", max_vocab,
+                          staging=f"{stage}/word_counts")
     vocab.write.mode("errorifexists").parquet(f"{out}/vocab")
     vocab = spark.read.parquet(f"{out}/vocab")
     enc = E.encode(prompts, vocab, key, "prompt", max_len, label_pad=label_pad,
@@ -116,17 +122,19 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     samples = O.shard(enc, "split_pos", workers).select("*", *lit_cols)
     samples.write.mode("errorifexists").partitionBy("split", "shard").parquet(f"{out}/samples")
     parts = []
-    tr_ids = train.select(key)
+    tr_ids = keys.where(F.col("split") == "training").select(key)
     for e in range(epochs):
         parts.append(O.batches(tr_ids, key, batch_size, epoch=e, shuffle=True, seed=seed)
                      .withColumn("split", F.lit("training")))
-    parts.append(O.batches(val.select(key, "split_pos"), key, batch_size, shuffle=False, pos="split_pos")
+    parts.append(O.batches(keys.where(F.col("split") == "validation").select(key, "split_pos"), key,
+                           batch_size, shuffle=False, pos="split_pos")
                  .withColumn("split", F.lit("validation")))
     plan = parts[0]
     for p in parts[1:]:
         plan = plan.unionByName(p)
     plan.select("*", *lit_cols).write.mode("errorifexists").partitionBy("split", "epoch").parquet(
         f"{out}/batches")
+    fs.remove(spark, stage)
 
 
 def training_feed(spark: SparkSession, offline_out: str, out: str, **kw) -> None:
@@ -158,14 +166,20 @@ def report(spark: SparkSession, offline_out: str, out: str, base: str | None = N
     meta = io.read_meta(spark, f"{offline_out}/metadata", io.META_OFFLINE)
     meta.select(F.explode("dropped").alias("type", "count")).write.parquet(f"{out}/dropped")       # A4
     splits = io.read_jsonl(spark, f"{offline_out}/splits", SPLITS_READ_SCHEMA)
-    splits = P.with_word_count(splits)
-    P.distribution(splits, "question_type", by=["split"]).write.parquet(f"{out}/types")            # A5
-    P.box_stats(splits, "question_length", by=["split"]).write.parquet(f"{out}/length_box")        # A8
-    P.histogram(splits, "question_length", 30, by=["split"]).write.parquet(f"{out}/length_hist")   # A9
-    P.explore_counts(splits, types, keyword).write.parquet(f"{out}/explore_counts")                # A12
+    # One read of the JSON text: the columns every statistic needs are staged
+    # as Parquet (no answer text), the CSV export reads the JSON once more.
+    stage = f"{out}/_staging/splits"
+    (P.with_word_count(splits).select("id", "split", "question_type", "question", "question_length")
+     .write.mode("overwrite").parquet(stage))
+    st = spark.read.parquet(stage)
+    P.distribution(st, "question_type", by=["split"]).write.parquet(f"{out}/types")                # A5
+    P.box_stats(st, "question_length", by=["split"]).write.parquet(f"{out}/length_box")            # A8
+    P.histogram(st, "question_length", 30, by=["split"]).write.parquet(f"{out}/length_hist")       # A9
+    P.explore_counts(st, types, keyword).write.parquet(f"{out}/explore_counts")                    # A12
+    O.sample_n(P.explore(st, types, keyword), "id", 10, seed).write.parquet(f"{out}/explore_sample")  # R5
     filtered = P.explore(splits, types, keyword)                                                   # P6 P7
-    O.sample_n(filtered, "id", 10, seed).write.parquet(f"{out}/explore_sample")                     # R5
     io.write_csv(filtered.select("id", *C.QA_COLUMNS, "split"), f"{out}/explore_csv")              # K6
+    fs.remove(spark, f"{out}/_staging")
     if base:
         man = V.manifest(spark, base)
         P.history(man.select("version_tag", "record_count", "timestamp")).write.parquet(
