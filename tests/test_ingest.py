@@ -118,3 +118,11 @@ def test_version_order_is_numeric(spark, tmpdir_shared):
     assert [r["version"] for r in V.versions(spark, base).collect()] == list(range(1, 12))
     df, v = V.read_version(spark, base)
     assert v == 11 and df.first()["question"] == "q11"
+
+
+def test_subfolders_are_not_scanned(spark, tmpdir_shared):
+    drop = f"{tmpdir_shared}/drop"
+    _write(drop, {"top.json": '[{"question":"a","answer":"b"}]'})
+    _write(f"{drop}/sub", {"inner.json": '[{"question":"c","answer":"d"}]'})
+    names = [r["path"].rsplit("/", 1)[-1] for r in dropdir.list_files(spark, drop).collect()]
+    assert names == ["top.json"]
