@@ -108,6 +108,9 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
     import pyarrow as pa  # noqa: PLC0415
 
     spark = df.sparkSession
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(spark)
     # Bounded by max_vocab rows and measured by the caller: safe to broadcast.
     table = {r["word"]: int(r["token_id"]) for r in vocab.select("word", "token_id").collect()}
     bc = spark.sparkContext.broadcast(table)
@@ -189,6 +192,9 @@ def encode_with(df: DataFrame, encoder: Callable[[pd.Series], pd.DataFrame],
 
     Use it for a sub-word tokenizer; the rest of the feed is unchanged.
     """
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(df.sparkSession)
     out_schema = T.StructType(list(df.schema.fields) + list(ENCODED_SCHEMA.fields))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -79,3 +79,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def ensure_utc(spark: SparkSession) -> None:
     """Timestamps are written and parsed as UTC text."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``qamill`` importable on executors (like ``--py-files``), once per
+    application.  Needed where Python runs in tasks (Arrow/pandas batches)
+    and the task code refers to functions of this package.
+    """
+    import zipfile  # noqa: PLC0415
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_dir(spark, "pyfiles").replace("file:", "")
+    os.makedirs(target, exist_ok=True)
+    zpath = os.path.join(target, "qamill.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -88,6 +88,9 @@ def read_arrow(spark: SparkSession, path: str, split: str | None = "train",
     by the task that owns it and streamed batch by batch through
     ``mapInArrow`` (one shard = one task, never one whole file in a row).
     """
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(spark)
     root = path.rstrip("/") + (f"/{split}" if split else "")
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", "true").load(root).select("path"))
@@ -136,6 +139,9 @@ def write_arrow(df: DataFrame, path: str, split: str = "train") -> DataFrame:
     ``path/split`` (the layout S2 reads).  Lazy: returns ``(path, rows)`` per
     shard, and the files are written when that small frame is computed.
     """
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(df.sparkSession)
     root = path.rstrip("/") + f"/{split}"
     from pyspark.sql.pandas.types import to_arrow_schema  # noqa: PLC0415
 

@@ -37,6 +37,9 @@ def payloads(df: DataFrame, question: str = "question", pos: str = "pos") -> Dat
 
 def score(df: DataFrame, score_fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """Apply ``score_fn`` to payloads; per-record errors become rows (ST3)."""
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -29,3 +29,14 @@ def test_arrow_roundtrip(spark, tmpdir_shared):
                                         T.StructField("question", T.StringType())])
     assert sorted(back.collect()) == sorted(df.collect())
     assert back.rdd.getNumPartitions() == len(shards)
+
+
+def test_list_tree_lists_without_reading(spark, tmpdir_shared):
+    from qamill.sources import fs
+
+    df = spark.createDataFrame([(i, f"q{i}") for i in range(20)], "id bigint, question string")
+    io.write_jsonl(df.repartition(3), f"{tmpdir_shared}/pub", partition_by=())
+    listing = fs.list_tree(spark, f"{tmpdir_shared}/pub", "*.json").collect()
+    assert len(listing) == 3 and all(r["length"] > 0 for r in listing)
+    assert sum(os.path.getsize(r["path"].replace("file:", "")) for r in listing) == \
+        sum(r["length"] for r in listing)
