@@ -96,8 +96,9 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_dir(spark, "pyfiles").replace("file:", "")
-    os.makedirs(target, exist_ok=True)
+    # Code, not data: the archive is built by the driver process, moved to
+    # the shared folder and handed to every executor (as ``--py-files`` does).
+    target = tempfile.mkdtemp(prefix="qamill-pyfiles-")
     zpath = os.path.join(target, "qamill.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg_dir):
@@ -105,5 +106,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+    # Publish it in the shared folder and register it from there.
+    shared = f"{scratch_dir(spark, 'pyfiles')}/qamill.zip"
+    jvm = sc._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(shared)
+    dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(
+        True, True, jvm.org.apache.hadoop.fs.Path(zpath), dst)
+    sc.addPyFile(shared)
     _SHIPPED.add(app)
