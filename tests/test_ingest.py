@@ -126,3 +126,26 @@ def test_subfolders_are_not_scanned(spark, tmpdir_shared):
     _write(f"{drop}/sub", {"inner.json": '[{"question":"c","answer":"d"}]'})
     names = [r["path"].rsplit("/", 1)[-1] for r in dropdir.list_files(spark, drop).collect()]
     assert names == ["top.json"]
+
+
+def test_replayed_batch_is_not_committed_twice(spark, tmpdir_shared):
+    drop, base, arch = f"{tmpdir_shared}/drop", f"{tmpdir_shared}/base", f"{tmpdir_shared}/archive"
+    _write(drop, {"a.json": '[{"question":"q","answer":"a"}]'})
+    lst = dropdir.list_files(spark, drop)
+    paths = [r["path"] for r in lst.collect()]
+    r1 = V.ingest_paths(spark, paths, base, arch, batch_id=7, listing=lst)
+    assert r1.version == 1
+    # the stream restarts and replays micro-batch 7 with the same file list
+    r2 = V.ingest_paths(spark, paths, base, arch, batch_id=7)
+    assert r2.version is None and V.next_version(spark, base) == 2
+
+
+def test_single_object_option(spark, tmpdir_shared):
+    drop, base, arch = f"{tmpdir_shared}/drop", f"{tmpdir_shared}/base", f"{tmpdir_shared}/archive"
+    _write(drop, {"one.json": '{"question":"q1","answer":"a1"}\n',
+                  "pretty.json": '{\n "question": "q2",\n "answer": "a2"\n}\n'})
+    r = V.ingest_dir(spark, drop, base, arch, single_object="ingest")
+    assert r.version == 1 and r.record_count == 2
+    df, _ = V.read_version(spark, base)
+    assert sorted(x["question"] for x in df.collect()) == ["q1", "q2"]
+    assert os.listdir(drop) == []
