@@ -181,7 +181,10 @@ def report(spark: SparkSession, offline_out: str, out: str, base: str | None = N
     io.write_csv(filtered.select("id", *C.QA_COLUMNS, "split"), f"{out}/explore_csv")              # K6
     fs.remove(spark, f"{out}/_staging")
     if base:
-        man = V.manifest(spark, base)
+        if fs.exists(spark, f"{base.rstrip('/')}/_manifest"):
+            man = V.manifest(spark, base)
+        else:                       # folders v<N>/metadata.json written by another tool
+            man = V.metadata_documents(spark, base)
         P.history(man.select("version_tag", "record_count", "timestamp")).write.parquet(
             f"{out}/history")                                                                       # A11
         try:

@@ -77,3 +77,26 @@ def test_history_does_not_depend_on_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
     assert str(utc[0]["timestamp"]) == "2024-03-10 10:30:00.250000"
+
+
+def test_history_from_metadata_folders(spark, tmpdir_shared):
+    import json
+    import os
+
+    from qamill.operators.versions import metadata_documents
+
+    docs = {"v1": {"version": "v1", "timestamp": "2024-01-02T00:00:00.000001Z", "record_count": 4,
+                   "archived_files": ["a.json"]},
+            "v10": {"version": "v10", "timestamp": "2024-01-03T00:00:00Z", "archived_files": []},
+            "v2": {"version": "v2", "timestamp": "2024-01-01T12:00:00Z", "record_count": 2,
+                   "archived_files": []},
+            "vtmp": {"version": "vtmp", "timestamp": "2024-01-05T00:00:00Z", "record_count": 9}}
+    for d, doc in docs.items():
+        os.makedirs(f"{tmpdir_shared}/{d}")
+        with open(f"{tmpdir_shared}/{d}/metadata.json", "w") as f:
+            json.dump(doc, f, indent=2)
+    os.makedirs(f"{tmpdir_shared}/v3")          # a version without metadata
+    meta = metadata_documents(spark, tmpdir_shared)
+    assert sorted(r["version"] for r in meta.collect()) == [1, 2, 10]
+    h = P.history(meta).orderBy("seq").collect()
+    assert [(r["version"], r["records"]) for r in h] == [("v2", 2), ("v1", 4), ("v10", 0)]
