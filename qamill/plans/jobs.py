@@ -148,7 +148,10 @@ def retraining_feed(spark: SparkSession, base: str, out: str, **kw) -> int:
     encode -> shards, batches.  The version is carried in every row (V8).
     Returns the version used.
     """
-    data, version = V.read_version(spark, base, "latest")
+    if fs.exists(spark, f"{base.rstrip('/')}/_manifest"):
+        data, version = V.read_version(spark, base, "latest")
+    else:                           # version_tracker.txt + v<N>/retraining_data.json
+        data, version = V.read_tracked_version(spark, base)
     data = data.withColumn("id", F.concat_ws("|", "source_file", "source_line", "source_elem"))
     sp = O.split_positional(data, "id", fractions=O.RETRAIN_FRACTIONS, rest="validation",
                             order=["source_file", "source_line", "source_elem"])

@@ -88,3 +88,19 @@ def test_cli_land_and_offline(spark, tmpdir_shared):
     cli.main(["offline", "--raw", f"{tmpdir_shared}/snap", "--out", f"{tmpdir_shared}/out"])
     meta = io.read_meta(spark, f"{tmpdir_shared}/out/metadata", io.META_OFFLINE).first()
     assert meta["initial_records"] == 200
+
+
+def test_retraining_feed_on_tracked_folders(spark, tmpdir_shared):
+    base = f"{tmpdir_shared}/transformed"
+    os.makedirs(f"{base}/v2")
+    os.makedirs(f"{base}/v1")
+    with open(f"{base}/version_tracker.txt", "w") as f:
+        f.write("2")
+    with open(f"{base}/v2/retraining_data.json", "w") as f:
+        f.write("\n".join('{"question":"q%d","answer":"a%d","question_type":"causes"}' % (i, i)
+                          for i in range(5)) + "\n")
+    v = jobs.retraining_feed(spark, base, f"{tmpdir_shared}/feed", max_len=8, epochs=1)
+    s = spark.read.parquet(f"{tmpdir_shared}/feed/samples")
+    assert v == 2 and s.count() == 5
+    assert {r["split"]: r["count"] for r in s.groupBy("split").count().collect()} == {
+        "training": 4, "validation": 1}
