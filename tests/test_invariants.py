@@ -56,3 +56,19 @@ def test_blank_and_words_match_python(spark, texts):
         t = texts[r["i"]]
         assert r["b"] == (t.strip() == "")
         assert r["w"] == len(t.split())
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT), min_size=1, max_size=30))
+def test_encoder_matches_python_split(spark, texts):
+    from qamill.operators import encode as E
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, prompt string")
+    vocab = E.build_vocab(df, "prompt", max_vocab=3)
+    table = {r["word"]: r["token_id"] for r in vocab.collect()}
+    got = {r["id"]: r for r in E.encode(df, vocab, max_len=5, method="map").collect()}
+    for i, t in enumerate(texts):
+        ws = (t or "").split()[:5]
+        ids = [table.get(w, 0) for w in ws]
+        assert got[i]["input_ids"] == ids + [1] * (5 - len(ids))
+        assert got[i]["attention_mask"] == [1] * len(ids) + [0] * (5 - len(ids))
