@@ -64,8 +64,8 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
     counts = word_counts(df, text)
     if staging:
         # The word counts feed two jobs (threshold, top-k): write them once.
-        counts.write.mode("overwrite").parquet(staging)
-        counts = df.sparkSession.read.parquet(staging)
+        counts.write.mode("overwrite").parquet(f"{staging}/word_counts")
+        counts = df.sparkSession.read.parquet(f"{staging}/word_counts")
     per_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
     w = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = per_n.withColumn("cum", F.sum("c").over(w))
@@ -74,7 +74,12 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
     top = (counts.where(F.col("n") >= F.lit(threshold))
            .orderBy(F.desc("n"), F.asc("word")).limit(max_vocab))
     w = Window.orderBy(F.desc("n"), F.asc("word"))
-    return top.withColumn("token_id", (F.row_number().over(w) - 1 + first_id).cast("int"))
+    vocab = top.withColumn("token_id", (F.row_number().over(w) - 1 + first_id).cast("int"))
+    if staging:
+        # Size check, broadcast and lookups all read the same small table.
+        vocab.write.mode("overwrite").parquet(f"{staging}/vocab")
+        vocab = df.sparkSession.read.parquet(f"{staging}/vocab")
+    return vocab
 
 
 def vocab_fits_broadcast(vocab: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:

@@ -163,8 +163,11 @@ def q_vocabulary(spark, sf_dir):
 
 
 def q_encode_fixed(spark, sf_dir):
+    from qamill.session import scratch_dir  # noqa: PLC0415
+
     p = _pairs_prompt(spark, sf_dir, "short")
-    return E.encode(p, E.build_vocab(p, "prompt", VOCAB_SIZE), "id", "prompt", SEQ_LEN)
+    vocab = E.build_vocab(p, "prompt", VOCAB_SIZE, staging=scratch_dir(spark, "vocab"))
+    return E.encode(p, vocab, "id", "prompt", SEQ_LEN)
 
 
 def q_next_token_pairs(spark, sf_dir):

@@ -114,7 +114,7 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     prompts.select(key, "split", "split_pos").write.mode("overwrite").parquet(f"{stage}/keys")
     keys = spark.read.parquet(f"{stage}/keys")
     vocab = E.build_vocab(prompts.where(F.col("split") == "training"), "prompt", max_vocab,
-                          staging=f"{stage}/word_counts")
+                          staging=f"{stage}/vocab")
     vocab.write.mode("errorifexists").parquet(f"{out}/vocab")
     vocab = spark.read.parquet(f"{out}/vocab")
     enc = E.encode(prompts, vocab, key, "prompt", max_len, label_pad=label_pad,
