@@ -108,7 +108,7 @@ def read_arrow(spark: SparkSession, path: str, split: str | None = "train",
 
         for b in batches:
             for p in b.column("path").to_pylist():
-                fs, inner = pafs.FileSystem.from_uri(p)
+                fs, inner = _fs_for(p)
                 with fs.open_input_stream(inner) as f:
                     reader = ipc.open_stream(f)
                     for rb in reader:
@@ -118,6 +118,20 @@ def read_arrow(spark: SparkSession, path: str, split: str | None = "train",
     return listing.mapInArrow(read, schema)
 
 
+def _fs_for(path: str):
+    """pyarrow file system + inner path for a Spark-listed path (a URI whose
+    name may hold characters that need quoting, e.g. spaces)."""
+    import urllib.parse  # noqa: PLC0415
+
+    import pyarrow.fs as pafs  # noqa: PLC0415
+
+    try:
+        return pafs.FileSystem.from_uri(path)
+    except (ValueError, OSError):
+        fs, inner = pafs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/"))
+        return fs, urllib.parse.unquote(inner)
+
+
 def _arrow_schema(spark: SparkSession, listing: DataFrame) -> T.StructType:
     """Schema of the first shard (reads only its stream header)."""
     import pyarrow.fs as pafs  # noqa: PLC0415
@@ -126,7 +140,7 @@ def _arrow_schema(spark: SparkSession, listing: DataFrame) -> T.StructType:
     first = listing.orderBy("path").first()
     if first is None:
         raise FileNotFoundError("no arrow shards")
-    fs, inner = pafs.FileSystem.from_uri(first["path"])
+    fs, inner = _fs_for(first["path"])
     with fs.open_input_stream(inner) as f:
         arrow_schema = ipc.open_stream(f).schema
     from pyspark.sql.pandas.types import from_arrow_schema  # noqa: PLC0415
@@ -159,8 +173,8 @@ def write_arrow(df: DataFrame, path: str, split: str = "train") -> DataFrame:
         # moved into place, so a retried task replaces, never duplicates.
         final = f"{root}/data-{ctx.partitionId():05d}.arrow"
         tmp = f"{root}/_tmp/data-{ctx.partitionId():05d}-{ctx.attemptNumber()}-{uuid.uuid4().hex[:6]}.arrow"
-        fs, inner_tmp = pafs.FileSystem.from_uri(tmp)
-        _, inner_final = pafs.FileSystem.from_uri(final)
+        fs, inner_tmp = _fs_for(tmp)
+        _, inner_final = _fs_for(final)
         fs.create_dir(inner_tmp.rsplit("/", 1)[0], recursive=True)
         rows = 0
         with fs.open_output_stream(inner_tmp) as out, ipc.new_stream(out, arrow_schema) as w:

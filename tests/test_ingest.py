@@ -149,3 +149,16 @@ def test_single_object_option(spark, tmpdir_shared):
     df, _ = V.read_version(spark, base)
     assert sorted(x["question"] for x in df.collect()) == ["q1", "q2"]
     assert os.listdir(drop) == []
+
+
+def test_file_names_with_space_percent_plus_and_accents(spark, tmpdir_shared):
+    drop, base, arch = f"{tmpdir_shared}/drop", f"{tmpdir_shared}/base", f"{tmpdir_shared}/archive"
+    _write(drop, {"with space.json": '[{"question":"a","answer":"b"}]\n',
+                  "é%x+y.json": '{"question":"c","answer":"d"}\n{"question":"e","answer":"f"}\n',
+                  "pretty  one.json": '[\n {"question":"g","answer":"h"}\n]\n'})
+    r = V.ingest_dir(spark, drop, base, arch)
+    assert r.version == 1 and r.record_count == 4
+    assert {x["name"]: x["records"] for x in r.files} == {
+        "with space.json": 1, "é%x+y.json": 2, "pretty  one.json": 1}
+    assert os.listdir(drop) == []
+    assert sorted(os.listdir(f"{arch}/v1")) == sorted(["with space.json", "é%x+y.json", "pretty  one.json"])

@@ -40,3 +40,11 @@ def test_list_tree_lists_without_reading(spark, tmpdir_shared):
     assert len(listing) == 3 and all(r["length"] > 0 for r in listing)
     assert sum(os.path.getsize(r["path"].replace("file:", "")) for r in listing) == \
         sum(r["length"] for r in listing)
+
+
+def test_arrow_scan_path_with_space(spark, tmpdir_shared):
+    df = spark.createDataFrame([(i, f"q{i}") for i in range(10)], "id bigint, question string")
+    root = f"{tmpdir_shared}/my data"
+    io.write_arrow(df.repartition(2), root, "train").collect()
+    back = io.read_arrow(spark, root, "train")
+    assert sorted(back.collect()) == sorted(df.collect())
