@@ -100,11 +100,16 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt
     the ``carry`` columns and the three arrays.  ``method``: ``auto``,
     ``map`` or ``join`` (see the module docstring).
     """
+    fits = vocab_fits_broadcast(vocab)
     if method == "auto":
-        method = "map" if vocab_fits_broadcast(vocab) else "join"
+        method = "map" if fits else "join"
     if method == "map":
+        if not fits:
+            raise ValueError("vocabulary too large to broadcast; use method='join'")
         return _encode_map(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, carry)
-    return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, True, carry)
+    # Join path: a broadcast hash join only when the measured size allows it,
+    # a shuffled join otherwise.
+    return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, fits, carry)
 
 
 def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
