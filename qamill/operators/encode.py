@@ -91,7 +91,7 @@ def vocab_fits_broadcast(vocab: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -
 def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt",
            max_len: int = MAX_LEN, pad_id: int = EOS_ID, unk_id: int = UNK_ID,
            label_pad: int | None = None, method: str = "auto",
-           carry: tuple[str, ...] = ()) -> DataFrame:
+           carry: tuple[str, ...] = (), broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Encode ``text`` to fixed-length ``input_ids``, ``attention_mask``, ``labels``.
 
     Truncate to ``max_len`` words, right-pad with ``pad_id``; mask is 1 for
@@ -100,7 +100,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt
     the ``carry`` columns and the three arrays.  ``method``: ``auto``,
     ``map`` or ``join`` (see the module docstring).
     """
-    fits = vocab_fits_broadcast(vocab)
+    fits = vocab_fits_broadcast(vocab, broadcast_limit)
     if method == "auto":
         method = "map" if fits else "join"
     if method == "map":

@@ -49,3 +49,15 @@ def test_vocab_threshold_keeps_ties_by_word(spark):
     got = [(r["word"], r["token_id"]) for r in E.build_vocab(df, "prompt", 2).orderBy("token_id").collect()]
     assert got == [("x", 2), ("w", 3)]
     assert E.build_vocab(df, "prompt", 100).count() == 5
+
+
+def test_vocab_too_big_falls_back_to_shuffled_join(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "c d")], "id bigint, prompt string")
+    vocab = E.build_vocab(df, "prompt")
+    enc = E.encode(df, vocab, max_len=3, broadcast_limit=1)
+    plan = enc._jdf.queryExecution().executedPlan().toString()
+    # no broadcast of the whole vocabulary to Python; the join strategy is
+    # left to Spark's own size estimates
+    assert "MapInArrow" not in plan and "Generate" in plan
+    ref = E.encode(df, vocab, max_len=3, method="map")
+    assert sorted(enc.collect()) == sorted(ref.collect())
