@@ -63,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             conf = None
     if conf:
         sc.setCheckpointDir(conf)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="qamill-ckpt-", dir="/tmp"))
     else:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
