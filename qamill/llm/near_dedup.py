@@ -11,9 +11,13 @@ per member are looked at.
 Bands of ROWS registers propose candidates, a likelihood estimate over the
 registers of both sketches (Jaccard given the two set sizes) drops hopeless
 ones, and the rest are verified on their full sets.  Within a band value all
-documents are compared with one leader first; pairs are only formed between
-documents of a band value that are still in different components after that,
+documents are compared with one leader first (another one for each band value),
 so a large group of copies costs a row per copy and band, not its square.
+Documents of a band value that are still in different components after that
+are compared pair by pair if they are few (SMALL); those of larger band values
+go through an exact set-similarity join (rarest shingles first; prefix, length
+and positional filters), in which documents that merely share much text with
+many others meet hardly anyone.
 
 With threshold 0.75, 40 bands of 5 registers miss a pair at the threshold with
 probability 2e-5, and at 0.8 with 1e-7.
@@ -32,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from qamill.llm import hashing as H
 from qamill.llm.tables import components, staged
@@ -44,6 +49,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 THRESHOLD = (75, 100)
 #: Candidates whose likelihood at the threshold is e**-LOG_RATIO of the best are dropped.
 LOG_RATIO = 25.0
+#: Documents left in one band value that are compared pair by pair.
+SMALL = 16
 
 
 def sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -138,23 +145,61 @@ def _hopeful() -> Column:
     return hopeful
 
 
+def _sets(spark: SparkSession, docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
+    """class, members of the classes needed, from their documents' texts."""
+    needed = classes.select("class", "set_key", "doc_id").join(needed, "class")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").alias("d").join(
+        needed.select(F.col("doc_id").alias("needed_id")).distinct(), F.expr("d.doc_id <=> needed_id"), "left_semi")
+    return staged(spark, _shingle_sets(texts).join(needed.select("set_key", "class"), "set_key")
+                  .dropDuplicates(["class"]).select("class", "members"), "sets")
+
+
+def _reach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those whose sets reach the threshold: 100 i >= 75 (na + nb - i)."""
+    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("ma")), "a").join(
+        sets.select(F.col("class").alias("b"), F.col("members").alias("mb")), "b")
+    return both.where(F.size(F.array_intersect("ma", "mb")) * (THRESHOLD[1] + THRESHOLD[0])
+                      >= (F.size("ma") + F.size("mb")) * THRESHOLD[0]).select("a", "b")
+
+
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs (a, b) of class ids, those whose full sets reach the threshold."""
     side = lambda c: classes.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
         F.least("na", "nb") * THRESHOLD[1] >= F.greatest("na", "nb") * THRESHOLD[0])
-    hopeful = staged(spark, sized.where(_hopeful()("sa", "sb", "na", "nb")).select("a", "b", "na", "nb"), "candidates")
+    hopeful = staged(spark, sized.where(_hopeful()("sa", "sb", "na", "nb")).select("a", "b"), "candidates")
     needed = hopeful.select(F.col("a").alias("class")).union(hopeful.select(F.col("b").alias("class"))).distinct()
-    needed = classes.select("class", "set_key", "doc_id").join(needed, "class")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").alias("d").join(
-        needed.select(F.col("doc_id").alias("needed_id")).distinct(), F.expr("d.doc_id <=> needed_id"), "left_semi")
-    sets = staged(spark, _shingle_sets(texts).join(needed.select("set_key", "class"), "set_key")
-                  .dropDuplicates(["class"]).select("class", "members"), "sets")
-    both = hopeful.join(sets.select(F.col("class").alias("a"), F.col("members").alias("ma")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("members").alias("mb")), "b")
-    common = F.size(F.array_intersect("ma", "mb"))
-    # 100 * i >= 75 * (na + nb - i)
-    return both.where(common * (THRESHOLD[1] + THRESHOLD[0]) >= (F.col("na") + F.col("nb")) * THRESHOLD[0]).select("a", "b")
+    return _reach(hopeful, _sets(spark, docs, classes, needed))
+
+
+def similar_sets(spark: SparkSession, sets: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different labels among sets (class, label, members) that reach the threshold, exactly.
+
+    Members are ordered by how many sets hold them, rarest first; two similar
+    sets share one of their first n - ceil(0.75 n) + 1.  A member's place in
+    both bounds what can still be common.  Of the sets that hold a member,
+    those of the commonest label are looked up, never looking: every pair of
+    different labels has a set that isn't of it.
+    """
+    part, whole = THRESHOLD
+    n = F.size("members")
+    each = sets.select("class", "label", n.alias("n"), F.explode("members").alias("member"))
+    count = each.groupBy("member").agg(F.count(F.lit(1)).alias("held"))
+    place = F.row_number().over(W.partitionBy("class").orderBy("held", "member"))
+    ranked = each.join(count, "member").withColumn("place", place).where(
+        (F.col("held") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1))
+    ranked = staged(spark, ranked.select("class", "label", "n", "member", "place"), "prefixes")
+    common = ranked.groupBy("member", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("member").agg(
+        F.max_by("label", F.struct("k", "label")).alias("common"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    looking = ranked.join(common, "member").where("label <> common").select(
+        "member", *[F.col(c).alias(f"{c}a") for c in ("class", "label", "n", "place")])
+    found = ranked.select("member", *[F.col(c).alias(f"{c}b") for c in ("class", "label", "n", "place")])
+    left = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb")) + 1
+    pairs = looking.join(found, (looking["member"] == found["member"]) & (F.col("labela") != F.col("labelb"))
+                         & (F.least("na", "nb") * whole >= F.greatest("na", "nb") * part)
+                         & (left * (part + whole) >= (F.col("na") + F.col("nb")) * part))
+    pairs = pairs.select(F.least("classa", "classb").alias("a"), F.greatest("classa", "classb").alias("b")).distinct()
+    return _reach(staged(spark, pairs, "candidates"), sets.select("class", "members"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -167,20 +212,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         i, F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
     banded = classes.select("class", F.explode(band).alias("bucket"))
-    leaders = banded.groupBy("bucket").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader < last")
-    members = staged(spark, banded.join(leaders.select("bucket", "leader"), "bucket"), "buckets")
-    stars = members.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
+    leaders = banded.groupBy("bucket").agg(
+        F.min(F.col("class").bitwiseXOR(F.col("bucket"))).alias("x"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    leaders = leaders.select("bucket", F.col("x").bitwiseXOR(F.col("bucket")).alias("leader"))
+    members = staged(spark, banded.join(leaders, "bucket"), "buckets")
+    stars = members.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
     links = staged(spark, verified(spark, docs, classes, stars), "links")
     labels = staged(spark, components(spark, links), "labels")
-    # What the leaders left apart: pairs over component limits inside a band value.
-    placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "bucket", "class", "leader", F.coalesce("label", "class").alias("label"))
+    # What the leaders left apart: members of a band value in different components.
+    placed = members.where("class <> leader").join(labels.withColumnRenamed("node", "class"), "class", "left").select(
+        "bucket", "class", F.coalesce("label", "class").alias("label"))
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("k")).where(
-        "x < y and k > 2").select("bucket")
-    apart = staged(spark, placed.join(mixed, "bucket").where("class <> leader"), "apart")
-    rest = apart.select("bucket", F.col("class").alias("a"), F.col("label").alias("la")).join(
-        apart.select("bucket", F.col("class").alias("b"), F.col("label").alias("lb")), "bucket").where("a < b and la <> lb").select("a", "b").distinct()
-    more = staged(spark, verified(spark, docs, classes, rest), "links")
+        "x < y").select("bucket", "k")
+    apart = staged(spark, placed.join(mixed, "bucket"), "apart")
+    few, many = apart.where(F.col("k") <= SMALL), apart.where(F.col("k") > SMALL).select("class", "label").distinct()
+    pairs = few.select("bucket", F.col("class").alias("a"), F.col("label").alias("la")).join(
+        few.select("bucket", F.col("class").alias("b"), F.col("label").alias("lb")), "bucket").where("a < b and la <> lb").select("a", "b").distinct()
+    more = staged(spark, verified(spark, docs, classes, pairs), "links")
+    if not many.isEmpty():
+        many = staged(spark, many.join(_sets(spark, docs, classes, many.select("class")), "class"), "sets")
+        more = staged(spark, more.union(similar_sets(spark, many)), "links")
     if not more.isEmpty():
         labels = staged(spark, components(spark, links.union(more)), "labels")
     named = sketched.join(
