@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qamill.llm import decontaminate, near_dedup, passages, pieces, secret_scan, token_store, warc
+from qamill.llm import chat, decontaminate, near_dedup, passages, pieces, quality, secret_scan, token_store, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": near_dedup.op1_minhash_near_dedup,
     "op2_warc_transactions": warc.op2_warc_transactions,
     "op3_token_efficiency_secrets": secret_scan.op3_token_efficiency_secrets,
     "op5_suffix_array_pieces": pieces.op5_suffix_array_pieces,
+    "op6_risk_controlled_quality": quality.op6_risk_controlled_quality,
     "op7_compact_window_passages": passages.op7_compact_window_passages,
+    "op8_typed_chat_format": chat.op8_typed_chat_format,
     "op9_winnowing_decontamination": decontaminate.op9_winnowing_decontamination,
     "op10_context_mixing_ids": token_store.op10_context_mixing_ids,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc_transactions": warc.ORACLE,
+    "op6_risk_controlled_quality": quality.ORACLE,
+    "op8_typed_chat_format": chat.ORACLE,
     "op9_winnowing_decontamination": decontaminate.ORACLE,
 }
