@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qamill.llm import chat, decontaminate, near_dedup, passages, pieces, quality, secret_scan, token_store, warc
+from qamill.llm import chat, decontaminate, line_dedup, near_dedup, passages, pieces, quality, secret_scan, token_store, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": near_dedup.op1_minhash_near_dedup,
     "op2_warc_transactions": warc.op2_warc_transactions,
     "op3_token_efficiency_secrets": secret_scan.op3_token_efficiency_secrets,
+    "op4_line_set_join": line_dedup.op4_line_set_join,
     "op5_suffix_array_pieces": pieces.op5_suffix_array_pieces,
     "op6_risk_controlled_quality": quality.op6_risk_controlled_quality,
     "op7_compact_window_passages": passages.op7_compact_window_passages,
