@@ -147,11 +147,12 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with the removed lines taken out of text (other columns as they are)."""
     gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id")).agg(F.collect_set("line_no").alias("removed_lines"))
-    out = docs.join(staged(spark, gone, "removed"), F.col("doc_id") == F.col("removed_id"), "left")
-    kept = let(F.split(F.col("text").cast("string"), "\n"), lambda x: F.transform(F.array_except(
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("id"))
+    out = rows.join(staged(spark, gone, "removed"), F.col("id") == F.col("removed_id"), "left")
+    kept = let(F.split(F.col("whole.text").cast("string"), "\n"), lambda x: F.transform(F.array_except(
         F.sequence(F.lit(0), F.size(x) - 1), F.col("removed_lines")), lambda i: F.get(x, i)))
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col("removed_lines").isNull(), F.col("whole.text")).otherwise(F.array_join(kept, "\n"))
+    return out.select(*[(text if c == "text" else F.col("whole")[c]).alias(c) for c in docs.columns])
 
 
 def op4_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
