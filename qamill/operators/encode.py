@@ -182,16 +182,16 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
 def _encode_join(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
                  unk_id: int, label_pad: int | None, broadcast: bool,
                  carry: tuple[str, ...]) -> DataFrame:
-    """Join path of ``encode``; ``key`` must be unique."""
+    """Join path of ``encode``: words are gathered by a row number, so rows may share a key."""
     keys = [key, *carry]
-    sliced = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w"))
-    exploded = sliced.select(*keys, F.posexplode_outer("_w").alias("_i", "word"))
+    sliced = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w")).withColumn("_row", F.monotonically_increasing_id())
+    exploded = sliced.select("_row", *keys, F.posexplode_outer("_w").alias("_i", "word"))
     v = vocab.select("word", "token_id")
     v = F.broadcast(v) if broadcast else v
     looked = exploded.join(v, "word", "left").select(
-        *keys, "_i", F.when(F.col("word").isNull(), F.lit(None).cast("int"))
+        "_row", *keys, "_i", F.when(F.col("word").isNull(), F.lit(None).cast("int"))
         .otherwise(F.coalesce(F.col("token_id"), F.lit(unk_id))).alias("_t"))
-    grouped = looked.groupBy(*keys).agg(
+    grouped = looked.groupBy("_row", *keys).agg(
         F.sort_array(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct("_i", "_t")))).alias("_s"))
     ids = F.transform("_s", lambda s: s["_t"])
     n = F.size("_s")

@@ -73,7 +73,6 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--score", required=True, help="module:function, pandas Series -> Series")
-    p.add_argument("--interval", default="5 seconds")
     p.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
 
@@ -114,7 +113,7 @@ def main(argv: list[str] | None = None) -> None:
 
         schema = T.StructType(list(QA_SCHEMA.fields) + [T.StructField("pos", T.LongType())])
         q = start_replay(spark, a.src, schema, _score_fn(a.score), a.out, a.checkpoint,
-                         interval=a.interval, available_now=a.available_now)
+                         available_now=a.available_now)
         q.awaitTermination()
 
 

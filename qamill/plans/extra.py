@@ -22,7 +22,7 @@ from qamill.plans import dropgen, jobs
 from qamill.plans import oracle as O
 from qamill.plans import standins as S
 from qamill.session import scratch_dir
-from qamill.sources import io
+from qamill.sources import fs, io
 from qamill.streaming.ingest import run_ingest_once
 from qamill.streaming.replay import start_replay, word_count_score
 
@@ -145,8 +145,8 @@ def q_training_batches(spark, sf_dir):
 
 def q_retrain_samples(spark, sf_dir):
     """Latest ingested version -> stored-order 80/20 -> short prompts ->
-    arrays; the version travels with every row (V3, R4, T2, T3, V8).
-    Rows-only: the stored order depends on drop-file names."""
+    arrays; the version and the data's own id travel with every row (V3, R4,
+    T2, T3, V8).  Version 2 has files of one id range each, named in order."""
     root = _ingest(spark, sf_dir)
     jobs.retraining_feed(spark, f"{root}/base", f"{root}/feed", seed=Q.SEED, max_len=Q.SEQ_LEN,
                          max_vocab=Q.VOCAB_SIZE, batch_size=Q.BATCH_SIZE, workers=Q.WORKERS)
@@ -154,6 +154,63 @@ def q_retrain_samples(spark, sf_dir):
         "id", "split", "shard", "version", "input_ids", "attention_mask", "labels")
 
 
+def q_offline_string_key(spark, sf_dir):
+    """X1 with a text key: the splits keep the key's name and type."""
+    root = scratch_dir(spark, "offline")
+    docs = S.qa_docs(spark, sf_dir).withColumn("key", F.concat(F.lit("doc-"), F.col("id").cast("string"))).drop("id")
+    jobs.offline_prepare(spark, docs, root, key="key")
+    parts = [jobs.read_split(spark, root, s).withColumn("split", F.lit(s)) for s in ("training", "validation", "evaluation")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("key", "question_type", "split").withColumn(
+        "n", F.lit(1)).groupBy("key", "question_type").agg(F.sum("n").alias("n"))
+
+
+def q_ingest_same_name(spark, sf_dir):
+    """ST1, V1, K8: one file name dropped twice gives two versions, and both files stay in the archive."""
+    root = scratch_dir(spark, "ingest")
+    docs = S.qa_docs(spark, sf_dir)
+    for part in (0, 1):
+        dropgen.array_files(spark, docs.where(F.col("id") % 2 == part), f"{root}/tmp{part}", f"{root}/drop", "day", group_size=500)
+        run_ingest_once(spark, f"{root}/drop", f"{root}/base", f"{root}/archive", f"{root}/_ckpt")
+    return V.read_all(spark, f"{root}/base").select("id", "version")
+
+
+def q_archive_listing(spark, sf_dir):
+    """K7, K8: what the archive holds after two ingest runs, by version and kind of file."""
+    root = _ingest(spark, sf_dir)
+    name = F.element_at(F.split("path", "/"), -1)
+    return fs.list_tree(spark, f"{root}/archive").select(
+        F.regexp_extract("path", r"/(v[0-9]+)/[^/]*$", 1).alias("version_tag"), F.substring_index(name, "-", 1).alias("kind")).where(
+        "kind <> 'lines'").groupBy("version_tag", "kind").agg(F.count(F.lit(1)).alias("files"))
+
+
+def q_ingest_mixed_types(spark, sf_dir):
+    """Questions that are text, numbers, blank, null or missing, in one version."""
+    root = scratch_dir(spark, "ingest")
+    q = F.expr("""case id % 5 when 0 then cast(id as string) when 1 then '""' when 2 then 'null'
+                  when 3 then to_json(named_struct('q', concat('q', id))) else concat('"q', id, '"') end""")
+    line = F.concat(F.lit('{"id":'), F.col("id"), F.lit(',"answer":"a","question":'), q, F.lit("}"))
+    S.qa_docs(spark, sf_dir).select(line.alias("value")).write.text(f"{root}/tmp")
+    dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp", ".txt"), f"{root}/drop", "mixed")
+    V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
+    return V.read_all(spark, f"{root}/base").select("id", "question")
+
+
+BIG_COPIES = 60
+
+
+def q_ingest_big_array(spark, sf_dir):
+    """One JSON array on one line, too large for a single parsed value (150 MB at sf0.01)."""
+    root = scratch_dir(spark, "ingest")
+    docs = S.qa_docs(spark, sf_dir).withColumn("answer", F.coalesce("answer", "question")).select(
+        "id", "answer", F.explode(F.sequence(F.lit(1), F.lit(BIG_COPIES))).alias("copy"))
+    docs = docs.select("id", "copy", F.lit("q").alias("question"), "answer")
+    items = F.array_join(F.collect_list(F.to_json(F.struct(*docs.columns))), ",")
+    docs.agg(F.concat(F.lit("["), items, F.lit("]")).alias("value")).write.text(f"{root}/tmp")
+    dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp", ".txt"), f"{root}/drop", "big")
+    V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
+    return V.read_all(spark, f"{root}/base").groupBy("copy").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("answer")).alias("chars"))
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrow_scan": q_arrow_scan,
     "csv_export": q_csv_export,
@@ -167,6 +224,11 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "training_samples": q_training_samples,
     "training_batches": q_training_batches,
     "retrain_samples": q_retrain_samples,
+    "offline_string_key": q_offline_string_key,
+    "ingest_same_name": q_ingest_same_name,
+    "archive_listing": q_archive_listing,
+    "ingest_mixed_types": q_ingest_mixed_types,
+    "ingest_big_array": q_ingest_big_array,
 }
 
 
@@ -226,6 +288,31 @@ from tr group by epoch, bpos // {Q.BATCH_SIZE}
 union all
 select 'validation', cast(0 as integer), cast(bpos // {Q.BATCH_SIZE} as bigint),
        list(id order by bpos), cast(count(*) as integer) from va group by bpos // {Q.BATCH_SIZE}""",
+        "retrain_samples": f"""{docs},
+st as (select id, question, answer, row_number() over (order by cast(id // 500 as varchar), id) - 1 as pos
+       from qa_docs where {valid} and id % 4 = 3),
+sz as (select cast(floor(count(*) * 0.8) as bigint) as n from st),
+p as (select id, case when pos < n then 'training' else 'validation' end as split,
+             case when pos < n then pos else pos - n end as split_pos, {O.PROMPT_SHORT} as prompt from st, sz),
+{O.vocab_sql("p", "split = 'training'")},
+{O.encode_sql("p", ", split, split_pos")}
+select id, split, cast(split_pos % {Q.WORKERS} as integer) as shard, cast(2 as integer) as version,
+       input_ids, attention_mask, labels from encoded""",
+        "offline_string_key": f"""with {O.QA_DOCS}, {O.QA_CLEAN}
+select 'doc-' || cast(id as varchar) as key, question_type, cast(1 as bigint) as n from qa_clean""",
+        "ingest_same_name": f"""{docs}
+select id, cast(id % 2 + 1 as integer) as version from qa_docs where {valid}""",
+        "archive_listing": f"""{docs}
+select case when id % 4 = 3 then 'v2' else 'v1' end as version_tag, case when id % 4 = 3 then 'pretty' else 'array' end as kind,
+       count(distinct id // 500) as files from qa_docs where id % 4 >= 2 group by 1, 2""",
+        "ingest_mixed_types": f"""{docs}
+select id, case id % 5 when 0 then cast(id as varchar) when 3 then '{{"q":"q' || id || '"}}' else 'q' || id end as question
+from qa_docs where id % 5 not in (1, 2)""",
+        "ingest_big_array": f"""{docs},
+a as (select coalesce(answer, question) as answer from qa_docs)
+select cast(c as bigint) as copy, count(*) as n, cast(sum(length(answer)) as bigint) as chars
+from a, (select unnest(range(1, {BIG_COPIES + 1})) as c)
+where answer is not null and not {O.blank('answer')} group by c""",
         "replay_score": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
 select pos, 'ok' as status, cast(len({O.words('question')}) as varchar) as response,
        cast(null as varchar) as error

@@ -5,9 +5,10 @@ cluster with object-store URIs (K7: write straight to the target URI).
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,21 @@ SPLIT_SCHEMA = T.StructType([T.StructField("id", T.LongType())] + list(io.QA_SCH
 SPLITS_READ_SCHEMA = T.StructType(list(SPLIT_SCHEMA.fields) + [T.StructField("split", T.StringType())])
 
 
+def split_schema(spark: SparkSession, out: str) -> T.StructType:
+    """Schema of the splits under ``out``: the key's name and type are those of the raw table."""
+    path = f"{out.rstrip('/')}/schema"
+    if not fs.exists(spark, path):
+        return SPLIT_SCHEMA
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()["value"]))
+
+
+def _read_part(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One split; an empty one has no folder."""
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return io.read_jsonl(spark, path, schema)
+
+
 # --------------------------------------------------------------------- X1 --
 
 @dataclass
@@ -56,39 +72,37 @@ def offline_prepare(spark: SparkSession, raw: DataFrame, out: str, key: str = "i
     raw.groupBy(grp).agg(F.count(F.lit(1)).alias("_n"), *C.profile_columns()[1:]) \
         .write.mode("overwrite").parquet(staged)
     bp = spark.read.parquet(staged)
-    prof = bp.agg(F.sum("_n").alias("initial_records"),
-                  *[F.sum(k).alias(k) for k in (*P.DROP_KEYS, "rows_removed")]).first()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    prof = bp.agg(total("_n").alias("initial_records"), total(F.when(F.col("_b") >= 0, F.col("_n"))).alias("kept"),
+                  *[total(k).alias(k) for k in (*P.DROP_KEYS, "rows_removed")]).first()
     counts = bp.where(F.col("_b") >= 0).select("_b", "_n")
     cleaned = raw.where(keep)                          # P2-P4
     sp = O.split_positional(cleaned, key, seed=seed, counts=counts)   # R1, R2
-    obs = Observation("split_counts")
-    sp = sp.observe(obs,
-                    F.count_if(F.col("split") == "training").alias("training"),
-                    F.count_if(F.col("split") == "validation").alias("validation"),
-                    F.count_if(F.col("split") == "evaluation").alias("evaluation"))
-    io.write_jsonl(sp.select(key, *C.QA_COLUMNS, "pos", "split_pos", "split"),
-                   f"{out}/splits", partition_by=["split"])
-    counts = obs.get
-    m = int(counts["evaluation"])
+    chosen = sp.select(key, *C.QA_COLUMNS, "pos", "split_pos", "split")
+    io.write_jsonl(chosen, f"{out}/splits", partition_by=["split"])
+    schema = T.StructType(chosen.schema.fields[:-1])
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(f"{out}/schema")
+    # The sizes follow from the number of rows kept.
+    final = int(prof["kept"])
+    training, validation = int(final * O.OFFLINE_FRACTIONS["training"]), int(final * O.OFFLINE_FRACTIONS["validation"])
+    m = final - training - validation
     # K2 reads the evaluation partition back (partition pruning) instead of
     # recomputing the shuffle.
-    ev = io.read_jsonl(spark, f"{out}/splits/split=evaluation", SPLIT_SCHEMA)
+    ev = _read_part(spark, f"{out}/splits/split=evaluation", schema)
     ev = ev.withColumn("batch", O.chunk_column(F.col("split_pos"), F.lit(m), num_batches))
     io.write_jsonl(ev, f"{out}/production", partition_by=["batch"])
-    final = int(counts["training"] + counts["validation"] + counts["evaluation"])
     dropped = {k: int(prof[k]) for k in P.DROP_KEYS}
     meta_row = [(source, int(prof["initial_records"]), final,
-                 (int(counts["training"]), int(counts["validation"]), m),
+                 (training, validation, m),
                  dropped, int(prof["rows_removed"]))]
     io.write_meta(spark.createDataFrame(meta_row, io.META_OFFLINE), f"{out}/metadata")
     fs.remove(spark, f"{out}/_staging")
     return OfflineResult(int(prof["initial_records"]), final,
-                         {"training": int(counts["training"]), "validation": int(counts["validation"]),
-                          "testing": m}, dropped)
+                         {"training": training, "validation": validation, "testing": m}, dropped)
 
 
 def read_split(spark: SparkSession, out: str, split: str) -> DataFrame:
-    return io.read_jsonl(spark, f"{out.rstrip('/')}/splits/split={split}", SPLIT_SCHEMA)
+    return _read_part(spark, f"{out.rstrip('/')}/splits/split={split}", split_schema(spark, out))
 
 
 # ----------------------------------------------------------------- X3, X4 --
@@ -96,7 +110,7 @@ def read_split(spark: SparkSession, out: str, split: str) -> DataFrame:
 def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: str = "id",
          style: str = "instruct", max_len: int = E.MAX_LEN, max_vocab: int = E.MAX_VOCAB,
          batch_size: int = 8, epochs: int = 2, workers: int = 2, seed: int = O.DEFAULT_SEED,
-         label_pad: int | None = None, extra: dict[str, object] | None = None) -> None:
+         label_pad: int | None = None, extra: dict[str, object] | None = None, carry: tuple[str, ...] = ()) -> None:
     """Encode once, write samples sharded per worker, and batch plans per epoch.
 
     ``train``/``val`` need ``key``, ``question``, ``answer`` and ``split_pos``.
@@ -105,10 +119,10 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     out = out.rstrip("/")
     stage = f"{out}/_staging"
     lit_cols = [F.lit(v).alias(k) for k, v in (extra or {}).items()]
-    both = (train.select(key, "split_pos", "question", "answer", F.lit("training").alias("split"))
-            .unionByName(val.select(key, "split_pos", "question", "answer",
+    both = (train.select(key, *carry, "split_pos", "question", "answer", F.lit("training").alias("split"))
+            .unionByName(val.select(key, *carry, "split_pos", "question", "answer",
                                     F.lit("validation").alias("split"))))
-    prompts = both.select(key, "split", "split_pos", prompt("question", "answer", style).alias("prompt"))
+    prompts = both.select(key, *carry, "split", "split_pos", prompt("question", "answer", style).alias("prompt"))
     # Key table (small columns only) for the batch plans: written once instead
     # of re-reading the text inputs for every epoch.
     prompts.select(key, "split", "split_pos").write.mode("overwrite").parquet(f"{stage}/keys")
@@ -118,7 +132,7 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     vocab.write.mode("errorifexists").parquet(f"{out}/vocab")
     vocab = spark.read.parquet(f"{out}/vocab")
     enc = E.encode(prompts, vocab, key, "prompt", max_len, label_pad=label_pad,
-                   carry=("split", "split_pos"))
+                   carry=(*carry, "split", "split_pos"))
     samples = O.shard(enc, "split_pos", workers).select("*", *lit_cols)
     samples.write.mode("errorifexists").partitionBy("split", "shard").parquet(f"{out}/samples")
     parts = []
@@ -152,11 +166,13 @@ def retraining_feed(spark: SparkSession, base: str, out: str, **kw) -> int:
         data, version = V.read_version(spark, base, "latest")
     else:                           # version_tracker.txt + v<N>/retraining_data.json
         data, version = V.read_tracked_version(spark, base)
-    data = data.withColumn("id", F.concat_ws("|", "source_file", "source_line", "source_elem"))
-    sp = O.split_positional(data, "id", fractions=O.RETRAIN_FRACTIONS, rest="validation",
+    # Each record is named by its place in the drop files; the data's own id goes along.
+    data = data.withColumn("record_id", F.concat_ws("|", "source_file", "source_line", "source_elem"))
+    sp = O.split_positional(data, "record_id", fractions=O.RETRAIN_FRACTIONS, rest="validation",
                             order=["source_file", "source_line", "source_elem"])
     feed(spark, sp.where(F.col("split") == "training"), sp.where(F.col("split") == "validation"),
-         out, style="short", extra={"version": version}, **kw)
+         out, key="record_id", carry=tuple(c for c in ("id",) if c in data.columns),
+         style="short", extra={"version": version}, **kw)
     return version
 
 
@@ -168,20 +184,22 @@ def report(spark: SparkSession, offline_out: str, out: str, base: str | None = N
     offline_out, out = offline_out.rstrip("/"), out.rstrip("/")
     meta = io.read_meta(spark, f"{offline_out}/metadata", io.META_OFFLINE)
     meta.select(F.explode("dropped").alias("type", "count")).write.parquet(f"{out}/dropped")       # A4
-    splits = io.read_jsonl(spark, f"{offline_out}/splits", SPLITS_READ_SCHEMA)
+    schema = split_schema(spark, offline_out)
+    key = schema.fields[0].name
+    splits = io.read_jsonl(spark, f"{offline_out}/splits", T.StructType([*schema.fields, T.StructField("split", T.StringType())]))
     # One read of the JSON text: the columns every statistic needs are staged
     # as Parquet (no answer text), the CSV export reads the JSON once more.
     stage = f"{out}/_staging/splits"
-    (P.with_word_count(splits).select("id", "split", "question_type", "question", "question_length")
+    (P.with_word_count(splits).select(key, "split", "question_type", "question", "question_length")
      .write.mode("overwrite").parquet(stage))
     st = spark.read.parquet(stage)
     P.distribution(st, "question_type", by=["split"]).write.parquet(f"{out}/types")                # A5
     P.box_stats(st, "question_length", by=["split"]).write.parquet(f"{out}/length_box")            # A8
     P.histogram(st, "question_length", 30, by=["split"]).write.parquet(f"{out}/length_hist")       # A9
     P.explore_counts(st, types, keyword).write.parquet(f"{out}/explore_counts")                    # A12
-    O.sample_n(P.explore(st, types, keyword), "id", 10, seed).write.parquet(f"{out}/explore_sample")  # R5
+    O.sample_n(P.explore(st, types, keyword), key, 10, seed).write.parquet(f"{out}/explore_sample")  # R5
     filtered = P.explore(splits, types, keyword)                                                   # P6 P7
-    io.write_csv(filtered.select("id", *C.QA_COLUMNS, "split"), f"{out}/explore_csv")              # K6
+    io.write_csv(filtered.select(key, *C.QA_COLUMNS, "split"), f"{out}/explore_csv")              # K6
     fs.remove(spark, f"{out}/_staging")
     if base:
         if fs.exists(spark, f"{base.rstrip('/')}/_manifest"):

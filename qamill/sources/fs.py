@@ -20,23 +20,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def mkdirs(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.mkdirs(p)
-
-
 def move(spark: SparkSession, src: str, dst_dir: str) -> str:
-    """Move ``src`` into ``dst_dir`` keeping its name; no-op if already there.
+    """Move ``src`` into ``dst_dir`` keeping its name; nothing happens if ``src`` is gone.
 
-    Returns the destination path.  Idempotent, so a recovery run can repeat it.
+    Nothing is ever overwritten: if the name is taken, ``.1``, ``.2``, ... is
+    put behind it.  Returns the destination path.
     """
     fs, sp = _fs(spark, src)
     dfs, dp = _fs(spark, dst_dir)
     dfs.mkdirs(dp)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dp, sp.getName())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, k = path(dp, sp.getName()), 0
     if fs.exists(sp):
-        if dfs.exists(target):
-            dfs.delete(target, False)
+        while dfs.exists(target):
+            k += 1
+            target = path(dp, f"{sp.getName()}.{k}")
         if not fs.rename(sp, target):
             raise OSError(f"could not move {src} to {dst_dir}")
     return target.toString()
@@ -50,12 +48,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI of ``path`` (as the file sources report it)."""
-    fs, p = _fs(spark, path)
-    return fs.makeQualified(p).toString()
-
-
 def list_tree(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Verification listing of a published tree: ``(path, length)`` of every
     file below ``path`` (K7).  ``binaryFile`` with only these columns never

@@ -6,6 +6,11 @@ version, written by the same batch function as ``ingest_dir``.  The
 streaming checkpoint is the seen-set of files; the manifest stores the
 micro-batch id so a replayed batch after a crash is not committed twice.
 
+Spark's file stream knows files by path alone, so it never reports a name
+that is used again.  Every batch therefore lists the directory and takes all
+files that no version has (by path, length and time of change), and
+``run_ingest_once`` looks once more after the stream has ended.
+
 Run it with ``trigger(availableNow=True)``: each run takes every unseen file
 at start as one batch (no ``maxFilesPerTrigger``: one run = one version).
 """
@@ -16,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from qamill.operators.versions import ingest_paths
+from qamill.operators.versions import ingest_dir, ingest_paths
+from qamill.sources import dropdir
 
 # The fixed schema of the binaryFile source (streams must declare it).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -36,12 +42,10 @@ def start_ingest(spark: SparkSession, src: str, base: str, archive: str, checkpo
                .load(src).select("path", "length"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.select("path").collect()]
-        if not paths:
-            return
-        ingest_paths(spark, paths, base, archive, batch_id=batch_id,
-                     listing=batch.select("path", "length"), single_object=single_object,
-                     quarantine_path=quarantine_path)
+        now = dropdir.list_files(spark, src, glob)
+        paths = [r["path"] for r in now.select("path").collect()]
+        ingest_paths(spark, paths, base, archive, batch_id=batch_id, listing=now,
+                     single_object=single_object, quarantine_path=quarantine_path)
 
     w = listing.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -55,3 +59,6 @@ def run_ingest_once(spark: SparkSession, src: str, base: str, archive: str, chec
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    # Names used again; single objects and unreadable files stay, and make no version.
+    names = {k: v for k, v in kw.items() if k in ("glob", "quarantine_path", "single_object")}
+    ingest_dir(spark, src, base, archive, **names)

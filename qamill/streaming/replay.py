@@ -1,13 +1,10 @@
-"""Replay a split as a paced stream of question payloads and score each one
-(ST2, ST3, P8).
+"""Read a split as a stream of question payloads and score each one (ST3, P8).
 
 The source is the JSON Lines output of the offline job (``pos`` carried in
-every row).  One file per micro-batch (``maxFilesPerTrigger=1``) at a fixed
-processing-time interval gives the pacing; inside a micro-batch rows are
-scored in ``pos`` order.  ``score_fn`` is the user's function from a pandas
-Series of JSON payloads to a Series of response texts; it runs per Arrow
-batch in ``mapInPandas``.  A failure on one record is caught and reported
-in that record's row, the stream goes on.
+every row); inside a batch rows are scored in ``pos`` order.  ``score_fn`` is
+the user's function from a pandas Series of JSON payloads to a Series of
+response texts; it is called once for each record, inside ``mapInPandas``.  A
+failure on one record is reported in that record's row, the stream goes on.
 """
 
 from __future__ import annotations
@@ -44,39 +41,29 @@ def score(df: DataFrame, score_fn: Callable[[pd.Series], pd.Series]) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf.sort_values("pos")
-            try:
-                resp = score_fn(pdf["payload"]).astype("string")
-                out = pdf.assign(status="ok", response=resp.values, error=None)
-            except Exception:  # noqa: BLE001 - fall back to one call per record
-                rows = []
-                for _, r in pdf.iterrows():
-                    try:
-                        val = score_fn(pd.Series([r["payload"]])).astype("string").iloc[0]
-                        rows.append(("ok", val, None))
-                    except Exception as e:  # noqa: BLE001
-                        rows.append(("error", None, f"{type(e).__name__}: {e}"))
-                out = pdf.assign(status=[x[0] for x in rows], response=[x[1] for x in rows],
-                                 error=[x[2] for x in rows])
+            rows = []
+            for payload in pdf["payload"]:
+                try:
+                    rows.append(("ok", score_fn(pd.Series([payload])).astype("string").iloc[0], None))
+                except Exception as e:  # noqa: BLE001 - the scorer is the user's
+                    rows.append(("error", None, f"{type(e).__name__}: {e}"))
+            out = pdf.assign(status=[x[0] for x in rows], response=[x[1] for x in rows], error=[x[2] for x in rows])
             yield out[["pos", "payload", "status", "response", "error"]]
 
     return df.mapInPandas(run, RESULT_SCHEMA)
 
 
 def start_replay(spark: SparkSession, src: str, schema: T.StructType, score_fn,
-                 sink: str, checkpoint: str, interval: str | None = "5 seconds",
-                 available_now: bool = False) -> StreamingQuery:
-    """Stream ``src`` one file per trigger, score, append results to ``sink``
-    (Parquet).  ``available_now=True`` drains everything present and stops.
+                 sink: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Stream ``src``, score, append results to ``sink`` (Parquet).
+    ``available_now=True`` drains everything present and stops.
     """
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").json(src))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").json(src)
     scored = score(payloads(stream), score_fn)
     w = (scored.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if available_now:
         w = w.trigger(availableNow=True)
-    elif interval:
-        w = w.trigger(processingTime=interval)
     return w.start()
 
 

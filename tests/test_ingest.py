@@ -42,7 +42,10 @@ def test_scan_kinds_and_quarantine(spark, tmpdir_shared):
     assert kinds["badfirst.json"] == ("jsonl", 2, True)
     assert kinds["single.json"][2] is False and kinds["single_pretty.json"][2] is False
     assert kinds["emptyarr.json"][1] == 0 and kinds["blanks.json"][1] == 0
-    q = sorted((r["name"], r["line_no"], r["reason"]) for r in res.quarantine.collect())
+    rows = [(r["name"], r["line_no"], r["reason"]) for r in res.quarantine.collect()]
+    # files left in place are reported without a line
+    assert sorted(r[0] for r in rows if r[1] is None and r[2] == "single_object_file") == ["single.json", "single_pretty.json"]
+    q = sorted(r for r in rows if r[1] is not None)
     assert q == [("badfirst.json", 1, "invalid_json"), ("jl.json", 4, "invalid_json"),
                  ("lists.json", 1, "not_an_object"), ("lists.json", 2, "not_an_object"),
                  ("strict.json", 1, "invalid_json"), ("strict.json", 2, "invalid_json")]
@@ -85,12 +88,87 @@ def test_crash_before_manifest_is_repaired(spark, tmpdir_shared):
 def test_archive_of_committed_files_is_finished(spark, tmpdir_shared):
     drop, base, arch = f"{tmpdir_shared}/drop", f"{tmpdir_shared}/base", f"{tmpdir_shared}/archive"
     _write(drop, {"a.json": '[{"question":"q","answer":"a"}]'})
+    stat = os.stat(f"{drop}/a.json")
     V.ingest_dir(spark, drop, base, arch)
-    # the file comes back as if the move had not happened (crash after manifest)
-    _write(drop, {"a.json": '[{"question":"q","answer":"a"}]'})
+    # the very same file is there as if the move had not happened (crash after manifest)
+    os.rename(f"{arch}/v1/a.json", f"{drop}/a.json")
+    os.utime(f"{drop}/a.json", ns=(stat.st_atime_ns, stat.st_mtime_ns))
     r = V.ingest_dir(spark, drop, base, arch)
     assert r.version is None
     assert os.listdir(drop) == [] and V.next_version(spark, base) == 2
+    assert os.listdir(f"{arch}/v1") == ["a.json"]
+
+
+def test_a_name_used_again_is_a_new_file(spark, tmpdir_shared):
+    drop, base, arch, ck = (f"{tmpdir_shared}/{x}" for x in ("drop", "base", "archive", "ckpt"))
+    for n in (1, 2, 3):
+        _write(drop, {"day.json": "".join(f'{{"question":"q{n}{k}","answer":"a"}}\n' for k in range(n + 1))})
+        run_ingest_once(spark, drop, base, arch, ck)
+        assert os.listdir(drop) == []
+        with open(f"{arch}/v{n}/day.json") as f:
+            assert len(f.readlines()) == n + 1
+    assert [(r["version"], r["record_count"]) for r in V.versions(spark, base).collect()] == [(1, 2), (2, 3), (3, 4)]
+
+
+def test_archive_never_overwrites(spark, tmpdir_shared):
+    from qamill.sources import fs
+    _write(f"{tmpdir_shared}/a", {"x.json": "1"})
+    _write(f"{tmpdir_shared}/b", {"x.json": "2"})
+    fs.move(spark, f"{tmpdir_shared}/a/x.json", f"{tmpdir_shared}/to")
+    fs.move(spark, f"{tmpdir_shared}/b/x.json", f"{tmpdir_shared}/to")
+    fs.move(spark, f"{tmpdir_shared}/b/x.json", f"{tmpdir_shared}/to")     # gone: nothing to do
+    assert sorted(open(f"{tmpdir_shared}/to/{n}").read() for n in os.listdir(f"{tmpdir_shared}/to") if not n.endswith(".crc")) == ["1", "2"]
+
+
+def test_odd_values_names_and_keys(spark, tmpdir_shared):
+    drop, base, arch, q = (f"{tmpdir_shared}/{x}" for x in ("drop", "base", "archive", "quarantine"))
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    _write(drop, {
+        "a[1].json": '[{"question":"q1","answer":"a"},{"question":"","answer":"a"},{"question":null,"answer":"a"},{"question":5,"answer":"a"}]',
+        "b{2}*?.json": '{"question":"q2","Question":"Q2","answer":"a","source_file":"s","version":7,"question":"q3"}\n{"question":"q4","answer":["x"]}\n',
+        "object.json": '{"question":"left","answer":"here"}\n',
+    })
+    r = V.ingest_dir(spark, drop, base, arch, quarantine_path=q)
+    assert (r.version, r.record_count) == (1, 4)
+    df, _ = V.read_version(spark, base)
+    got = {x["question"]: x for x in df.collect()}
+    assert set(got) == {"q1", "5", "q3", "q4"} and got["q4"]["answer"] == '["x"]'
+    odd = got["q3"]
+    assert (odd["Question__2"], odd["source_file__2"], odd["version__2"], odd["version"]) == ("Q2", "s", 7, 1)
+    assert odd["source_file"] == "b{2}*?.json"
+    assert os.listdir(drop) == ["object.json"]
+    rows = spark.read.schema("name string, line_no long, reason string").json(f"{q}/version=1").collect()
+    assert [tuple(x) for x in rows] == [("object.json", None, "single_object_file")]
+
+
+def test_all_bad_files_are_reported(spark, tmpdir_shared):
+    drop, base, arch, q = (f"{tmpdir_shared}/{x}" for x in ("drop", "base", "archive", "quarantine"))
+    _write(drop, {"bad.json": "oops\nagain\n", "one.json": "{}\n"})
+    for _ in range(2):
+        r = V.ingest_dir(spark, drop, base, arch, quarantine_path=q)
+        assert r.version is None and sorted(os.listdir(drop)) == ["bad.json", "one.json"]
+        rows = spark.read.schema("name string, line_no long, reason string").json(f"{q}/version=0").collect()
+        assert sorted(map(tuple, rows), key=str) == [("bad.json", 1, "invalid_json"), ("bad.json", 2, "invalid_json"),
+                                                     ("one.json", None, "single_object_file")]
+
+
+def test_list_splitter():
+    import json
+    from qamill.sources.jsonlist import Splitter
+
+    def run(text):
+        s, out = Splitter(), []
+        for line in text.split("\n"):
+            out += s.feed(line)
+        return s.verdict, out
+    value = [{"a": "x,[]{}\"\\", "b": [1, {"c": []}]}, 1, "s,", None, [], {}]
+    for indent in (None, 0, 1):
+        verdict, out = run("\n " + json.dumps(value, indent=indent) + " \n\n")
+        assert verdict == "ARRAY" and [json.loads(x) for x in out] == value
+    assert run("[]") == ("ARRAY", []) and run("[\n]") == ("ARRAY", [])
+    assert run('{"a": [\n1]}') == ("OBJECT", [])
+    for bad in ("[1,]", "[,1]", "[1 2]", "[1]]", "[1] x", "[1", '["a]', "[1}", "{]", "oops", "", "[[1]\n[2]]"):
+        assert run(bad)[0] == "NONE", bad
 
 
 def test_stream_takes_only_new_files(spark, tmpdir_shared):

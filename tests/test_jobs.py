@@ -51,7 +51,7 @@ def test_retraining_feed_carries_version(spark, tmpdir_shared):
     v = jobs.retraining_feed(spark, base, f"{tmpdir_shared}/feed", max_len=8, epochs=1)
     s = spark.read.parquet(f"{tmpdir_shared}/feed/samples")
     assert v == 1 and s.where("version = 1").count() == 10
-    split = {r["id"]: r["split"] for r in s.collect()}
+    split = {r["record_id"]: r["split"] for r in s.collect()}
     # stored order: the first 8 lines train, the last 2 validate
     assert sorted(k for k, x in split.items() if x == "validation") == ["a.json|10|0", "a.json|9|0"]
 
@@ -104,3 +104,40 @@ def test_retraining_feed_on_tracked_folders(spark, tmpdir_shared):
     assert v == 2 and s.count() == 5
     assert {r["split"]: r["count"] for r in s.groupBy("split").count().collect()} == {
         "training": 4, "validation": 1}
+
+
+def test_small_and_text_keyed_inputs(spark, tmpdir_shared):
+    want = {0: (0, 0, 0), 1: (0, 0, 1), 3: (1, 0, 2), 4: (2, 0, 2)}
+    for n, sizes in want.items():
+        out = f"{tmpdir_shared}/o{n}"
+        raw = spark.createDataFrame([(f"k{i}", None, "symptoms", f"q{i}", None, "a") for i in range(n)],
+                                    "key string, synonyms string, question_type string, question string, question_focus string, answer string")
+        r = jobs.offline_prepare(spark, raw, out, key="key")
+        assert tuple(r.split_counts[s] for s in ("training", "validation", "testing")) == sizes
+        got = [x["key"] for s in ("training", "validation", "evaluation") for x in jobs.read_split(spark, out, s).collect()]
+        assert sorted(got) == [f"k{i}" for i in range(n)]
+
+
+def test_rows_that_share_a_key_are_encoded_alike(spark):
+    from qamill.operators import encode as E
+    df = spark.createDataFrame([(1, "a b c"), (1, "d e"), (2, "a")], "id bigint, prompt string")
+    vocab = E.build_vocab(df, "prompt")
+    one, two = (sorted(tuple(r["input_ids"]) for r in E.encode(df, vocab, max_len=4, method=m).collect()) for m in ("map", "join"))
+    assert one == two and len(one) == 3 and all(len(x) == 4 for x in one)
+
+
+def test_scorer_sees_each_record_once(spark, tmpdir_shared):
+    import os as _os
+    from qamill.streaming.replay import score
+    seen = f"{tmpdir_shared}/seen"
+    _os.makedirs(seen)
+
+    def scorer(payload):
+        assert len(payload) == 1
+        open(f"{seen}/{abs(hash(payload.iloc[0]))}-{len(_os.listdir(seen))}", "w").close()
+        if "3" in payload.iloc[0]:
+            raise ValueError("three")
+        return payload
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(6)], "pos bigint, payload string").coalesce(1)
+    rows = score(df, scorer).collect()
+    assert [r["status"] for r in rows] == ["ok"] * 3 + ["error"] + ["ok"] * 2 and len(_os.listdir(seen)) == 6
