@@ -39,12 +39,12 @@ from qamill.llm.tables import staged
 from qamill.session import scratch_dir, ship_package
 
 MAGIC = b"IDRANGE1"
-BLOCK = 4096
+BLOCK = 2048
 #: Ids of one file, about (a longer document is not split).
 FILE_IDS = 8 << 20
 END_ID = 1
 #: Words kept with their ids in a worker; the table starts anew beyond it.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
 VOCABULARY = "word_bpe_49k.json"
 
 _U64, _I64 = np.uint64, np.int64
@@ -60,10 +60,9 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes, dtype=_I64)
-        self.one = np.zeros(lanes * _ORDER1, np.uint16)
-        self.one_sure = np.zeros(lanes * _ORDER1, np.uint8)
-        self.two = np.zeros(lanes * _ORDER2, np.uint16)
-        self.two_sure = np.zeros(lanes * _ORDER2, np.uint8)
+        # An id and how sure it is (0 to 3), as id * 4 + sure.
+        self.one = np.zeros(lanes * _ORDER1, np.uint32)
+        self.two = np.zeros(lanes * _ORDER2, np.uint32)
         self.choice = np.tile(np.array([2, 2, 3, 0], np.int32), lanes * 32)
         self.count = np.tile(1 + (64 // (1 + np.arange(_GROUPS))).astype(np.int32), (lanes, 1))
         self.last = np.zeros(lanes * _GROUPS, np.uint8)
@@ -82,9 +81,10 @@ class _Model:
         lane, x, y = self.lane[:a], self.before[:a], self.before2[:a]
         self.at1 = lane * _ORDER1 + ((x * 40503 >> 4) & (_ORDER1 - 1))
         self.at2 = lane * _ORDER2 + (((x * 40503 + y * 30011) >> 5) & (_ORDER2 - 1))
-        self.id1, self.sure1 = self.one[self.at1], self.one_sure[self.at1]
-        self.id2, self.sure2 = self.two[self.at2], self.two_sure[self.at2]
-        self.ctx = (lane * 32 + (self.sure2 * np.uint8(4) + self.sure1) + (self.id1 == self.id2) * 16) * 4
+        self.one_was, self.two_was = self.one[self.at1], self.two[self.at2]
+        self.id1, self.id2 = self.one_was >> np.uint32(2), self.two_was >> np.uint32(2)
+        sure = ((self.two_was & np.uint32(3)) << np.uint32(2)) | (self.one_was & np.uint32(3)) | ((self.id1 == self.id2).view(np.uint8) << np.uint8(4))
+        self.ctx = (lane * 32 + sure) * 4
         n0, n1 = self.choice[self.ctx], self.choice[self.ctx + 1]
         self.n0, self.n01 = n0.astype(_I64), (n0 + n1).astype(_I64)
         self.n012 = self.n01 + self.choice[self.ctx + 2]
@@ -95,14 +95,12 @@ class _Model:
         full = np.flatnonzero(self.n012 > _HALVE)
         for k in range(3) if len(full) else ():
             self.choice[self.ctx[full] + k] = (self.choice[self.ctx[full] + k] + 1) >> 1
-        small = ids.astype(np.uint16)
-        self.one_sure[self.at1] = np.where(self.id1 == small, np.minimum(self.sure1 + np.uint8(1), np.uint8(3)), np.uint8(0))
-        self.two_sure[self.at2] = np.where(self.id2 == small, np.minimum(self.sure2 + np.uint8(1), np.uint8(3)), np.uint8(0))
-        self.one[self.at1] = small
-        self.two[self.at2] = small
-        lane = self.lane[:a]
-        self.count.reshape(-1)[lane * _GROUPS + group] += 2
-        self.last[lane * _GROUPS + group] = small & np.uint16(255)
+        new = ids.astype(np.uint32) << np.uint32(2)
+        for table, at, was, guess in ((self.one, self.at1, self.one_was, self.id1), (self.two, self.at2, self.two_was, self.id2)):
+            table[at] = np.where(guess == ids, new | np.minimum((was & np.uint32(3)) + np.uint32(1), np.uint32(3)), new)
+        spot = self.lane[:a] * _GROUPS + group
+        self.count.reshape(-1)[spot] += 2
+        self.last[spot] = ids & 255
         self.before2[:a] = self.before[:a]
         self.before[:a] = ids
 
