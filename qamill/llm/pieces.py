@@ -70,7 +70,7 @@ class Model:
         for row, i in enumerate(self.ids):
             self.codes[row, :len(text[i])] = [ord(c) for c in text[i]]
         self.sizes = self.length[self.ids]
-        self.fits: dict[int, bool] = {}
+        self.pairs = Pairs(self)
         # For may_follow: when a piece arises (characters first, then by score) and of which two.
         by_score = sorted(normal, key=lambda i: (len(text[i]) > 1, -self.score[text[i]]))
         self.rank = dict(zip(by_score, range(n), strict=False))
@@ -100,17 +100,7 @@ class Model:
         return out
 
     def may_follow(self, a: int, b: int) -> bool:
-        """a, b: ids; from ``size`` on a character without a piece."""
-        if a >= self.size or b >= self.size:
-            return True
-        key = a << 20 | b
-        ok = self.fits.get(key)
-        if ok is None:
-            ok = self.fits[key] = self._side_by_side(a, b)
-        return ok
-
-    def _side_by_side(self, a: int, b: int) -> bool:
-        """Undo merges from the last on; no merge over the limit may come before the one undone."""
+        """May piece b stand after piece a?  Undo merges from the last on; no merge over the limit may come before the one undone."""
         limit = self.size + 1
         while True:
             over = self.id.get(self.text[a] + self.text[b])
@@ -126,6 +116,63 @@ class Model:
                 limit, b = self.rank[b] + 1, self._halves(b)[0]
 
 
+class Pairs:
+    """Which pieces may stand side by side, found out once for each pair: a hash table with open places."""
+
+    def __init__(self, model: Model, bits: int = 16):
+        self.model = model
+        self.n = 0
+        self._make(bits)
+
+    def _make(self, bits: int) -> None:
+        self.bits = bits
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.ok = np.zeros(1 << bits, bool)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys; that of one that isn't there is open."""
+        at = self._home(keys)
+        go = np.arange(len(keys))
+        while len(go):
+            have = self.keys[at[go]]
+            go = go[(have != keys[go]) & (have != -1)]
+            at[go] = (at[go] + 1) & (len(self.keys) - 1)
+        return at
+
+    def _put(self, keys: np.ndarray, ok: np.ndarray) -> None:
+        if (self.n + len(keys)) * 2 > len(self.keys):
+            old, was = self.keys, self.ok
+            full = old >= 0
+            self._make(max(self.bits + 1, (2 * (self.n + len(keys))).bit_length()))
+            self.n = 0
+            self._put(old[full], was[full])
+        while len(keys):
+            at = self._find(keys)
+            self.keys[at] = keys  # of keys that share an open place one gets it
+            got = self.keys[at] == keys
+            self.ok[at[got]] = ok[got]
+            self.n += int(got.sum())
+            keys, ok = keys[~got], ok[~got]
+
+    def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """May b[k] stand after a[k]?  Characters without a piece (ids from model.size on) may stand anywhere."""
+        keys = a << 20 | b
+        out = (a >= self.model.size) | (b >= self.model.size)
+        ask = np.flatnonzero(~out)
+        keys = keys[ask]
+        at = self._find(keys)
+        new = np.unique(keys[self.keys[at] == -1])
+        if len(new):
+            may = self.model.may_follow
+            self._put(new, np.fromiter((may(k >> 20, k & 0xFFFFF) for k in new.tolist()), bool, len(new)))
+            at = self._find(keys)
+        out[ask] = self.ok[at]
+        return out
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Places in order of the ``depth`` codes from there (the end sorts first), by doubling."""
     _, rank = np.unique(codes, return_inverse=True)
@@ -222,16 +269,22 @@ def _relaxed(model: Model, segments: list[str]) -> list[list[int]]:
     ids = np.concatenate([ids, model.size + codes[alone].astype(np.int64)])
     at = np.concatenate([at, alone])
     length = np.where(ids < model.size, model.length[np.minimum(ids, model.size - 1)], 1)
-    order = np.argsort(at + length, kind="stable")
-    reached = [-1] * (len(codes) + 1)
-    for s in start.tolist():
-        reached[s] = -2
-    fits, may = model.fits, model.may_follow
-    for i, s, e in zip(ids[order].tolist(), at[order].tolist(), (at + length)[order].tolist(), strict=True):
-        if reached[e] == -1:
-            p = reached[s]
-            if p != -1 and (p == -2 or (fits.get(p << 20 | i) if p << 20 | i in fits else may(p, i))):
-                reached[e] = i
+    end = at + length
+    # Of all segments at once: edges by how far into its segment they end.
+    first = np.repeat(start, size + 1)[at]
+    order = np.argsort(end - first, kind="stable")
+    ids, at, end, far = ids[order], at[order], end[order], (end - first)[order]
+    steps = np.searchsorted(far, np.arange(1, (far[-1] if len(far) else 0) + 2))
+    reached = np.full(len(codes) + 1, -1, np.int64)
+    reached[start] = -2
+    for x, y in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
+        i, p, e = ids[x:y], reached[at[x:y]], end[x:y]
+        ok = p == -2
+        ask = np.flatnonzero(p >= 0)
+        if len(ask):
+            ok[ask] = model.pairs.fit(p[ask], i[ask])
+        reached[e[ok]] = i[ok]
+    reached = reached.tolist()
     out = []
     for s, n in zip(start.tolist(), size.tolist(), strict=True):
         e, back = s + n, []
