@@ -2,8 +2,8 @@
 (T3, T4, T7, U2).
 
 The default encoder is a word vocabulary built by Spark: words are counted
-with a partial aggregation, the ``max_vocab`` most frequent (ties by word)
-become ids ``first_id..``; id 0 is unknown and id 1 is end-of-sequence, also
+with a partial aggregation, all of them or the ``max_vocab`` most frequent
+(ties by word) become ids ``first_id..``; id 0 is unknown and id 1 is end-of-sequence, also
 used as padding (T7).
 
 Two execution paths give the same arrays:
@@ -12,7 +12,8 @@ Two execution paths give the same arrays:
   the vocabulary is broadcast once and every Arrow batch is encoded in
   ``mapInArrow``: no shuffle at all, one pass over the prompts.
 * ``join`` (fallback for a vocabulary too big to broadcast): slice each
-  prompt to ``max_len`` words, explode, join the vocabulary, regroup per row
+  prompt to ``max_len`` words, explode, look the ``HEAD_WORDS`` most frequent
+  words up in a broadcast and the others in a shuffled join, regroup per row
   (a shuffle of ``max_len`` rows per sample).
 
 A pretrained sub-word tokenizer can be plugged in through ``encode_with``:
@@ -29,12 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qamill.functions.text import words
+from qamill.operators.order import ordered_rank
 
 UNK_ID = 0
 EOS_ID = 1
 FIRST_WORD_ID = 2
 MAX_LEN = 512
-MAX_VOCAB = 32000
+MAX_VOCAB = None        # the whole vocabulary, unless a size is asked for
+# Words sent to every task on the join path: the most frequent ones.
+HEAD_WORDS = 20_000
 # Broadcast the vocabulary only below this many bytes of words.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -51,11 +55,12 @@ def word_counts(df: DataFrame, text: str = "prompt") -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
+def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int | None = MAX_VOCAB,
                 first_id: int = FIRST_WORD_ID, staging: str | None = None) -> DataFrame:
     """Top ``max_vocab`` words by count, ties by word: ``(word, n, token_id)``.
 
-    The cap is the feature (a vocabulary size).  Words below the k-th largest
+    ``max_vocab=None`` takes every word.  A cap is a feature (a vocabulary
+    size); ``unknown_words`` counts what it leaves out.  Words below the k-th largest
     count can never enter, so a counts-of-counts histogram (one row per
     distinct count value) gives that threshold first and only words at or
     above it reach the top-k (``orderBy().limit()``: each partition keeps its
@@ -66,6 +71,10 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
         # The word counts feed two jobs (threshold, top-k): write them once.
         counts.write.mode("overwrite").parquet(f"{staging}/word_counts")
         counts = df.sparkSession.read.parquet(f"{staging}/word_counts")
+    if max_vocab is None:
+        # Exact ranks over range partitions: no single task orders the vocabulary.
+        ranked = ordered_rank(counts.withColumn("_neg", -F.col("n")), ["_neg", "word"], out="_pos", total=None)
+        return ranked.select("word", "n", (F.col("_pos") + first_id).cast("int").alias("token_id"))
     per_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
     w = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = per_n.withColumn("cum", F.sum("c").over(w))
@@ -82,6 +91,13 @@ def build_vocab(df: DataFrame, text: str = "prompt", max_vocab: int = MAX_VOCAB,
     return vocab
 
 
+def unknown_words(df: DataFrame, vocab: DataFrame, text: str = "prompt") -> DataFrame:
+    """One row: words of all texts, and how many of them the vocabulary lacks (id ``UNK_ID``)."""
+    counts = word_counts(df, text).join(vocab.select("word", "token_id"), "word", "left")
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"),
+                      F.coalesce(F.sum(F.when(F.col("token_id").isNull(), F.col("n"))), F.lit(0)).alias("unknown"))
+
+
 def vocab_fits_broadcast(vocab: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Measure the vocabulary (one small aggregate) before broadcasting it."""
     row = vocab.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0)).alias("b")).first()
@@ -91,7 +107,8 @@ def vocab_fits_broadcast(vocab: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -
 def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt",
            max_len: int = MAX_LEN, pad_id: int = EOS_ID, unk_id: int = UNK_ID,
            label_pad: int | None = None, method: str = "auto",
-           carry: tuple[str, ...] = (), broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+           carry: tuple[str, ...] = (), broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+           head: int = HEAD_WORDS) -> DataFrame:
     """Encode ``text`` to fixed-length ``input_ids``, ``attention_mask``, ``labels``.
 
     Truncate to ``max_len`` words, right-pad with ``pad_id``; mask is 1 for
@@ -109,7 +126,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt
         return _encode_map(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, carry)
     # Join path: a broadcast hash join only when the measured size allows it,
     # a shuffled join otherwise.
-    return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, fits, carry)
+    return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, fits, carry, head)
 
 
 def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
@@ -125,7 +142,7 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
     from qamill.session import ship_package  # noqa: PLC0415
 
     ship_package(spark)
-    # Bounded by max_vocab rows and measured by the caller: safe to broadcast.
+    # Measured by the caller: safe to broadcast.
     rows = vocab.select("word", "token_id").collect()
     bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [int(r["token_id"]) for r in rows]))
     keys = [key, *carry]
@@ -181,14 +198,24 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
 
 def _encode_join(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
                  unk_id: int, label_pad: int | None, broadcast: bool,
-                 carry: tuple[str, ...]) -> DataFrame:
+                 carry: tuple[str, ...], head: int = HEAD_WORDS) -> DataFrame:
     """Join path of ``encode``: words are gathered by a row number, so rows may share a key."""
     keys = [key, *carry]
     sliced = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w")).withColumn("_row", F.monotonically_increasing_id())
     exploded = sliced.select("_row", *keys, F.posexplode_outer("_w").alias("_i", "word"))
     v = vocab.select("word", "token_id")
-    v = F.broadcast(v) if broadcast else v
-    looked = exploded.join(v, "word", "left").select(
+    if broadcast:
+        found = exploded.join(F.broadcast(v), "word", "left")
+    else:
+        # The head takes the frequent words, so none of them is a hot key of the
+        # shuffled join; what it has resolved is spread by row instead.
+        top = v.orderBy("token_id").limit(head).withColumnRenamed("token_id", "_head")
+        part = exploded.join(F.broadcast(top), "word", "left").withColumn("_key", F.when(
+            F.col("_head").isNull() & F.col("word").isNotNull(), F.col("word")).otherwise(
+            F.concat(F.lit("\0 "), F.col("_row").cast("string"))))
+        tail = v.select(F.col("word").alias("_key"), F.col("token_id").alias("_tail"))
+        found = part.join(tail, "_key", "left").withColumn("token_id", F.coalesce("_head", "_tail"))
+    looked = found.select(
         "_row", *keys, "_i", F.when(F.col("word").isNull(), F.lit(None).cast("int"))
         .otherwise(F.coalesce(F.col("token_id"), F.lit(unk_id))).alias("_t"))
     grouped = looked.groupBy("_row", *keys).agg(

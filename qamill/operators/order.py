@@ -61,7 +61,7 @@ def hashed_rank(df: DataFrame, key: str, seed: int | str = DEFAULT_SEED, out: st
 
     With ``partition_by`` the positions restart in each group.  ``total`` adds
     the group size (needed by positional splits).  The extra side is
-    ``groups x 16**bucket_digits`` rows at most, so it is broadcast.
+    ``groups x 16**bucket_digits`` rows at most; without groups it is broadcast.
     ``counts`` (``partition_by`` + ``_b``, ``_n``) may be given when an
     earlier pass already counted the rows per bucket (saves a scan).
     """
@@ -73,8 +73,10 @@ def hashed_rank(df: DataFrame, key: str, seed: int | str = DEFAULT_SEED, out: st
         counts = keyed.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, part, "_b", "_n")
     local = F.row_number().over(Window.partitionBy(*part, "_b").orderBy("_h", key)) - 1
+    # Without groups the offsets are 16**bucket_digits rows at most; with groups Spark decides by their size.
+    side = offsets if part else F.broadcast(offsets)
     ranked = (keyed.withColumn("_r", local)
-              .join(F.broadcast(offsets), [*part, "_b"])
+              .join(side, [*part, "_b"])
               .withColumn(out, (F.col("_off") + F.col("_r")).cast("bigint")))
     if total:
         ranked = ranked.withColumn(total, F.col("_total").cast("bigint"))
@@ -177,6 +179,15 @@ def chunk(df: DataFrame, pos: str = "split_pos", n: str = "split_size", k: int =
     return df.withColumn(out, chunk_column(F.col(pos), F.col(n), k))
 
 
+def sample_by(df: DataFrame, key: str, group: str, values: Sequence, n: int = 10, seed: int | str = DEFAULT_SEED) -> DataFrame:
+    """``sample_n`` of each of a few known groups."""
+    parts = [sample_n(df.where(F.col(group) == v), key, n, seed) for v in values]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def sample_n(df: DataFrame, key: str, n: int = 10, seed: int | str = DEFAULT_SEED) -> DataFrame:
     """``min(n, rows)`` rows in a seeded random order.
 

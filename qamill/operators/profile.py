@@ -162,14 +162,14 @@ def explore(df: DataFrame, types: Sequence[str] = (), keyword: str = "",
 
 def explore_counts(df: DataFrame, types: Sequence[str] = (), keyword: str = "",
                    type_column: str = "question_type", text_column: str = "question",
-                   literal: bool = False) -> DataFrame:
-    """"Showing m / n records": one aggregate over the unfiltered table."""
+                   literal: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """"Showing m / n records": one aggregate over the unfiltered table (A12), per group of ``by``."""
     pred = F.lit(True)
     if types and type_column in df.columns:
         pred = pred & F.coalesce(F.col(type_column).isin(*list(types)), F.lit(False))
     if keyword:
         pred = pred & keyword_match(text_column, keyword, literal)
-    return df.agg(F.count_if(pred).alias("shown"), F.count(F.lit(1)).alias("total"))
+    return df.groupBy(*by).agg(F.count_if(pred).alias("shown"), F.count(F.lit(1)).alias("total"))
 
 
 def dropped_rows(meta: DataFrame, keys: Sequence[str] = DROP_KEYS) -> DataFrame:

@@ -22,7 +22,7 @@ from qamill.plans import standins as S
 EXPLORE_TYPES = ("Causes", "outlook", "Symptoms", "information")
 EXPLORE_KEYWORD = "ti(on|er)"
 SEED = 42
-VOCAB_SIZE = E.MAX_VOCAB
+VOCAB_SIZE = 32_000
 SEQ_LEN = E.MAX_LEN
 BATCH_SIZE = 8
 WORKERS = 2

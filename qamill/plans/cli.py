@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--offline" if name == "train-feed" else "--base", required=True)
         p.add_argument("--out", required=True)
         p.add_argument("--max-len", type=int, default=512)
-        p.add_argument("--max-vocab", type=int, default=32000)
+        p.add_argument("--max-vocab", type=int, default=None)
         p.add_argument("--batch-size", type=int, default=8)
         p.add_argument("--epochs", type=int, default=2)
         p.add_argument("--workers", type=int, default=2)
@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--base")
     p.add_argument("--types", nargs="*", default=[])
     p.add_argument("--keyword", default="")
+    p.add_argument("--version", default="latest")
     p = sub.add_parser("replay")
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)
@@ -105,7 +106,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             print(json.dumps({"version": jobs.retraining_feed(spark, a.base, a.out, **kw)}))
     elif a.cmd == "report":
-        jobs.report(spark, a.offline, a.out, base=a.base, types=tuple(a.types), keyword=a.keyword)
+        jobs.report(spark, a.offline, a.out, base=a.base, types=tuple(a.types), keyword=a.keyword, version=a.version)
     elif a.cmd == "replay":
         from qamill.sources.io import QA_SCHEMA  # noqa: PLC0415
         from qamill.streaming.replay import start_replay  # noqa: PLC0415

@@ -195,6 +195,20 @@ def q_ingest_mixed_types(spark, sf_dir):
     return V.read_all(spark, f"{root}/base").select("id", "question")
 
 
+def q_report_splits(spark, sf_dir):
+    """The explorer's "shown / total" of each split."""
+    root = _offline(spark, sf_dir)
+    jobs.report(spark, root, f"{root}/report", types=Q.EXPLORE_TYPES, keyword=Q.EXPLORE_KEYWORD)
+    return spark.read.parquet(f"{root}/report/explore_counts").select("split", "shown", "total")
+
+
+def q_report_version(spark, sf_dir):
+    """Types of a chosen version that isn't the latest."""
+    root = _ingest(spark, sf_dir)
+    jobs.version_report(spark, f"{root}/base", f"{root}/report", version=1)
+    return spark.read.parquet(f"{root}/report/types").select("question_type", "n")
+
+
 BIG_COPIES = 60
 
 
@@ -229,6 +243,8 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_listing": q_archive_listing,
     "ingest_mixed_types": q_ingest_mixed_types,
     "ingest_big_array": q_ingest_big_array,
+    "report_splits": q_report_splits,
+    "report_version": q_report_version,
 }
 
 
@@ -305,6 +321,11 @@ select id, cast(id % 2 + 1 as integer) as version from qa_docs where {valid}""",
         "archive_listing": f"""{docs}
 select case when id % 4 = 3 then 'v2' else 'v1' end as version_tag, case when id % 4 = 3 then 'pretty' else 'array' end as kind,
        count(distinct id // 500) as files from qa_docs where id % 4 >= 2 group by 1, 2""",
+        "report_splits": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
+select split, count(*) filter (question_type in ({types_in}) and regexp_matches(question, {kw})) as shown, count(*) as total
+from splits group by split""",
+        "report_version": f"""{docs}
+select question_type, count(*) as n from qa_docs where {valid} and not {junk} and id % 4 <> 3 group by 1""",
         "ingest_mixed_types": f"""{docs}
 select id, case id % 5 when 0 then cast(id as varchar) when 3 then '{{"q":"q' || id || '"}}' else 'q' || id end as question
 from qa_docs where id % 5 not in (1, 2)""",

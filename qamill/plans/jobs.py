@@ -108,7 +108,7 @@ def read_split(spark: SparkSession, out: str, split: str) -> DataFrame:
 # ----------------------------------------------------------------- X3, X4 --
 
 def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: str = "id",
-         style: str = "instruct", max_len: int = E.MAX_LEN, max_vocab: int = E.MAX_VOCAB,
+         style: str = "instruct", max_len: int = E.MAX_LEN, max_vocab: int | None = E.MAX_VOCAB,
          batch_size: int = 8, epochs: int = 2, workers: int = 2, seed: int = O.DEFAULT_SEED,
          label_pad: int | None = None, extra: dict[str, object] | None = None, carry: tuple[str, ...] = ()) -> None:
     """Encode once, write samples sharded per worker, and batch plans per epoch.
@@ -178,12 +178,17 @@ def retraining_feed(spark: SparkSession, base: str, out: str, **kw) -> int:
 
 # --------------------------------------------------------------------- X5 --
 
+SPLITS = ("training", "validation", "evaluation")
+
+
 def report(spark: SparkSession, offline_out: str, out: str, base: str | None = None,
-           types: tuple[str, ...] = (), keyword: str = "", seed: int = O.DEFAULT_SEED) -> None:
-    """The dashboard numbers as tables (Parquet) and the CSV export."""
+           types: tuple[str, ...] = (), keyword: str = "", seed: int = O.DEFAULT_SEED,
+           version: int | str = "latest") -> None:
+    """The dashboard numbers as tables (Parquet) and CSV exports, for each split and for one version."""
     offline_out, out = offline_out.rstrip("/"), out.rstrip("/")
     meta = io.read_meta(spark, f"{offline_out}/metadata", io.META_OFFLINE)
     meta.select(F.explode("dropped").alias("type", "count")).write.parquet(f"{out}/dropped")       # A4
+    meta.select("rows_removed").write.parquet(f"{out}/rows_removed")                                # D5
     schema = split_schema(spark, offline_out)
     key = schema.fields[0].name
     splits = io.read_jsonl(spark, f"{offline_out}/splits", T.StructType([*schema.fields, T.StructField("split", T.StringType())]))
@@ -196,23 +201,40 @@ def report(spark: SparkSession, offline_out: str, out: str, base: str | None = N
     P.distribution(st, "question_type", by=["split"]).write.parquet(f"{out}/types")                # A5
     P.box_stats(st, "question_length", by=["split"]).write.parquet(f"{out}/length_box")            # A8
     P.histogram(st, "question_length", 30, by=["split"]).write.parquet(f"{out}/length_hist")       # A9
-    P.explore_counts(st, types, keyword).write.parquet(f"{out}/explore_counts")                    # A12
-    O.sample_n(P.explore(st, types, keyword), key, 10, seed).write.parquet(f"{out}/explore_sample")  # R5
+    P.explore_counts(st, types, keyword, by=["split"]).write.parquet(f"{out}/explore_counts")      # A12
+    O.sample_by(P.explore(st, types, keyword), key, "split", SPLITS, 10, seed).write.parquet(f"{out}/explore_sample")  # R5
     filtered = P.explore(splits, types, keyword)                                                   # P6 P7
-    io.write_csv(filtered.select(key, *C.QA_COLUMNS, "split"), f"{out}/explore_csv")              # K6
+    io.write_csv(filtered.select(key, *C.QA_COLUMNS, "split"), f"{out}/explore_csv", partition_by=["split"])  # K6
     fs.remove(spark, f"{out}/_staging")
     if base:
-        if fs.exists(spark, f"{base.rstrip('/')}/_manifest"):
-            man = V.manifest(spark, base)
-        else:                       # folders v<N>/metadata.json written by another tool
-            man = V.metadata_documents(spark, base)
-        P.history(man.select("version_tag", "record_count", "timestamp")).write.parquet(
-            f"{out}/history")                                                                       # A11
-        try:
-            data, _ = V.read_version(spark, base, "latest")
-        except FileNotFoundError:
-            return
-        if "question_type" in data.columns:                                                         # P9
-            P.distribution(data, "question_type").write.parquet(f"{out}/latest_types")
-            P.missing_values(data, "question_type").write.parquet(f"{out}/latest_missing")          # A10
-        P.box_stats(P.with_word_count(data), "question_length").write.parquet(f"{out}/latest_box")
+        version_report(spark, base, f"{out}/version", types, keyword, seed, version)
+
+
+def version_report(spark: SparkSession, base: str, out: str, types: tuple[str, ...] = (), keyword: str = "",
+                   seed: int = O.DEFAULT_SEED, version: int | str = "latest") -> int | None:
+    """History over versions, and of the chosen one: metadata, types, missing types, box, histogram,
+    explorer counts, sample and CSV.  Reads this library's versions or the folders of another tool
+    (``version_tracker.txt``, ``v<N>/``).  Returns the version, None if there is no data."""
+    tracked = not fs.exists(spark, f"{base.rstrip('/')}/_manifest")
+    man = V.metadata_documents(spark, base) if tracked else V.manifest(spark, base)
+    P.history(man.select("version_tag", "record_count", "timestamp")).write.parquet(f"{out}/history")  # A11
+    try:
+        data, number = V.read_tracked_version(spark, base, version) if tracked else V.read_version(spark, base, version)
+    except FileNotFoundError:
+        return None
+    chosen = man.where(F.col("version") == number)
+    chosen.select("version_tag", "timestamp", "record_count", "archived_files").write.parquet(f"{out}/metadata")
+    if tracked:
+        chosen.select(F.explode("dropped").alias("type", "count")).write.parquet(f"{out}/dropped")
+    data = data.withColumn("record_id", F.concat_ws("|", "source_file", "source_line", "source_elem"))
+    counted = P.with_word_count(data)
+    if "question_type" in data.columns:                                                             # P9
+        P.distribution(data, "question_type").write.parquet(f"{out}/types")
+        P.missing_values(data, "question_type").write.parquet(f"{out}/missing")                     # A10
+    P.box_stats(counted, "question_length").write.parquet(f"{out}/length_box")
+    P.histogram(counted, "question_length", 30).write.parquet(f"{out}/length_hist")
+    P.explore_counts(data, types, keyword).write.parquet(f"{out}/explore_counts")
+    found = P.explore(data, types, keyword)
+    O.sample_n(found, "record_id", 10, seed).write.parquet(f"{out}/explore_sample")
+    io.write_csv(found, f"{out}/explore_csv")
+    return number

@@ -76,11 +76,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """Timestamps are written and parsed as UTC text."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -207,30 +207,12 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "emptyValue": "",
                "quoteAll": "false", "escapeQuotes": "true", "lineSep": "\n"}
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
     """CSV with header and no index; quotes doubled; null and empty -> empty (K6)."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    w = df.write.mode(mode).options(**CSV_OPTIONS)
+    (w.partitionBy(*partition_by) if partition_by else w).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read back what ``write_csv`` wrote (fields may span lines)."""
     return (spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path))
-
-
-def offline_metadata(profile: DataFrame, final_records: DataFrame, source: str = "raw-dataset") -> DataFrame:
-    """The offline run document (K3) from the profile row and the split counts.
-
-    ``profile``: one row of ``quality_profile``; ``final_records``: one row
-    with ``n``, ``training``, ``validation``, ``testing``.
-    """
-    keys = ("missing_question", "missing_answer", "blank_question", "blank_answer", "total_dropped")
-    dropped = F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))])
-    j = profile.withColumn("_k", F.lit(1)).join(final_records.withColumn("_k", F.lit(1)), "_k")
-    return j.select(
-        F.lit(source).alias("source"),
-        F.col("initial_records"),
-        F.col("n").alias("final_records"),
-        F.struct(F.col("training"), F.col("validation"), F.col("testing")).alias("split_counts"),
-        dropped.alias("dropped"),
-        F.col("rows_removed"),
-    )

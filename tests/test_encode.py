@@ -61,3 +61,19 @@ def test_vocab_too_big_falls_back_to_shuffled_join(spark):
     assert "MapInArrow" not in plan and "Generate" in plan
     ref = E.encode(df, vocab, max_len=3, method="map")
     assert sorted(enc.collect()) == sorted(ref.collect())
+
+
+def test_head_and_tail_give_the_map_paths_arrays(spark):
+    rows = [(1, "a b c"), (1, "d e a a"), (2, "a"), (3, None), (4, "zz a q c d")]
+    df = spark.createDataFrame(rows, "id bigint, prompt string")
+    vocab = E.build_vocab(df.where("id < 4"), "prompt")
+    get = lambda **kw: sorted((r["id"], tuple(r["input_ids"])) for r in E.encode(df, vocab, max_len=4, **kw).collect())
+    assert get(method="map") == get(broadcast_limit=1, head=2) == get(method="join")
+    r = E.unknown_words(df, vocab).first()
+    assert (r["words"], r["unknown"]) == (13, 2)
+
+
+def test_whole_vocabulary_has_dense_ids_by_count(spark):
+    df = spark.createDataFrame([(1, "x x x y y z z w w v")], "id bigint, prompt string")
+    got = [(r["word"], r["token_id"]) for r in E.build_vocab(df, "prompt").orderBy("token_id").collect()]
+    assert got == [("x", 2), ("w", 3), ("y", 4), ("z", 5), ("v", 6)]

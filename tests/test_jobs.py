@@ -39,7 +39,10 @@ def test_offline_feed_report(spark, tmpdir_shared):
     assert {r["type"] for r in spark.read.parquet(f"{rep}/dropped").collect()} >= {"total_dropped"}
     box = spark.read.parquet(f"{rep}/length_box").collect()
     assert {r["split"] for r in box} == {"training", "validation", "evaluation"}
-    assert len(fs.list_files(spark, f"{rep}/explore_csv", ".csv")) >= 1
+    for split in jobs.SPLITS:   # one export, sample and count per split
+        assert len(fs.list_files(spark, f"{rep}/explore_csv/split={split}", ".csv")) >= 1
+    assert spark.read.parquet(f"{rep}/explore_sample").groupBy("split").count().where("count = 10").count() == 3
+    assert spark.read.parquet(f"{rep}/explore_counts").count() == 3
 
 
 def test_retraining_feed_carries_version(spark, tmpdir_shared):
@@ -141,3 +144,20 @@ def test_scorer_sees_each_record_once(spark, tmpdir_shared):
     df = spark.createDataFrame([(i, f"p{i}") for i in range(6)], "pos bigint, payload string").coalesce(1)
     rows = score(df, scorer).collect()
     assert [r["status"] for r in rows] == ["ok"] * 3 + ["error"] + ["ok"] * 2 and len(_os.listdir(seen)) == 6
+
+
+def test_report_of_a_tracked_version(spark, tmpdir_shared):
+    import json
+    for v in (1, 2):
+        os.makedirs(f"{tmpdir_shared}/b/v{v}")
+        with open(f"{tmpdir_shared}/b/v{v}/retraining_data.json", "w") as f:
+            f.write("".join(json.dumps({"question": f"q {i}", "answer": "a", "question_type": "t"}) + "\n" for i in range(v)))
+        with open(f"{tmpdir_shared}/b/v{v}/metadata.json", "w") as f:
+            json.dump({"version": f"v{v}", "timestamp": "2024-01-01T00:00:00Z", "record_count": v, "archived_files": ["x"],
+                       "dropped": {"missing_question": v}}, f)
+    assert jobs.version_report(spark, f"{tmpdir_shared}/b", f"{tmpdir_shared}/r1", version=1) == 1
+    assert jobs.version_report(spark, f"{tmpdir_shared}/b", f"{tmpdir_shared}/r2") == 2
+    for v in (1, 2):
+        assert spark.read.parquet(f"{tmpdir_shared}/r{v}/types").first()["n"] == v
+        assert tuple(spark.read.parquet(f"{tmpdir_shared}/r{v}/dropped").first()) == ("missing_question", v)
+        assert spark.read.parquet(f"{tmpdir_shared}/r{v}/history").count() == 2
