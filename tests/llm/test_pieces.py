@@ -19,7 +19,7 @@ def test_same_ids_as_the_library(library):
     alphabet = " ▁  \n\t\r\x00aabcABthe ingéß中文字😀ñ0123456789.,;:<>=-_/\\|é"
     some = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(1500)]
     some += ["".join(rng.choice(enc.model.text[300:9000]) for _ in range(15)) for _ in range(200)]
-    some += ["", " ", "  ", "a" * 700, " " * 45, "▁▁ ▁a", "\n\n  \n", "http://a.b/c_d?e=f%20" * 9, *(t or "" for _, t in texts())]
+    some += ["", " ", "  ", "a" * 700, " " * 45, "▁▁ ▁a", "\n\n  \n", "\nstart", " \n x\n y \n", "a\n\nb \n c", "http://a.b/c_d?e=f%20" * 9, *(t or "" for _, t in texts())]
     ids, per = enc(some)
     at = np.concatenate([[0], np.cumsum(per)])
     for k, t in enumerate(some):
