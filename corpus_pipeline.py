@@ -29,8 +29,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_set_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line matches; n_chars follows the text.  No document goes."""
-    out = line_dedup.deduplicated(spark, docs)
+    """Documents without the lines that an earlier line matches; n_chars follows the text.
+    A document all of whose lines are such copies goes, as nothing would be left of it."""
+    out = line_dedup.deduplicated(spark, docs, drop_emptied=True)
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
 

@@ -14,7 +14,9 @@ sets, bound what can be common.
 
 Equal lines are one from the start.  Among the lines of a token each is
 compared with the earliest first; those without a match so far are then
-compared with all earlier lines of their tokens that pass the filters.
+compared with all earlier lines of their tokens that pass the filters, and one
+more: a 256-bit parity table of each set, whose differing bits bound from
+below how many tokens are not common.
 
 Tokens are 64-bit numbers: a level of rarity (LEVELS, by logarithm) above 58 bits of a hash.
 
@@ -39,8 +41,10 @@ PART, WHOLE = 75, 100
 BUCKETS = 1 << 16
 HASH_BITS = 58
 LEVELS = 32
-#: Documents whose ids are sent to every task to pick their lines; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Copies (two numbers each) that are sent to every task; more are taken out by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Size, in 64-bit words, of the table that lets the lines needed pass a scan (and others that share their bits).
+PASS_WORDS = 1 << 15
 
 
 def word_counts(docs: DataFrame) -> list[int]:
@@ -53,32 +57,51 @@ def word_counts(docs: DataFrame) -> list[int]:
     return out
 
 
+def _constant(numbers: list[int], kind: str) -> Column:
+    """An array of numbers as one constant of the plan."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+
+
 def _tokens(line: Column, levels: Column) -> Column:
-    """Distinct tokens of a line, rarest first; null if it has no words."""
-    low = F.lit((1 << HASH_BITS) - 1)
+    """Distinct tokens of a line, rarest first; empty if it has no words."""
+    low, high = F.lit((1 << HASH_BITS) - 1), F.lit(~((1 << HASH_BITS) - 1))
     # Each word as one number: level of its count above, hash below.
-    word = lambda x: let(F.xxhash64(x), lambda h: h.bitwiseAND(low) + F.shiftleft(
-        F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), HASH_BITS))
-    rarest = lambda x: x.bitwiseAND(F.lit(~((1 << HASH_BITS) - 1)))
-    def token(w: Column, i: Column) -> Column:
-        five = [F.get(w, i + k) for k in range(SHINGLE)]
-        return rarest(F.least(*five)) + F.xxhash64(*five).bitwiseAND(low)
-    def whole(w: Column) -> Column:
-        return rarest(F.array_min(w)) + F.xxhash64(w, F.lit(1)).bitwiseAND(low)
-    def both(w: Column) -> Column:
-        return F.when(F.size(w) >= SHINGLE, F.sort_array(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: token(w, i))))).when(F.size(w) > 0, F.array(whole(w)))
-    return let(F.transform(words(F.lower(line)), word), both)
+    word = lambda x: F.xxhash64(x).bitwiseAND(low) + F.shiftleft(
+        F.get(levels, F.xxhash64(x).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), HASH_BITS)
+    token = lambda five: F.array_min(five).bitwiseAND(high) + F.xxhash64(five).bitwiseAND(low)
+    def windows(w: Column) -> Column:
+        return F.when(F.size(w) >= SHINGLE, F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.slice(w, i, SHINGLE))
+                      ).when(F.size(w) > 0, F.array(w)).otherwise(F.array().cast("array<array<bigint>>"))
+    return F.sort_array(F.array_distinct(F.transform(let(F.transform(words(F.lower(line)), word), windows), token)))
 
 
 def tokenized(lines: DataFrame, counts: list[int]) -> DataFrame:
     """lines with column ``tokens``."""
     top = math.log2(max(counts) + 2)
-    level = ",".join(str(int(LEVELS * math.log2(n + 1) / top)) for n in counts)
-    levels = F.split(F.lit(level), ",").cast("array<int>")  # folded to one constant
+    levels = _constant([int(LEVELS * math.log2(n + 1) / top) for n in counts], "bigint")
     return lines.withColumn("tokens", _tokens(F.col("line"), levels))
 
 
+def _passing(ids: DataFrame) -> Column:
+    """Whether a line (doc_id, line_no) may be one of ids; PASS_WORDS numbers at most reach the driver."""
+    place = F.xxhash64("doc_id", "line_no").bitwiseAND(F.lit(PASS_WORDS * 64 - 1))
+    bits = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+    table = [0] * PASS_WORDS
+    for r in bits.toLocalIterator():
+        table[r["w"]] = r["bits"]
+    word = F.get(_constant(table, "bigint"), F.shiftright(place, 6).cast("int"))
+    return F.lit(0).cast("long") != word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")))
+
+
+def _parity(tokens: Column) -> Column:
+    """Four numbers: of each of 256 places, whether an odd number of tokens falls on it."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    part = lambda g: F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: F.when(
+        F.shiftright(t, 6).bitwiseAND(F.lit(3)) == g, acc.bitwiseXOR(bit(t))).otherwise(acc))
+    return F.array(*[part(g) for g in range(4)])
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line_no (from 0), line of every line."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line_no", "line"))
@@ -94,26 +117,29 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     counts = word_counts(docs)
     lines = lines_of(docs)
-    keyed = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit(1), "line"))
     # The first of equal lines stands for all; the others go.
-    places = staged(spark, keyed.select("k1", "k2", "doc_id", "line_no"), "places")
-    first = places.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    first = staged(spark, places.join(first.withColumnRenamed("doc_id", "d"), ["k1", "k2"]).where("doc_id = d").groupBy(
-        "k1", "k2", "doc_id").agg(F.min("line_no").alias("line_no"), F.max("copies").alias("copies")), "first")
-    copies = places.join(first.where("copies > 1").select("k1", "k2", F.col("doc_id").alias("d"), F.col("line_no").alias("l")), ["k1", "k2"]).where(
-        "doc_id > d or (doc_id = d and line_no > l)").select("doc_id", "line_no")
-    own = first.select("doc_id", "line_no")
+    equal = W.partitionBy("k1", "k2").orderBy("doc_id", "line_no")
+    copies = staged(spark, lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
+        F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), "doc_id", "line_no").withColumn(
+        "n", F.row_number().over(equal)).where("n > 1").select("doc_id", "line_no").distinct(), "copies")
+    few = copies.count() <= BROADCAST_ROWS
+    single = lines.join(F.broadcast(copies) if few else copies, ["doc_id", "line_no"], "left_anti") if few else lines
     # Only the first tokens of a line leave the scan.
     n = F.size("tokens")
-    prefix = tokenized(lines, counts).where(F.col("tokens").isNotNull()).select(
-        "doc_id", "line_no", n.alias("n"), F.slice("tokens", F.lit(1), (n - F.ceil(n * PART / WHOLE) + 1).cast("int")).alias("prefix"))
-    prefix = prefix.join(own, ["doc_id", "line_no"], "left_semi")
+    prefix = tokenized(single, counts).select("doc_id", "line_no", n.alias("n"), F.slice(
+        "tokens", F.lit(1), (n - F.ceil(n * PART / WHOLE) + 1).cast("int")).alias("prefix"))
+    if not few:
+        prefix = prefix.join(copies, ["doc_id", "line_no"], "left_anti")
     each = prefix.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "token"))
     order = W.partitionBy("token").orderBy("doc_id", "line_no")
     near = each.withColumn("before", F.lag("n").over(order)).withColumn("after", F.lead("n").over(order)).where(
         "before is not null or after is not null")
     shared = staged(spark, near.select(
         "token", "doc_id", "line_no", "n", "at", *[F.first(c).over(order).alias(f"{c}0") for c in ("doc_id", "line_no", "n", "at")]), "shared")
+    # The whole sets of those lines that share a token with another.
+    ids = staged(spark, shared.select("doc_id", "line_no").distinct(), "ids")
+    picked = tokenized(lines.where(_passing(ids)), counts).join(ids, ["doc_id", "line_no"], "left_semi")
+    sets = staged(spark, picked.select("doc_id", "line_no", "tokens"), "sets")
 
     def could(n1: str, at1: str, n2: str, at2: str) -> Column:
         left = F.least(F.col(n1) - F.col(at1), F.col(n2) - F.col(at2))
@@ -121,12 +147,6 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def matched(pairs: DataFrame) -> DataFrame:
         """doc_id, line_no of pairs (doc_id, line_no, doc_id0, line_no0) that match."""
-        ids = pairs.select("doc_id", "line_no").union(pairs.select("doc_id0", "line_no0")).distinct()
-        ids = staged(spark, ids, "ids")
-        some = ids.select("doc_id").distinct()
-        some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
-        picked = lines_of(docs.join(some, "doc_id", "left_semi")).join(ids, ["doc_id", "line_no"], "left_semi")
-        sets = staged(spark, tokenized(picked, counts).select("doc_id", "line_no", "tokens"), "sets")
         two = pairs.join(sets, ["doc_id", "line_no"]).join(sets.select(
             F.col("doc_id").alias("doc_id0"), F.col("line_no").alias("line_no0"), F.col("tokens").alias("tokens0")), ["doc_id0", "line_no0"])
         return two.where(F.size(F.array_intersect("tokens", "tokens0")) * (PART + WHOLE) >= _needed(F.size("tokens"), F.size("tokens0"))).select(
@@ -137,22 +157,34 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     stars = staged(spark, shared.where(later & could("n", "at", "n0", "at0")).select(*names).distinct(), "pairs")
     gone = staged(spark, matched(stars), "gone")
     # Those that the earliest left: all earlier lines of their tokens.
+    held = sets.select("doc_id", "line_no", _parity(F.col("tokens")).alias("parity"))
     rest = shared.select("token", "doc_id", "line_no", "n", "at").join(gone, ["doc_id", "line_no"], "left_anti")
-    earlier = shared.select("token", *[F.col(c).alias(f"{c}0") for c in ("doc_id", "line_no", "n", "at")])
-    pairs = rest.join(earlier, (rest["token"] == earlier["token"]) & later & could("n", "at", "n0", "at0")).select(*names).distinct()
+    rest = staged(spark, rest.join(held, ["doc_id", "line_no"]), "rest")
+    wanted = rest.select("token").distinct()
+    earlier = shared.select("token", "doc_id", "line_no", "n", "at").join(wanted, "token", "left_semi").join(held, ["doc_id", "line_no"]).select(
+        "token", *[F.col(c).alias(f"{c}0") for c in ("doc_id", "line_no", "n", "at", "parity")])
+    differ = sum((F.bit_count(F.get("parity", F.lit(g)).bitwiseXOR(F.get("parity0", F.lit(g)))) for g in range(4)), F.lit(0))
+    common = (F.col("n") + F.col("n0") - differ) * (PART + WHOLE) >= _needed(F.col("n"), F.col("n0")) * 2
+    pairs = rest.join(earlier, (rest["token"] == earlier["token"]) & later & could("n", "at", "n0", "at0") & common).select(*names).distinct()
     pairs = staged(spark, pairs.join(stars, names, "left_anti"), "pairs")
     return copies.union(gone).union(matched(pairs)).distinct()
 
 
-def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs with the removed lines taken out of text (other columns as they are)."""
+def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """docs with the removed lines taken out of text (other columns as they are).
+
+    drop_emptied: documents that lose their last line with words go; those that had none stay.
+    """
     gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id")).agg(F.collect_set("line_no").alias("removed_lines"))
     rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("id"))
     out = rows.join(staged(spark, gone, "removed"), F.col("id") == F.col("removed_id"), "left")
     kept = let(F.split(F.col("whole.text").cast("string"), "\n"), lambda x: F.transform(F.array_except(
         F.sequence(F.lit(0), F.size(x) - 1), F.col("removed_lines")), lambda i: F.get(x, i)))
     text = F.when(F.col("removed_lines").isNull(), F.col("whole.text")).otherwise(F.array_join(kept, "\n"))
-    return out.select(*[(text if c == "text" else F.col("whole")[c]).alias(c) for c in docs.columns])
+    out = out.withColumn("left_over", text)
+    if drop_emptied:
+        out = out.where(F.col("removed_lines").isNull() | F.col("left_over").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*[(F.col("left_over") if c == "text" else F.col("whole")[c]).alias(c) for c in docs.columns])
 
 
 def op4_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,8 @@ def test_documents_without_the_lines(spark):
     out = L.deduplicated(spark, df)
     assert out.schema == df.schema or out.columns == df.columns
     assert {(r.doc_id, r.text) for r in out.collect()} == {(1, "a b c\nkeep one"), (2, None), (3, ""), (4, "x\n\ny\n"), (None, "a b c"), (5, "")}
+    left = L.deduplicated(spark, df, drop_emptied=True).collect()
+    assert {r.doc_id for r in left} == {1, 2, 4, None, 5}
     clash = df.withColumn("removed_lines", df.label).withColumn("removed_id", df.label)
     assert L.deduplicated(spark, clash).count() == 6
 

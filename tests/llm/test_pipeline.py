@@ -31,6 +31,7 @@ def expected(rows, items):
     rows = [(i, t) for i, t in rows if counts(t)[0] >= 50 and 100 * counts(t)[4] <= 50 * counts(t)[0]]
     gone = removed_lines(rows)
     rows = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)) for i, t in rows]
+    rows = [(i, t) for i, t in rows if WORD.search(t)]  # every document has words before this stage
     rows = [(i, t) for i, t in rows if near(rows)[i][2]]
     hit = {int(x[0]) for x in contaminated(rows, items) if x[-1]}
     return [(i, t) for i, t in rows if i not in hit]
