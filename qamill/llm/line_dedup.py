@@ -41,7 +41,7 @@ PART, WHOLE = 75, 100
 BUCKETS = 1 << 16
 HASH_BITS = 58
 LEVELS = 32
-#: Copies (two numbers each) that are sent to every task; more are taken out by a shuffle.
+#: Copies (three numbers each) that are sent to every task; more are taken out by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Size, in 64-bit words, of the table that lets the lines needed pass a scan (and others that share their bits).
 PASS_WORDS = 1 << 15
@@ -117,19 +117,24 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     counts = word_counts(docs)
     lines = lines_of(docs)
-    # The first of equal lines stands for all; the others go.
-    equal = W.partitionBy("k1", "k2").orderBy("doc_id", "line_no")
-    copies = staged(spark, lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
-        F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), "doc_id", "line_no").withColumn(
-        "n", F.row_number().over(equal)).where("n > 1").select("doc_id", "line_no").distinct(), "copies")
+    # The first of equal lines stands for all; those at a later place go.  Rows that repeat a doc_id
+    # can have several lines at one place: they are told apart by k1.
+    place = F.struct("doc_id", "line_no")
+    keyed = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
+        F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), place.alias("place"))
+    firsts = staged(spark, keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(
+        "first < last").drop("last"), "firsts")
+    copies = staged(spark, keyed.join(firsts, ["k1", "k2"]).where("place > first").select(
+        "place.doc_id", "place.line_no", "k1").distinct(), "copies")
     few = copies.count() <= BROADCAST_ROWS
-    single = lines.join(F.broadcast(copies) if few else copies, ["doc_id", "line_no"], "left_anti") if few else lines
+    lines = lines.withColumn("k1", F.xxhash64("line"))
+    single = lines.join(F.broadcast(copies), ["doc_id", "line_no", "k1"], "left_anti") if few else lines
     # Only the first tokens of a line leave the scan.
     n = F.size("tokens")
-    prefix = tokenized(single, counts).select("doc_id", "line_no", n.alias("n"), F.slice(
+    prefix = tokenized(single, counts).select("doc_id", "line_no", "k1", n.alias("n"), F.slice(
         "tokens", F.lit(1), (n - F.ceil(n * PART / WHOLE) + 1).cast("int")).alias("prefix"))
     if not few:
-        prefix = prefix.join(copies, ["doc_id", "line_no"], "left_anti")
+        prefix = prefix.join(copies, ["doc_id", "line_no", "k1"], "left_anti")
     each = prefix.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "token"))
     order = W.partitionBy("token").orderBy("doc_id", "line_no")
     near = each.withColumn("before", F.lag("n").over(order)).withColumn("after", F.lead("n").over(order)).where(
@@ -167,7 +172,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     common = (F.col("n") + F.col("n0") - differ) * (PART + WHOLE) >= _needed(F.col("n"), F.col("n0")) * 2
     pairs = rest.join(earlier, (rest["token"] == earlier["token"]) & later & could("n", "at", "n0", "at0") & common).select(*names).distinct()
     pairs = staged(spark, pairs.join(stars, names, "left_anti"), "pairs")
-    return copies.union(gone).union(matched(pairs)).distinct()
+    return copies.select("doc_id", "line_no").union(gone).union(matched(pairs)).distinct()
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = False) -> DataFrame:

@@ -52,6 +52,22 @@ def test_repeated_rows_and_empty_table(spark):
     assert removed(spark, []) == set()
 
 
+def test_rows_of_one_doc_id(spark, monkeypatch):
+    """A line that stands beside a copy, at the same place of another row, still removes later ones."""
+    rng = random.Random(7)
+    line, other = sentence(rng, 40), sentence(rng, 40)
+    rows = [(1, line), (2, line), (2, other), (2, other), (3, changed(rng, other, 1)), (4, f"{other}\n{line}")]
+    for most in (L.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(L, "BROADCAST_ROWS", most)
+        assert removed(spark, rows) == expected(rows) == {(2, 0), (3, 0), (4, 0), (4, 1)}
+
+
+def test_repeated_rows_keep_their_lines(spark):
+    rows = [(1, "a b c\nd"), (1, "a b c\nd"), (1, "a b c\nd"), (2, "d")]
+    left = L.deduplicated(spark, documents(spark, rows), drop_emptied=True)
+    assert [(r.doc_id, r.text) for r in left.collect()] == [(1, "a b c\nd")] * 3
+
+
 def test_documents_without_the_lines(spark):
     rows = [(1, "a b c\nkeep one"), (2, None), (3, "a b c"), (4, "x\n\na b c\ny\n"), (None, "a b c"), (5, "")]
     df = documents(spark, rows)
