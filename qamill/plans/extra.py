@@ -209,18 +209,22 @@ def q_report_version(spark, sf_dir):
     return spark.read.parquet(f"{root}/report/types").select("question_type", "n")
 
 
-BIG_COPIES = 60
+#: Copies of each row, and ids of one file: the number of files grows with the table, not their size.
+BIG_COPIES, BIG_IDS = 60, 1000
 
 
 def q_ingest_big_array(spark, sf_dir):
-    """One JSON array on one line, too large for a single parsed value (150 MB at sf0.01)."""
+    """JSON arrays on one line each, too large for a single parsed value (150 MB of one range of ids)."""
     root = scratch_dir(spark, "ingest")
     docs = S.qa_docs(spark, sf_dir).withColumn("answer", F.coalesce("answer", "question")).select(
         "id", "answer", F.explode(F.sequence(F.lit(1), F.lit(BIG_COPIES))).alias("copy"))
     docs = docs.select("id", "copy", F.lit("q").alias("question"), "answer")
     items = F.array_join(F.collect_list(F.to_json(F.struct(*docs.columns))), ",")
-    docs.agg(F.concat(F.lit("["), items, F.lit("]")).alias("value")).write.text(f"{root}/tmp")
-    dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp", ".txt"), f"{root}/drop", "big")
+    docs.groupBy(F.floor(F.col("id") / BIG_IDS).alias("g")).agg(F.concat(F.lit("["), items, F.lit("]")).alias("value")).write.partitionBy(
+        "g").text(f"{root}/tmp")
+    for g in fs.list_names(spark, f"{root}/tmp"):
+        if g.startswith("g="):
+            dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp/{g}", ".txt"), f"{root}/drop", f"big-{g[2:]}")
     V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
     return V.read_all(spark, f"{root}/base").groupBy("copy").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("answer")).alias("chars"))
 

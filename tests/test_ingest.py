@@ -1,6 +1,7 @@
 import os
 
 from qamill.operators import versions as V
+from qamill.plans import extra as X
 from qamill.sources import dropdir
 from qamill.streaming.ingest import run_ingest_once
 
@@ -240,3 +241,16 @@ def test_file_names_with_space_percent_plus_and_accents(spark, tmpdir_shared):
         "with space.json": 1, "é%x+y.json": 2, "pretty  one.json": 1}
     assert os.listdir(drop) == []
     assert sorted(os.listdir(f"{arch}/v1")) == sorted(["with space.json", "é%x+y.json", "pretty  one.json"])
+
+
+def test_big_array_files_grow_in_number_not_size(spark, monkeypatch):
+    """ingest_big_array: a file holds one range of ids, and all rows come back."""
+    files = []
+    publish = X.dropgen._publish
+    monkeypatch.setattr(X.dropgen, "_publish", lambda *a: files.extend(publish(*a)) or files)
+    monkeypatch.setattr(X, "BIG_IDS", 20, raising=False)
+    sf = "/root/testdata/sf0.001"
+    got = X.q_ingest_big_array(spark, sf).collect()
+    ids = [r.id for r in X.S.qa_docs(spark, sf).select("id").collect()]
+    assert len(files) == len({i // 20 for i in ids}) > 1
+    assert len(got) == X.BIG_COPIES and len({(r.n, r.chars) for r in got}) == 1
