@@ -23,6 +23,7 @@ EXPLORE_TYPES = ("Causes", "outlook", "Symptoms", "information")
 EXPLORE_KEYWORD = "ti(on|er)"
 SEED = 42
 VOCAB_SIZE = 32_000
+WHOLE_HEAD = 50
 SEQ_LEN = E.MAX_LEN
 BATCH_SIZE = 8
 WORKERS = 2
@@ -170,6 +171,19 @@ def q_encode_fixed(spark, sf_dir):
     return E.encode(p, vocab, "id", "prompt", SEQ_LEN)
 
 
+def q_vocabulary_whole(spark, sf_dir):
+    return E.build_vocab(_pairs_prompt(spark, sf_dir, "short"), "prompt")
+
+
+def q_encode_whole(spark, sf_dir):
+    """The whole vocabulary, joined: a broadcast head of WHOLE_HEAD words and a shuffled tail."""
+    from qamill.session import scratch_dir  # noqa: PLC0415
+
+    p = _pairs_prompt(spark, sf_dir, "short")
+    vocab = E.build_vocab(p, "prompt", staging=scratch_dir(spark, "vocab"))
+    return E.encode(p, vocab, "id", "prompt", SEQ_LEN, method="join", broadcast_limit=0, head=WHOLE_HEAD)
+
+
 def q_next_token_pairs(spark, sf_dir):
     return E.next_token_pairs(q_encode_fixed(spark, sf_dir)).select("id", "inputs", "targets")
 
@@ -212,6 +226,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_short": q_prompt_short,
     "vocabulary": q_vocabulary,
     "encode_fixed": q_encode_fixed,
+    "vocabulary_whole": q_vocabulary_whole,
+    "encode_whole": q_encode_whole,
     "next_token_pairs": q_next_token_pairs,
     "batches_epoch": q_batches_epoch,
     "worker_shards": q_worker_shards,

@@ -114,7 +114,8 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
     """Encode once, write samples sharded per worker, and batch plans per epoch.
 
     ``train``/``val`` need ``key``, ``question``, ``answer`` and ``split_pos``.
-    Output: ``vocab/``, ``samples/split=/shard=/`` (Parquet), ``batches/``.
+    Output: ``vocab/``, ``samples/split=/shard=/`` (Parquet), ``batches/``,
+    ``unknown/`` (words and unknown words of each split).
     """
     out = out.rstrip("/")
     stage = f"{out}/_staging"
@@ -131,6 +132,9 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
                           staging=f"{stage}/vocab")
     vocab.write.mode("errorifexists").parquet(f"{out}/vocab")
     vocab = spark.read.parquet(f"{out}/vocab")
+    # Words of each split, and how many the vocabulary lacks.
+    unknown = [E.unknown_words(prompts.where(F.col("split") == x), vocab).withColumn("split", F.lit(x)) for x in ("training", "validation")]
+    unknown[0].unionByName(unknown[1]).write.mode("errorifexists").parquet(f"{out}/unknown")
     enc = E.encode(prompts, vocab, key, "prompt", max_len, label_pad=label_pad,
                    carry=(*carry, "split", "split_pos"))
     samples = O.shard(enc, "split_pos", workers).select("*", *lit_cols)

@@ -135,6 +135,14 @@ VOCAB = f"""p as (select id, {PROMPT_SHORT} as prompt from qa_pairs),
 
 ENCODE = encode_sql()
 
+
+def whole(sql: str) -> str:
+    """The same without a cap on the vocabulary."""
+    cap = f" qualify row_number() over (order by n desc, word) <= {Q.VOCAB_SIZE}"
+    assert cap in sql
+    return sql.replace(cap, "")
+
+
 TYPES_IN = ", ".join(lit(t) for t in Q.EXPLORE_TYPES)
 KW = lit("(?i)" + Q.EXPLORE_KEYWORD)
 
@@ -256,6 +264,8 @@ from events where event_id % 11 <> 0 and not {blank('event_type')}""",
         "prompt_short": f"with {QA_PAIRS} select id, {PROMPT_SHORT} as prompt from qa_pairs",
         "vocabulary": f"with {QA_PAIRS}, {VOCAB} select word, n, token_id from vocab",
         "encode_fixed": f"with {QA_PAIRS}, {VOCAB}, {ENCODE} select * from encoded",
+        "vocabulary_whole": f"with {QA_PAIRS}, {whole(VOCAB)} select word, n, token_id from vocab",
+        "encode_whole": f"with {QA_PAIRS}, {whole(VOCAB)}, {ENCODE} select * from encoded",
         "next_token_pairs": f"""with {QA_PAIRS}, {VOCAB}, {ENCODE}
 select id, input_ids[1:{Q.SEQ_LEN - 1}] as inputs, labels[2:{Q.SEQ_LEN}] as targets from encoded""",
         "batches_epoch": f"""with {QA_DOCS}, {QA_CLEAN}, {SPLITS},

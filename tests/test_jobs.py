@@ -161,3 +161,14 @@ def test_report_of_a_tracked_version(spark, tmpdir_shared):
         assert spark.read.parquet(f"{tmpdir_shared}/r{v}/types").first()["n"] == v
         assert tuple(spark.read.parquet(f"{tmpdir_shared}/r{v}/dropped").first()) == ("missing_question", v)
         assert spark.read.parquet(f"{tmpdir_shared}/r{v}/history").count() == 2
+
+
+def test_feed_counts_unknown_words(spark, tmpdir_shared):
+    row = lambda i, q: (i, q, "c", i)
+    df = lambda rows: spark.createDataFrame(rows, "id long, question string, answer string, split_pos long")
+    for most, fewer in ((None, 0), (2, 1)):
+        out = f"{tmpdir_shared}/feed{most}"
+        jobs.feed(spark, df([row(0, "a a b")]), df([row(1, "a zzz")]), out, style="short", max_vocab=most)
+        got = {r.split: r for r in spark.read.parquet(f"{out}/unknown").collect()}
+        assert got["validation"].unknown >= 1 and (got["training"].unknown > 0) == bool(fewer)
+        assert got["training"].words == got["validation"].words + 1
