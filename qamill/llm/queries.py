@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from qamill.llm import chat, decontaminate, line_dedup, near_dedup, passages, pieces, quality, resampling, secret_scan, token_store, warc
+from qamill.llm import chat, collocations, decontaminate, line_dedup, near_dedup, passages, pieces, quality, resampling, secret_scan, token_store, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": near_dedup.op1_minhash_near_dedup,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_typed_chat_format": chat.op8_typed_chat_format,
     "op9_winnowing_decontamination": decontaminate.op9_winnowing_decontamination,
     "op10_context_mixing_ids": token_store.op10_context_mixing_ids,
+    "op11_stripes_collocations": collocations.op11_stripes_collocations,
     "op13_importance_resampling": resampling.op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
@@ -30,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op6_risk_controlled_quality": quality.ORACLE,
     "op8_typed_chat_format": chat.ORACLE,
     "op9_winnowing_decontamination": decontaminate.ORACLE,
+    "op11_stripes_collocations": collocations.ORACLE,
 }
