@@ -7,17 +7,18 @@ them out whenever they hold HELD entries; stripes of one prefix then meet in one
 place and are added elementwise, in the order of a sort, so that only one stripe
 is held.  A stripe is dealt in PARTS parts by the hash of the next word (the
 same everywhere), so no part of a frequent prefix grows with the vocabulary.
-The added stripe says all that is asked of a phrase: the entry of its last word
-in its prefix's stripe is its frequency, the stripe of the empty prefix totals
-the words of a language, and the greatest entry of its own stripe is the most
-frequent extension to the right; extensions to the left are entries whose last
-words are the phrase.
-
-Two passes: prefixes of 0 and 1 words first, then prefixes of 2 and 3 words,
-only inside runs of words whose neighbouring pairs are all frequent, as no
-other phrase can be.  Frequent pairs are looked up in a bit table of fixed size
-(2^BITS bits): it lets some others through, and fills up as the corpus grows,
-which costs work but changes nothing, as counts decide.
+The added stripes say all that is asked of a phrase: the entry of its last word
+in its prefix's stripe is its frequency, the greatest entry of its own stripe is
+the most frequent extension to the right, and extensions to the left are entries
+whose last words are the phrase.
+
+Most phrases are rare, and stripes needn't hold them.  A first pass counts the
+hashes of all phrases of 1 to 4 words: 2^32 counters, dealt in RANGES ranges of
+hashes, of which a task adds up one at a time.  What reaches the stripes is told
+by a bit table of fixed size (16 MB), one bit for 32 neighbouring counters, set
+if any of them reached ``least``.  It lets some rare phrases through, and more
+as the corpus grows, which costs work but changes nothing, as the stripes' counts
+decide.
 
 Only entries of at least ``least`` occurrences leave a stripe.  Both halves of
 every cut of a candidate are as frequent as itself, so all lookups are joins
@@ -25,17 +26,20 @@ among those.  A longer phrase that holds a candidate and 80 % of its
 occurrences has a sub-phrase one word longer than the candidate that holds as
 many, so only extensions by one word are compared.
 
+Within a slice of some MB equal phrases are found by 64-bit hashes; everything
+that leaves a slice is named by its words.
+
 Cases: null, empty or wordless texts give nothing; null lang counts as ``und``,
 together with that language.  Repeated rows count each time.  A very long text
-is counted in stretches of CHUNK bytes that overlap by three words.  Empty
+is counted in stretches of about CHUNK bytes that overlap by three words.  Empty
 table: no rows.  Columns other than text and lang aren't looked at.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from qamill.llm import hashing as H
 from qamill.llm.tables import staged
 from qamill.session import ship_package
 
@@ -53,188 +58,251 @@ LEAST = 30
 COVER = 80
 TOP = 2000
 #: Parts of a stripe, by words of its prefix.
-PARTS = (1024, 16, 4, 2)
-#: Entries that a task holds before it writes its stripes.
-HELD = 400_000
+PARTS = (256, 8, 2, 2)
+#: Entries that a task holds before it writes its stripes, and hashes before it writes their counts.
+HELD, HASHES = 400_000, 6_000_000
 CHUNK = 1 << 20
-BITS = 26
+RANGES = 1 << 10
+_SPAN = (1 << 32) // RANGES
 _SALTS = 256
-_KNOWN = 400_000
-_TABLE = bytes.maketrans(bytes(range(65, 91)) + PIECE_ENDS, bytes(range(97, 123)) + b"\n" * len(PIECE_ENDS))
-_RUNS = re.compile(b"\x01{2,}")
-
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+_END = np.zeros(256, dtype=bool)
+_END[list(PIECE_ENDS)] = True
+_SEPARATOR = _END.copy()
+_SEPARATOR[[0x20, 0x09]] = True
+_CUT = re.compile(b"[ \t" + re.escape(PIECE_ENDS) + b"]")
+_PIECE = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
+
+HASHED = "range int, gaps binary, counts binary"
 STRIPE = "lang string, prefix binary, part int, words array<binary>, counts array<long>"
-#: word: an entry (prefix, word, n).  Without one: n is the sum of the part's entries.
-ENTRY = "lang string, prefix binary, word binary, n long, pair long"
-
-
-def stretches(text: bytes) -> Iterator[tuple[list[bytes], int]]:
-    """Words of each piece, long ones in stretches; with each, how many of its words were in the last one."""
-    for piece in text.translate(_TABLE).split(b"\n"):
-        a, kept = 0, []
-        while len(piece) - a > CHUNK:
-            b = min((x for x in (piece.find(b" ", a + CHUNK), piece.find(b"\t", a + CHUNK)) if x >= 0), default=len(piece))
-            words = kept + piece[a:b].split()
-            yield words, len(kept)
-            a, kept = b, words[1 - LONGEST:]
-        words = kept + piece[a:].split()
-        if len(words) > len(kept):
-            yield words, len(kept)
-
-
-def pair_hash(lang: str, first: bytes, second: bytes) -> int:
-    """A 64-bit hash of two neighbouring words of a language."""
-    import xxhash  # noqa: PLC0415
-
-    return xxhash.xxh64_intdigest(b"\0".join((lang.encode(), first, second)))
-
-
-class _Frequent(dict):
-    """Whether a pair of words may be frequent: remembered answers of the bit table."""
+#: word: an entry (prefix, word, n).  Without one: n is the number of words of the language.
+ENTRY = "lang string, prefix binary, word binary, n long"
+
+
+def stretches(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """text in parts of about CHUNK bytes, words whole; with each, how many words at its start repeat the last part's end."""
+    a, kept, skip = 0, b"", 0
+    while len(text) - a > CHUNK:
+        m = _CUT.search(text, a + CHUNK)
+        if m is None:
+            break
+        part = kept + text[a:m.start()]
+        yield part, skip
+        a = m.start()
+        tail = _PIECE.split(part)[-1].split()[1 - LONGEST:]
+        kept, skip = b" ".join(tail) + b" ", len(tail)
+    yield kept + text[a:], skip
+
+
+class Slice:
+    """Words of some texts, and the hashes of their phrases."""
+
+    def __init__(self, parts: list[tuple[bytes, int, int]], langs: list[str]) -> None:
+        """parts: (bytes, number of the language, words that don't count)."""
+        self.raw = b"".join(p for p, _, _ in parts).translate(_LOWER)
+        offs = np.concatenate([[0], np.cumsum([len(p) for p, _, _ in parts])]).astype(np.int64)
+        buf = np.frombuffer(self.raw, dtype=np.uint8)
+        self.starts, self.ends, bounds = H.word_spans(buf, offs, _SEPARATOR)
+        self.row = np.repeat(np.arange(len(parts)), np.diff(bounds))
+        self.lang = np.array([x for _, x, _ in parts], dtype=np.int64)[self.row]
+        skip = np.array([x for _, _, x in parts], dtype=np.int64)[self.row]
+        self.left = skip - (np.arange(len(self.row)) - bounds[self.row])
+        ends = np.cumsum(_END[buf])
+        self.joined = (self.row[1:] == self.row[:-1]) & (ends[self.starts[1:]] == ends[self.ends[:-1] - 1]) if len(self.row) else np.zeros(0, bool)
+        self.words = H.word_hashes(buf, self.starts, self.ends)
+        self.salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in langs], dtype=H.U64)
+
+    def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first words of all phrases of n words that count here, and their hashes."""
+        m = max(len(self.words) - n + 1, 0)
+        ok = self.left[:m] < n
+        for j in range(n - 1):
+            ok &= self.joined[j:j + m]
+        return np.flatnonzero(ok), H.mix64(H.window_hashes(self.words, n) ^ self.salt[self.lang[:m]])[ok]
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.starts[i]:self.ends[i]]
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[str]]]:
+    """Slices of (text, lang) batches, and the languages so far."""
+    parts, size, langs = [], 0, {}
+    for b in batches:
+        for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+            x = langs.setdefault(lang, len(langs))
+            for part, skip in stretches(text.as_py()):
+                parts.append((part, x, skip))
+                size += len(part)
+                if size > H.SLICE_BYTES:
+                    yield Slice(parts, list(langs)), list(langs)
+                    parts, size = [], 0
+    if parts:
+        yield Slice(parts, list(langs)), list(langs)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("text").cast("string").cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).where(
+        F.col("text").isNotNull())
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: the higher ones are mostly zero and pack well."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def frequent_table(spark: SparkSession, docs: DataFrame, least: int):
+    """The broadcast bit table of hashes that may belong to a phrase of ``least`` occurrences."""
+    most = HASHES
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            u, n = np.unique(np.concatenate(held), return_counts=True)
+            at = np.searchsorted(u, np.arange(0, RANGES + 1, dtype=np.int64) * _SPAN)
+            used = np.flatnonzero(np.diff(at))
+            gaps = [_planes(np.diff(u[at[r]:at[r + 1]].astype(np.int64) - r * _SPAN, prepend=0)) for r in used]
+            counts = [_planes(np.minimum(n[at[r]:at[r + 1]], least)) for r in used]
+            return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(gaps, pa.binary()), pa.array(counts, pa.binary())],
+                                              names=["range", "gaps", "counts"])
+
+        held, size = [], 0
+        for s, _ in slices(batches):
+            for k in range(1, LONGEST + 1):
+                h = (s.phrases(k)[1] >> H.U64(32)).astype(np.uint32)
+                held.append(h)
+                size += len(h)
+            if size > most:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(_SPAN, dtype=np.uint32)
+
+        def bits() -> pa.RecordBatch:
+            some = np.packbits((total >= least).reshape(-1, 32).any(axis=1), bitorder="little")
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["range", "bits"])
 
-    def __init__(self, lang: str, table: np.ndarray) -> None:
-        super().__init__()
-        self.lang, self.table = lang, table
-
-    def __missing__(self, pair: tuple[bytes, bytes]) -> int:
-        if len(self) > _KNOWN:
-            self.clear()
-        p = pair_hash(self.lang, *pair) & (len(self.table) * 64 - 1)
-        out = self[pair] = int(self.table[p >> 6]) >> (p & 63) & 1
-        return out
-
-
-def _add(counts: list[Counter], words: list[bytes], old: int, sizes: range) -> None:
-    """Phrases of sizes[i] words in counts[i]; those within the first ``old`` words are known."""
-    for c, m in zip(counts, sizes, strict=True):
-        first = max(old - m + 1, 0)
-        c.update(zip(*[words[first + j:] for j in range(m)], strict=False))
+        for b in batches:
+            for r, gaps, counts in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if r != now:
+                    if now is not None:
+                        yield bits()
+                    now = r
+                    total[:] = 0
+                at = np.cumsum(_from_planes(gaps), dtype=np.int64)
+                total[at] = np.minimum(total[at] + _from_planes(counts), least)
+        if now is not None:
+            yield bits()
+
+    sums = _rows(docs).mapInArrow(hashed, HASHED).repartition("range").sortWithinPartitions("range").mapInArrow(added, "range int, bits binary")
+    size = _SPAN // 32 // 8
+    table = np.zeros(RANGES * size, dtype=np.uint8)
+    for r in sums.collect():
+        table[r["range"] * size:(r["range"] + 1) * size] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return spark.sparkContext.broadcast(table)
 
 
-def _striped(lang: str, counts: list[Counter]) -> list[tuple]:
-    """Rows of STRIPE of counted phrases."""
+def _striped(held: dict[tuple, int], langs: list[str]) -> Iterator[pa.RecordBatch]:
+    """STRIPE rows of counted (language, words before, prefix, word)."""
     out: dict[tuple, tuple[list, list]] = {}
-    for c in counts:
-        for phrase, n in c.items():
-            word = phrase[-1]
-            key = (phrase[:-1], zlib.crc32(word) % PARTS[len(phrase) - 1])
-            row = out.get(key)
-            if row is None:
-                row = out[key] = ([], [])
-            row[0].append(word)
-            row[1].append(n)
-        c.clear()
-    return [(lang, b" ".join(p), part, w, n) for (p, part), (w, n) in out.items()]
-
-
-def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for (lang, n, prefix, word), c in held.items():
+        key = (lang, prefix, zlib.crc32(word) % PARTS[n] if word else -1)
+        row = out.get(key)
+        if row is None:
+            row = out[key] = ([], [])
+        row[0].append(word)
+        row[1].append(c)
+    rows = list(out.items())
     for a in range(0, len(rows), 50_000):
-        lang, prefix, part, words, counts = zip(*rows[a:a + 50_000], strict=True)
+        some = rows[a:a + 50_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(prefix, pa.binary()), pa.array(part, pa.int32()), pa.array(words, pa.list_(pa.binary())),
-             pa.array(counts, pa.list_(pa.int64()))], names=["lang", "prefix", "part", "words", "counts"])
+            [pa.array([langs[k[0]] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.binary()), pa.array([k[2] for k, _ in some], pa.int32()),
+             pa.array([v[0] for _, v in some], pa.list_(pa.binary())), pa.array([v[1] for _, v in some], pa.list_(pa.int64()))],
+            names=["lang", "prefix", "part", "words", "counts"])
 
 
-def stripes(docs: DataFrame, sizes: range, pairs=None) -> DataFrame:
-    """STRIPE rows of phrases of ``sizes`` words; pairs: broadcast bit table of the pairs that may be frequent."""
+def stripes(docs: DataFrame, table) -> DataFrame:
+    """STRIPE rows of the phrases that the bit table lets through.  Part -1 of the empty prefix counts all words."""
     most = HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[Counter]] = {}
-        known: dict[str, _Frequent] = {}
-        for b in batches:
-            for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                counts = held.setdefault(lang, [Counter() for _ in sizes])
-                for words, old in stretches(text.as_py()):
-                    if pairs is None:
-                        _add(counts, words, old, sizes)
-                        continue
-                    if lang not in known:
-                        if len(known) > 64:
-                            known.clear()
-                        known[lang] = _Frequent(lang, pairs.value)
-                    flags = bytes(map(known[lang].__getitem__, zip(words, words[1:], strict=False)))
-                    for m in _RUNS.finditer(flags):
-                        _add(counts, words[m.start():m.end() + 1], max(old - m.start(), 0), sizes)
-                if sum(len(c) for one in held.values() for c in one) > most:
-                    for x, one in held.items():
-                        yield from _batches(_striped(x, one))
-                    held.clear()
-        for x, one in held.items():
-            yield from _batches(_striped(x, one))
-
-    rows = docs.select(F.col("text").cast("string").cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return rows.where(F.col("text").isNotNull()).mapInArrow(run, STRIPE)
-
-
-def _entries(lang: str, prefix: bytes, stripe: dict[bytes, int], least: int) -> Iterator[tuple]:
-    if not prefix:
-        yield lang, prefix, None, sum(stripe.values()), None
-    one = b" " not in prefix
+        held: dict[tuple, int] = {}
+        langs: list[str] = []
+        for s, langs in slices(batches):
+            for k in range(1, LONGEST + 1):
+                at, h = s.phrases(k)
+                if k == 1:
+                    for x, n in enumerate(np.bincount(s.lang[at], minlength=len(langs)).tolist()):
+                        held[x, 0, b"", b""] = held.get((x, 0, b"", b""), 0) + n
+                place = (h >> H.U64(37)).astype(np.int64)
+                may = (table.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                _, first, n = np.unique(h[may], return_index=True, return_counts=True)
+                where = at[may][first]
+                for i, x, c in zip(where.tolist(), s.lang[where].tolist(), n.tolist(), strict=True):
+                    key = (x, k - 1, b" ".join([s.word(i + j) for j in range(k - 1)]), s.word(i + k - 1))
+                    held[key] = held.get(key, 0) + c
+            if len(held) > most:
+                yield from _striped(held, langs)
+                held.clear()
+        yield from _striped(held, langs)
+
+    return _rows(docs).mapInArrow(run, STRIPE)
+
+
+def _entries(lang: str, prefix: bytes, part: int, stripe: dict[bytes, int], least: int) -> Iterator[tuple]:
+    if part < 0:
+        yield lang, prefix, None, stripe[b""]
+        return
     for word, n in stripe.items():
         if n >= least:
-            h = pair_hash(lang, prefix, word) - (1 << 63) if prefix and one else None
-            yield lang, prefix, word, n, h
+            yield lang, prefix, word, n
 
 
 def merged(found: DataFrame, least: int) -> DataFrame:
-    """Stripes of each prefix and part added elementwise: ENTRY rows of at least ``least`` occurrences, and the totals
-    of the empty prefix."""
+    """Stripes of each prefix and part added elementwise: ENTRY rows of at least ``least`` occurrences, and the totals."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                              names=["lang", "prefix", "word", "n", "pair"])
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            kinds = (pa.string(), pa.binary(), pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "prefix", "word", "n"])
 
         key, stripe = None, {}
         for b in batches:
-            for lang, prefix, part, words, counts in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if (lang, prefix, part) != key:
+            for *now, words, counts in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if now != key:
                     if key is not None:
-                        out.extend(_entries(key[0], key[1], stripe, least))
-                    key, stripe = (lang, prefix, part), {}
-                if stripe:
-                    for w, n in zip(words, counts, strict=True):
-                        stripe[w] = stripe.get(w, 0) + n
-                else:
-                    stripe = dict(zip(words, counts, strict=True))
+                        out.extend(_entries(*key, stripe, least))
+                    key, stripe = now, dict(zip(words, counts, strict=True))
+                    continue
+                for w, n in zip(words, counts, strict=True):
+                    stripe[w] = stripe.get(w, 0) + n
             if len(out) > 50_000:
                 yield batch()
                 out.clear()
         if key is not None:
-            out.extend(_entries(key[0], key[1], stripe, least))
+            out.extend(_entries(*key, stripe, least))
         yield batch()
 
     keys = ["lang", "prefix", "part"]
     return found.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, ENTRY)
 
 
-def _pair_table(spark: SparkSession, entries: DataFrame):
-    """Bit table of the frequent pairs, sent to every task: 2^BITS bits, whatever the corpus."""
-    place = F.col("pair").bitwiseAND(F.lit((1 << BITS) - 1))
-    bits = entries.where("pair is not null").select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-    table = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    for r in bits.toLocalIterator():
-        table[r["w"]] = r["bits"] & ((1 << 64) - 1)
-    return spark.sparkContext.broadcast(table)
-
-
 def frequencies(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, a) of all phrases of 1 to LONGEST words with at least ``least`` occurrences, and (lang, n)."""
     ship_package(spark)
-    short = staged(spark, merged(stripes(docs, range(1, 3)), least), "stripes")
-    long = staged(spark, merged(stripes(docs, range(3, LONGEST + 1), _pair_table(spark, short)), least), "stripes")
-    both = short.where("word is not null").union(long.where("word is not null"))
+    entries = staged(spark, merged(stripes(docs, frequent_table(spark, docs, least)), least), "stripes")
     prefix, word = F.col("prefix").cast("string"), F.col("word").cast("string")
     phrase = F.when(F.length("prefix") == 0, word).otherwise(F.concat(prefix, F.lit(" "), word))
-    frequent = both.select("lang", phrase.alias("phrase"), F.col("n").alias("a"))
+    frequent = entries.where("word is not null").select("lang", phrase.alias("phrase"), F.col("n").alias("a"))
     frequent = frequent.withColumn("m", F.size(F.split("phrase", " ", -1))).select("lang", "phrase", "m", "a")
-    totals = short.where("word is null").groupBy("lang").agg(F.sum("n").alias("n"))
-    return staged(spark, frequent, "frequent"), totals
+    return frequent, entries.where("word is null and n > 0").select("lang", "n")
 
 
 def scored(frequent: DataFrame, cover: int = COVER) -> DataFrame:

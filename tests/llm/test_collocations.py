@@ -65,24 +65,28 @@ def test_against_a_plain_version(spark, least, cover, top):
 
 
 def test_small_limits_change_nothing(spark, monkeypatch):
-    """Stripes written often, texts in short stretches, and a full bit table."""
+    """Stripes and counts of hashes written often."""
     rows = corpus()
     monkeypatch.setattr(C, "HELD", 50)
-    monkeypatch.setattr(C, "CHUNK", 5)
-    monkeypatch.setattr(C, "BITS", 6)
+    monkeypatch.setattr(C, "HASHES", 300)
+    assert got(C.collocations(spark, frame(spark, rows), 3)) == expected(rows, 3)
+
+
+def test_a_full_table_changes_nothing(spark, monkeypatch):
+    rows = corpus()
+    monkeypatch.setattr(C, "frequent_table", lambda spark, docs, least: spark.sparkContext.broadcast(C.np.full(1 << 24, 255, C.np.uint8)))
     assert got(C.collocations(spark, frame(spark, rows), 3)) == expected(rows, 3)
 
 
 def test_stretches(monkeypatch):
-    for chunk in (1, 2, 9, 40):
+    """Texts in short stretches give the same phrases."""
+    for chunk in (1, 2, 9, 40, 1000):
         monkeypatch.setattr(C, "CHUNK", chunk)
-        for text in ("a bb  ccc\tdddd e f g h i, j k " * 5, "x" * 99 + " y", "", " ", "\t" * 50 + "z"):
+        for text in ("a bb  ccc\tdddd e f g h i, j k " * 5, "x" * 99 + " y", "", " ", "\t" * 50 + "z", "a.b c!d\n\ne f g h"):
+            s = C.Slice([(p, 0, skip) for p, skip in C.stretches(text.encode())], ["en"])
             for m in range(1, 5):
-                c = [Counter()]
-                for words, old in C.stretches(text.encode()):
-                    C._add(c, words, old, range(m, m + 1))
-                want = Counter(tuple(x.encode() for x in w[i:i + m]) for w in pieces(text) for i in range(len(w) - m + 1))
-                assert c[0] == want
+                found = Counter(tuple(s.word(i + j) for j in range(m)) for i in s.phrases(m)[0].tolist())
+                assert found == Counter(tuple(x.encode() for x in w[i:i + m]) for w in pieces(text) for i in range(len(w) - m + 1))
 
 
 def test_large_counts_are_exact(spark):
