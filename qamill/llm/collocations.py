@@ -3,10 +3,11 @@
 Texts are lower-cased (A-Z), split into pieces at PIECE_ENDS and into words at
 blanks.  A stripe belongs to a prefix of 0 to 3 words: an associative counter of
 the words that follow it.  Tasks count stripes over what they read and write
-them out whenever they hold HELD entries; stripes of one prefix then meet in one
-place and are added elementwise, in the order of a sort, so that only one stripe
-is held.  A stripe is dealt in PARTS parts by the hash of the next word (the
-same everywhere), so no part of a frequent prefix grows with the vocabulary.
+them out whenever they hold HELD entries, packed in BLOCKS blocks by hash of the
+prefix; blocks of one number then meet in one place, where stripes of one prefix
+are added elementwise.  A stripe is dealt in PARTS parts, over as many blocks, by
+the hash of the next word (the same everywhere), so that the stripe of a frequent
+prefix isn't held in one place.
 The added stripes say all that is asked of a phrase: the entry of its last word
 in its prefix's stripe is its frequency, the greatest entry of its own stripe is
 the most frequent extension to the right, and extensions to the left are entries
@@ -38,6 +39,7 @@ table: no rows.  Columns other than text and lang aren't looked at.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -59,8 +61,12 @@ COVER = 80
 TOP = 2000
 #: Parts of a stripe, by words of its prefix.
 PARTS = (256, 8, 2, 2)
+#: Blocks that stripes are dealt in: a task adds up one at a time.
+BLOCKS = 4096
+#: Bytes of text whose phrases are hashed at once.
+SLICE = 3 << 20
 #: Entries that a task holds before it writes its stripes, and hashes before it writes their counts.
-HELD, HASHES = 400_000, 6_000_000
+HELD, HASHES = 300_000, 6_000_000
 CHUNK = 1 << 20
 RANGES = 1 << 10
 _SPAN = (1 << 32) // RANGES
@@ -74,7 +80,7 @@ _CUT = re.compile(b"[ \t" + re.escape(PIECE_ENDS) + b"]")
 _PIECE = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
 
 HASHED = "range int, gaps binary, counts binary"
-STRIPE = "lang string, prefix binary, part int, words array<binary>, counts array<long>"
+STRIPES = "block int, stripes binary"
 #: word: an entry (prefix, word, n).  Without one: n is the number of words of the language.
 ENTRY = "lang string, prefix binary, word binary, n long"
 
@@ -133,7 +139,7 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[str]
             for part, skip in stretches(text.as_py()):
                 parts.append((part, x, skip))
                 size += len(part)
-                if size > H.SLICE_BYTES:
+                if size > SLICE:
                     yield Slice(parts, list(langs)), list(langs)
                     parts, size = [], 0
     if parts:
@@ -207,27 +213,28 @@ def frequent_table(spark: SparkSession, docs: DataFrame, least: int):
     return spark.sparkContext.broadcast(table)
 
 
-def _striped(held: dict[tuple, int], langs: list[str]) -> Iterator[pa.RecordBatch]:
-    """STRIPE rows of counted (language, words before, prefix, word)."""
-    out: dict[tuple, tuple[list, list]] = {}
+def _packed(held: dict[tuple, int], langs: list[str]) -> pa.RecordBatch:
+    """STRIPES rows of counted (language, words before, prefix, word): a line for each stripe, of language, prefix and
+    entries.  Neither words nor languages in JSON hold a tab or a line feed, nor words a blank."""
+    names = [json.dumps(x).encode() for x in langs]
+    one: dict[tuple, list] = {}
     for (lang, n, prefix, word), c in held.items():
         key = (lang, prefix, zlib.crc32(word) % PARTS[n] if word else -1)
-        row = out.get(key)
-        if row is None:
-            row = out[key] = ([], [])
-        row[0].append(word)
-        row[1].append(c)
-    rows = list(out.items())
-    for a in range(0, len(rows), 50_000):
-        some = rows[a:a + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([langs[k[0]] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.binary()), pa.array([k[2] for k, _ in some], pa.int32()),
-             pa.array([v[0] for _, v in some], pa.list_(pa.binary())), pa.array([v[1] for _, v in some], pa.list_(pa.int64()))],
-            names=["lang", "prefix", "part", "words", "counts"])
+        entries = one.get(key)
+        if entries is None:
+            entries = one[key] = []
+        entries.append(b"%b %d" % (word, c) if word else b"%d" % c)
+    lines: list[list] = [[] for _ in range(BLOCKS)]
+    for (lang, prefix, part), entries in sorted(one.items()):
+        at = (zlib.crc32(prefix, zlib.crc32(names[lang])) + part * 0x9E3779B1) % BLOCKS
+        lines[at].append(b"\t".join((names[lang], *entries) if part < 0 else (names[lang], prefix, b" ".join(entries))))
+    used = [i for i, x in enumerate(lines) if x]
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(b"\n".join(lines[i]), 3) for i in used], pa.binary())],
+                                      names=["block", "stripes"])
 
 
 def stripes(docs: DataFrame, table) -> DataFrame:
-    """STRIPE rows of the phrases that the bit table lets through.  Part -1 of the empty prefix counts all words."""
+    """STRIPES of the phrases that the bit table lets through, and the number of all words of each language."""
     most = HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,51 +254,51 @@ def stripes(docs: DataFrame, table) -> DataFrame:
                     key = (x, k - 1, b" ".join([s.word(i + j) for j in range(k - 1)]), s.word(i + k - 1))
                     held[key] = held.get(key, 0) + c
             if len(held) > most:
-                yield from _striped(held, langs)
+                yield _packed(held, langs)
                 held.clear()
-        yield from _striped(held, langs)
+        if held:
+            yield _packed(held, langs)
 
-    return _rows(docs).mapInArrow(run, STRIPE)
-
-
-def _entries(lang: str, prefix: bytes, part: int, stripe: dict[bytes, int], least: int) -> Iterator[tuple]:
-    if part < 0:
-        yield lang, prefix, None, stripe[b""]
-        return
-    for word, n in stripe.items():
-        if n >= least:
-            yield lang, prefix, word, n
+    return _rows(docs).mapInArrow(run, STRIPES)
 
 
 def merged(found: DataFrame, least: int) -> DataFrame:
-    """Stripes of each prefix and part added elementwise: ENTRY rows of at least ``least`` occurrences, and the totals."""
+    """Stripes of each block added elementwise: ENTRY rows of at least ``least`` occurrences, and the totals."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-
-        def batch() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [()] * 4
+        def entries(block: dict[tuple, dict]) -> pa.RecordBatch:
+            rows = []
+            for (lang, prefix), stripe in block.items():
+                name = json.loads(lang)
+                rows += [(name, prefix, w, n) for w, n in stripe.items() if w is None or n >= least]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.string(), pa.binary(), pa.binary(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "prefix", "word", "n"])
 
-        key, stripe = None, {}
+        now, block = None, {}
         for b in batches:
-            for *now, words, counts in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if now != key:
-                    if key is not None:
-                        out.extend(_entries(*key, stripe, least))
-                    key, stripe = now, dict(zip(words, counts, strict=True))
-                    continue
-                for w, n in zip(words, counts, strict=True):
-                    stripe[w] = stripe.get(w, 0) + n
-            if len(out) > 50_000:
-                yield batch()
-                out.clear()
-        if key is not None:
-            out.extend(_entries(*key, stripe, least))
-        yield batch()
-
-    keys = ["lang", "prefix", "part"]
-    return found.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, ENTRY)
+            for at, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if at != now:
+                    if now is not None:
+                        yield entries(block)
+                    now, block = at, {}
+                for line in zlib.decompress(raw.as_py()).split(b"\n"):
+                    lang, prefix, *rest = line.split(b"\t")
+                    if not rest:
+                        total = block.setdefault((lang, b""), {})
+                        total[None] = total.get(None, 0) + int(prefix)
+                        continue
+                    items = rest[0].split(b" ")
+                    counts = dict(zip(items[::2], map(int, items[1::2]), strict=True))
+                    stripe = block.get((lang, prefix))
+                    if stripe is None:
+                        block[lang, prefix] = counts
+                        continue
+                    for w, n in counts.items():
+                        stripe[w] = stripe.get(w, 0) + n
+        if now is not None:
+            yield entries(block)
+
+    return found.repartition("block").sortWithinPartitions("block").mapInArrow(run, ENTRY)
 
 
 def frequencies(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
