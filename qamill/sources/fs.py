@@ -20,6 +20,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def head(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first n bytes of a file; none if it can't be read."""
+    from py4j.protocol import Py4JJavaError  # noqa: PLC0415
+
+    fs, p = _fs(spark, path)
+    try:
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readNBytes(n))
+        finally:
+            stream.close()
+    except Py4JJavaError:
+        return b""
+
+
 def move(spark: SparkSession, src: str, dst_dir: str) -> str:
     """Move ``src`` into ``dst_dir`` keeping its name; nothing happens if ``src`` is gone.
 
