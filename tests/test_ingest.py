@@ -254,3 +254,38 @@ def test_big_array_files_grow_in_number_not_size(spark, monkeypatch):
     ids = [r.id for r in X.S.qa_docs(spark, sf).select("id").collect()]
     assert len(files) == len({i // 20 for i in ids}) > 1
     assert len(got) == X.BIG_COPIES and len({(r.n, r.chars) for r in got}) == 1
+
+
+def test_keys_of_any_kind(spark, tmpdir_shared):
+    drop, base, arch = (f"{tmpdir_shared}/{x}" for x in ("drop", "base", "archive"))
+    _write(drop, {"a.json": '{"question":"q","answer":"a","it\'s":1,"c: d":2,"a,b":{"x":[1]},"`t`":"","":3,"\'\\"]":4,"x.y":null,"$":5}\n{"question":"other","answer":"a"}\n'})
+    assert V.ingest_dir(spark, drop, base, arch).record_count == 2
+    row = V.read_all(spark, base).where("question = 'q'").collect()[0].asDict()
+    assert {k: row[k] for k in ("it's", "c: d", "a,b", "`t`", "_", "'\"]", "x.y", "$")} == {
+        "it's": 1, "c: d": 2, "a,b": '{"x":[1]}', "`t`": "", "_": 3, "'\"]": 4, "x.y": None, "$": 5}
+
+
+def test_read_all_is_one_pruned_scan(spark, tmpdir_shared):
+    """200 versions, one scan; what isn't committed isn't read; types widen, and names keep the first spelling."""
+    base = f"{tmpdir_shared}/base"
+    drop, arch = f"{tmpdir_shared}/drop", f"{tmpdir_shared}/archive"
+    for k, x in enumerate(("1", "2.5", '"t"')):
+        _write(drop, {f"f{k}.json": f'{{"question":"q","answer":"a","{"X" if k else "x"}":{x},"only{k}":true}}\n' * 2})
+        V.ingest_dir(spark, drop, base, arch)
+    man = V.manifest(spark, base).where("version = 3").collect()[0].asDict()
+    for v in range(4, 204):
+        if v < 203:
+            man["version"] = v
+            os.makedirs(f"{base}/_manifest/version={v}")
+            with open(f"{base}/_manifest/version={v}/part-0.json", "w") as f:
+                import json
+                f.write(json.dumps({k: x for k, x in man.items()}) + "\n")
+        os.makedirs(f"{base}/data/version={v}")
+        with open(f"{base}/data/version={v}/part-0.json", "w") as f:
+            f.write('{"question":"q","answer":"a","x":"s"}\n')
+    df = V.read_all(spark, base)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan and "PartitionFilters: [version" in plan
+    rows = df.collect()
+    assert len(rows) == 205 and {r["version"] for r in rows} == set(range(1, 203))
+    assert {r["x"] for r in rows} == {"1", "2.5", "t", "s"} and {"only0", "only1", "only2"} <= set(df.columns) and "X" not in df.columns
