@@ -16,11 +16,15 @@ the table in one partition:
   reliable ``checkpoint()`` (range bounds come from sampling and must not be
   recomputed), then per-partition offsets as above.
 
-The order key must be unique (ties are broken by the key itself).
+* ``permuted`` (epoch order, T5): rows that have a position compute their place
+  in an epoch from it alone, by a keyed Feistel permutation of 0..n-1: no
+  shuffle, sort or count for an epoch.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,9 +38,9 @@ BUCKET_DIGITS = 4
 
 
 def shuffle_key(key: str | Column, seed: int | str = DEFAULT_SEED) -> Column:
-    """``md5('<seed>|' || key)``: the seeded order of R1 (same text in DuckDB)."""
+    """``md5('<seed>|' || key)``: the seeded order of R1 (same text in DuckDB); a null key as an empty one."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}|"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(k.cast("string"), F.lit(""))))
 
 
 def _offsets(counts: DataFrame, part: Sequence[str], bucket: str, n: str) -> DataFrame:
@@ -56,8 +60,13 @@ def bucket_of(key: str | Column, seed: int | str = DEFAULT_SEED,
 
 def hashed_rank(df: DataFrame, key: str, seed: int | str = DEFAULT_SEED, out: str = "pos",
                 partition_by: Sequence[str] = (), total: str | None = "n_total",
-                bucket_digits: int = BUCKET_DIGITS, counts: DataFrame | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position in the order ``(md5(seed|key), key)``.
+                bucket_digits: int = BUCKET_DIGITS, counts: DataFrame | None = None,
+                ties: Sequence[str] = ()) -> DataFrame:
+    """Add ``out`` = 0-based position in the order ``(md5(seed|key), key, *ties)``.
+
+    A null key is a key like any other, and comes before the empty one.  Rows
+    that share a key go by the columns ``ties``; rows equal in those too are
+    told apart by nothing, so name all columns where keys may repeat.
 
     With ``partition_by`` the positions restart in each group.  ``total`` adds
     the group size (needed by positional splits).  The extra side is
@@ -72,7 +81,7 @@ def hashed_rank(df: DataFrame, key: str, seed: int | str = DEFAULT_SEED, out: st
     if counts is None:
         counts = keyed.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, part, "_b", "_n")
-    local = F.row_number().over(Window.partitionBy(*part, "_b").orderBy("_h", key)) - 1
+    local = F.row_number().over(Window.partitionBy(*part, "_b").orderBy("_h", key, *ties)) - 1
     # Without groups the offsets are 16**bucket_digits rows at most; with groups Spark decides by their size.
     side = offsets if part else F.broadcast(offsets)
     ranked = (keyed.withColumn("_r", local)
@@ -133,7 +142,7 @@ RETRAIN_FRACTIONS = {"training": 0.8}
 def split_positional(df: DataFrame, key: str, fractions: Mapping[str, float] = OFFLINE_FRACTIONS,
                      rest: str = "evaluation", seed: int | str | None = DEFAULT_SEED,
                      order: Sequence[str] | None = None, out: str = "split",
-                     counts: DataFrame | None = None) -> DataFrame:
+                     counts: DataFrame | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Seeded shuffle then positional split (R1 + R2), or a split in stored
     order when ``order`` is given (R4).
 
@@ -143,7 +152,7 @@ def split_positional(df: DataFrame, key: str, fractions: Mapping[str, float] = O
     if order is not None:
         ranked = ordered_rank(df, order)
     else:
-        ranked = hashed_rank(df, key, seed, counts=counts)
+        ranked = hashed_rank(df, key, seed, counts=counts, ties=ties)
     pos, n = F.col("pos"), F.col("n_total")
     starts = F.lit(0).cast("bigint")
     start_expr = None
@@ -224,6 +233,71 @@ def batches(df: DataFrame, key: str, size: int = 8, epoch: int = 0, shuffle: boo
         F.size("_items").alias("n_rows"))
 
 
+# ---------------------------------------------------- epochs by permutation --
+
+ROUNDS = 6
+_PRIME = (1 << 31) - 1
+
+
+def grid(n: int) -> tuple[int, int]:
+    """(a, b) near the square root of n with a * b >= n and the least a * b - n: of the 100,000 widths from
+    sqrt(n) downwards, to half of it, the largest that leaves the fewest places over."""
+    s = math.isqrt(max(n, 1))
+    widths = range(s, max((s + 1) // 2, s - 100_000, 1) - 1, -1)
+    a = min(widths, key=lambda w: (-(-n // w) * w - n, -w))
+    return a, -(-n // a)
+
+
+def round_keys(seed: int | str, epoch: int) -> list[tuple[int, int]]:
+    """A multiplier and a summand below 2^30 for each round of an epoch."""
+    digest = [hashlib.sha256(f"{seed}|{epoch}|{i}".encode()).digest() for i in range(ROUNDS)]
+    return [(int.from_bytes(d[:4], "big") >> 2 | 1, int.from_bytes(d[4:8], "big") >> 2) for d in digest]
+
+
+def permuted(pos: Column, n: int, epoch: int, seed: int | str = DEFAULT_SEED) -> Column:
+    """The place of position ``pos`` among 0..n-1 in an epoch: a permutation of 0..n-1 for each (seed, epoch).
+
+    A place is a cell (row, column) of an a x b grid.  In turns, a round moves
+    the row by a number made from the column, and the column by one made from
+    the row, so each round can be undone.  Cells beyond n are walked on from;
+    as they are a * b - n, so many further steps always end below n.
+    """
+    if n < 1:
+        return pos
+    a, b = grid(n)
+    keys = F.array(*[F.struct(F.lit(i % 2 == 0).alias("rows"), F.lit(m).cast("long").alias("m"), F.lit(k).cast("long").alias("k"))
+                     for i, (m, k) in enumerate(round_keys(seed, epoch))])
+    made = lambda x, c: F.shiftright((x * c["m"] + c["k"]) % _PRIME, 3)
+
+    def turn(at: Column, c: Column) -> Column:
+        return F.when(c["rows"], F.struct(((at["r"] + made(at["c"], c)) % a).alias("r"), at["c"].alias("c"))).otherwise(
+            F.struct(at["r"].alias("r"), ((at["c"] + made(at["r"], c)) % b).alias("c")))
+
+    def step(x: Column) -> Column:
+        start = F.struct(F.floor(x / b).cast("long").alias("r"), (x % b).alias("c"))
+        return F.aggregate(keys, start, turn, lambda at: at["r"] * b + at["c"])
+
+    place = step(pos.cast("long"))
+    left = a * b - n
+    if not left:
+        return place
+    return F.aggregate(F.sequence(F.lit(1), F.lit(left)), place, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+
+
+def batches_permuted(df: DataFrame, key: str, n: int, pos: str = "split_pos", size: int = 8, epochs: Sequence[int] = (0,),
+                     seed: int | str = DEFAULT_SEED) -> DataFrame:
+    """Batches of ``size`` rows for each epoch (T5): ``(epoch, batch_id, ids, n_rows)``.
+
+    ``df`` holds the positions 0..n-1 in ``pos``, each once; each row computes its
+    own place, and the only shuffle is that of (place, key) to the batches.
+    """
+    places = F.array(*[F.struct(F.lit(int(e)).cast("int").alias("epoch"), permuted(F.col(pos), n, int(e), seed).alias("at")) for e in epochs])
+    each = df.select(F.col(key), F.explode(places).alias("p")).select(F.col(key), "p.epoch", "p.at")
+    items = F.sort_array(F.collect_list(F.struct("at", key)))
+    return each.groupBy("epoch", F.expr(f"at div {int(size)}").alias("batch_id")).agg(items.alias("_items")).select(
+        "epoch", "batch_id", F.transform("_items", lambda x: x[key]).alias("ids"), F.size("_items").alias("n_rows"))
+
+
 def shard(df: DataFrame, pos: str = "split_pos", workers: int = 2, out: str = "shard") -> DataFrame:
     """Worker shard ``pos % workers`` (T6): each worker gets every W-th row."""
     return df.withColumn(out, (F.col(pos) % F.lit(workers)).cast("int"))

@@ -59,6 +59,8 @@ def offline_prepare(spark: SparkSession, raw: DataFrame, out: str, key: str = "i
 
     Output under ``out``: ``splits/split=<name>/`` (K1),
     ``production/batch=<k>/`` (K2), ``metadata/`` (K3).
+
+    ``key`` may be null or repeat: such rows are ordered by their content.
     """
     out = out.rstrip("/")
     raw = C.project(raw, (key,) + C.QA_COLUMNS)
@@ -77,7 +79,7 @@ def offline_prepare(spark: SparkSession, raw: DataFrame, out: str, key: str = "i
                   *[total(k).alias(k) for k in (*P.DROP_KEYS, "rows_removed")]).first()
     counts = bp.where(F.col("_b") >= 0).select("_b", "_n")
     cleaned = raw.where(keep)                          # P2-P4
-    sp = O.split_positional(cleaned, key, seed=seed, counts=counts)   # R1, R2
+    sp = O.split_positional(cleaned, key, seed=seed, counts=counts, ties=C.QA_COLUMNS)   # R1, R2
     chosen = sp.select(key, *C.QA_COLUMNS, "pos", "split_pos", "split")
     io.write_jsonl(chosen, f"{out}/splits", partition_by=["split"])
     schema = T.StructType(chosen.schema.fields[:-1])

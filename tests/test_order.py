@@ -86,3 +86,52 @@ def test_shards_and_sample(spark):
     s = O.sample_n(_ids(spark, 25), "id", 10).collect()
     assert len(s) == 10 and len({r["id"] for r in s}) == 10
     assert len(O.sample_n(_ids(spark, 4), "id", 10).collect()) == 4
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 10, 13, 97, 100, 1000, 1021])
+def test_permuted_is_a_permutation(spark, n):
+    a, b = O.grid(n)
+    assert a * b >= n
+    df = spark.range(n).select("id", *[O.permuted(F.col("id"), n, e, s).alias(f"p{e}_{s}") for e in (0, 1) for s in (42, 7)])
+    rows = df.collect()
+    for c in df.columns[1:]:
+        assert sorted(r[c] for r in rows) == list(range(n))
+    if n >= 97:
+        orders = {tuple(r[c] for r in rows) for c in df.columns}
+        assert len(orders) == len(df.columns)
+        # No place, and no step between neighbours, stands out.
+        for c in df.columns[1:]:
+            p = [r[c] for r in rows]
+            steps = [(y - x) % n for x, y in zip(p, p[1:])]
+            assert max(steps.count(s) for s in set(steps)) <= max(8, n // 20)
+
+
+def test_grid_leaves_few_over():
+    for n in (10**6, 10**9 + 7, 10**12 + 39, 999_999_999_989):
+        a, b = O.grid(n)
+        assert 0 <= a * b - n < 64 and a <= b <= 5 * a
+
+
+def test_batches_permuted_has_one_exchange(spark):
+    df = spark.range(1000).select("id", F.col("id").alias("split_pos"))
+    out = O.batches_permuted(df, "id", 1000, size=8, epochs=(0, 1, 2))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1
+    rows = out.collect()
+    assert len(rows) == 3 * 125 and all(r["n_rows"] == 8 for r in rows)
+    for e in range(3):
+        assert sorted(i for r in rows if r["epoch"] == e for i in r["ids"]) == list(range(1000))
+    short = O.batches_permuted(spark.range(11).select("id", F.col("id").alias("split_pos")), "id", 11, size=8).collect()
+    assert sorted(r["n_rows"] for r in short) == [3, 8]
+
+
+def test_null_and_repeated_keys(spark):
+    rows = [(None, "b"), (None, "a"), ("", "c"), ("x", "d"), ("x", None), ("x", "d"), ("y", "e")]
+    df = spark.createDataFrame(rows, "key string, text string")
+    a = O.hashed_rank(df, "key", ties=["text"]).collect()
+    b = O.hashed_rank(df.orderBy(F.desc("text")).repartition(3), "key", ties=["text"]).collect()
+    assert sorted(r["pos"] for r in a) == list(range(7)) and {r["n_total"] for r in a} == {7}
+    at = lambda some: sorted((r["pos"], r["key"], r["text"]) for r in some)
+    assert at(a) == at(b)
