@@ -11,10 +11,11 @@ Two execution paths give the same arrays:
 * ``map`` (default when the vocabulary's measured size fits a broadcast):
   the vocabulary is broadcast once and every Arrow batch is encoded in
   ``mapInArrow``: no shuffle at all, one pass over the prompts.
-* ``join`` (fallback for a vocabulary too big to broadcast): slice each
-  prompt to ``max_len`` words, explode, look the ``HEAD_WORDS`` most frequent
-  words up in a broadcast and the others in a shuffled join, regroup per row
-  (a shuffle of ``max_len`` rows per sample).
+* ``join`` (fallback for a vocabulary too big to broadcast): rows are dealt in
+  blocks; each block's distinct words beyond the ``HEAD_WORDS`` most frequent
+  ones are joined with the vocabulary, and each block is encoded as in ``map``
+  with the head, which is broadcast, and its own words only.  Texts are shuffled
+  once and words once per block; tokens are never shuffled.
 
 A pretrained sub-word tokenizer can be plugged in through ``encode_with``:
 it runs in ``mapInPandas`` over Arrow batches.
@@ -39,6 +40,8 @@ MAX_LEN = 512
 MAX_VOCAB = None        # the whole vocabulary, unless a size is asked for
 # Words sent to every task on the join path: the most frequent ones.
 HEAD_WORDS = 20_000
+# Rows of one block on the join path.
+BLOCK_ROWS = 2048
 # Broadcast the vocabulary only below this many bytes of words.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -129,15 +132,50 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "prompt
     return _encode_join(df, vocab, key, text, max_len, pad_id, unk_id, label_pad, fits, carry, head)
 
 
-def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
-                unk_id: int, label_pad: int | None, carry: tuple[str, ...]) -> DataFrame:
-    """Broadcast path: vectorised per Arrow batch, no shuffle.
+def encoded_arrays(texts, value_set, ids, max_len: int, pad_id: int, unk_id: int, label_pad: int | None) -> list:
+    """input_ids, attention_mask and labels of an Arrow column of texts, with the words ``value_set`` and their ids.
 
     Arrow's ``utf8_trim_whitespace`` / ``utf8_split_whitespace`` use the
     same 29 whitespace code points as Python's ``str.split()`` (checked in
     the tests); ``index_in`` looks words up in a hash table of the
     vocabulary; a numpy scatter fills the padded matrix.
     """
+    import numpy as np  # noqa: PLC0415
+    import pyarrow as pa  # noqa: PLC0415
+    import pyarrow.compute as pc  # noqa: PLC0415
+
+    n = len(texts)
+    id_table = np.asarray(ids, dtype=np.int32)
+    texts = pc.utf8_trim_whitespace(texts.cast(pa.string()))
+    toks = pc.list_slice(pc.utf8_split_whitespace(texts, max_splits=max_len), 0, max_len)
+    lens = pc.list_value_length(toks).fill_null(0).to_numpy(zero_copy_only=False)
+    lens = np.where(pc.fill_null(pc.equal(texts, ""), True).to_numpy(zero_copy_only=False), 0, lens)
+    flat = pc.list_flatten(toks)
+    offs = np.asarray(toks.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
+    starts = offs[:-1] - offs[0]
+    pos = pc.index_in(flat, value_set=value_set).to_numpy(zero_copy_only=False)
+    found = ~np.isnan(pos.astype("float64"))
+    flat_ids = np.full(len(pos), unk_id, dtype=np.int32)
+    flat_ids[found] = id_table[pos[found].astype(np.int64)]
+    rows = np.repeat(np.arange(n), lens)
+    cols = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
+    take = np.repeat(starts, lens) + cols
+    mat = np.full((n, max_len), pad_id, dtype=np.int32)
+    mask = np.zeros((n, max_len), dtype=np.int32)
+    mat[rows, cols] = flat_ids[take]
+    mask[rows, cols] = 1
+    if label_pad is None:
+        lab = mat
+    else:
+        lab = np.full((n, max_len), label_pad, dtype=np.int32)
+        lab[rows, cols] = flat_ids[take]
+    offsets = pa.array(np.arange(0, (n + 1) * max_len, max_len, dtype=np.int32))
+    return [pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1))) for m in (mat, mask, lab)]
+
+
+def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
+                unk_id: int, label_pad: int | None, carry: tuple[str, ...]) -> DataFrame:
+    """Broadcast path: vectorised per Arrow batch, no shuffle."""
     spark = df.sparkSession
     from qamill.session import ship_package  # noqa: PLC0415
 
@@ -150,48 +188,15 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
     out_fields = [f for f in src.schema.fields if f.name != "_text"] + list(ENCODED_SCHEMA.fields)
     out_schema = T.StructType(out_fields)
     names = [f.name for f in out_fields]
-    lab_pad = pad_id if label_pad is None else label_pad
 
     def run(batches):
-        import numpy as np  # noqa: PLC0415
         import pyarrow as pa  # noqa: PLC0415
-        import pyarrow.compute as pc  # noqa: PLC0415
 
         words, ids = bc.value
         value_set = pa.array(words, pa.string())
-        id_table = np.asarray(ids, dtype=np.int32)
         for b in batches:
-            n = b.num_rows
-            texts = pc.utf8_trim_whitespace(b.column("_text").cast(pa.string()))
-            toks = pc.list_slice(pc.utf8_split_whitespace(texts, max_splits=max_len), 0, max_len)
-            lens = pc.list_value_length(toks).fill_null(0).to_numpy(zero_copy_only=False)
-            lens = np.where(pc.fill_null(pc.equal(texts, ""), True).to_numpy(zero_copy_only=False), 0, lens)
-            flat = pc.list_flatten(toks)
-            offs = np.asarray(toks.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
-            starts = offs[:-1] - offs[0]
-            pos = pc.index_in(flat, value_set=value_set).to_numpy(zero_copy_only=False)
-            found = ~np.isnan(pos.astype("float64"))
-            flat_ids = np.full(len(pos), unk_id, dtype=np.int32)
-            flat_ids[found] = id_table[pos[found].astype(np.int64)]
-            rows = np.repeat(np.arange(n), lens)
-            cols = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-            take = np.repeat(starts, lens) + cols
-            mat = np.full((n, max_len), pad_id, dtype=np.int32)
-            mask = np.zeros((n, max_len), dtype=np.int32)
-            mat[rows, cols] = flat_ids[take]
-            mask[rows, cols] = 1
-            if label_pad is None:
-                lab = mat
-            else:
-                lab = np.full((n, max_len), lab_pad, dtype=np.int32)
-                lab[rows, cols] = flat_ids[take]
-            offsets = pa.array(np.arange(0, (n + 1) * max_len, max_len, dtype=np.int32))
-
-            def lists(m):
-                return pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1)))
-
-            cols_out = [b.column(nm) for nm in names[:len(keys)]]
-            yield pa.RecordBatch.from_arrays(cols_out + [lists(mat), lists(mask), lists(lab)], names=names)
+            arrays = encoded_arrays(b.column("_text"), value_set, ids, max_len, pad_id, unk_id, label_pad)
+            yield pa.RecordBatch.from_arrays([b.column(nm) for nm in names[:len(keys)]] + arrays, names=names)
 
     return src.mapInArrow(run, out_schema)
 
@@ -199,38 +204,54 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
 def _encode_join(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
                  unk_id: int, label_pad: int | None, broadcast: bool,
                  carry: tuple[str, ...], head: int = HEAD_WORDS) -> DataFrame:
-    """Join path of ``encode``: words are gathered by a row number, so rows may share a key."""
+    """Join path of ``encode``: blocks of rows and the words of each block.
+
+    A row's block follows from its key and text, so both branches agree on it;
+    a block that repeated rows make large is cut in parts, each with the
+    block's words.  Rows may share a key.
+    """
+    spark = df.sparkSession
+    from qamill.session import ship_package  # noqa: PLC0415
+
+    ship_package(spark)
     keys = [key, *carry]
-    sliced = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w")).withColumn("_row", F.monotonically_increasing_id())
-    exploded = sliced.select("_row", *keys, F.posexplode_outer("_w").alias("_i", "word"))
     v = vocab.select("word", "token_id")
+    n_blocks = max(1, -(-df.count() // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(n_blocks))
+    # The most frequent words: at most ``head`` of them reach the driver and every task.
+    top = v.orderBy("token_id").limit(0 if broadcast else head)
+    rows = top.collect()
+    bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [int(r["token_id"]) for r in rows]))
+    some = df.select(block.alias("_block"), F.explode(F.array_distinct(F.slice(words(text), 1, max_len))).alias("word"))
     if broadcast:
-        found = exploded.join(F.broadcast(v), "word", "left")
-    else:
-        # The head takes the frequent words, so none of them is a hot key of the
-        # shuffled join; what it has resolved is spread by row instead.
-        top = v.orderBy("token_id").limit(head).withColumnRenamed("token_id", "_head")
-        part = exploded.join(F.broadcast(top), "word", "left").withColumn("_key", F.when(
-            F.col("_head").isNull() & F.col("word").isNotNull(), F.col("word")).otherwise(
-            F.concat(F.lit("\0 "), F.col("_row").cast("string"))))
-        tail = v.select(F.col("word").alias("_key"), F.col("token_id").alias("_tail"))
-        found = part.join(tail, "_key", "left").withColumn("token_id", F.coalesce("_head", "_tail"))
-    looked = found.select(
-        "_row", *keys, "_i", F.when(F.col("word").isNull(), F.lit(None).cast("int"))
-        .otherwise(F.coalesce(F.col("token_id"), F.lit(unk_id))).alias("_t"))
-    grouped = looked.groupBy("_row", *keys).agg(
-        F.sort_array(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct("_i", "_t")))).alias("_s"))
-    ids = F.transform("_s", lambda s: s["_t"])
-    n = F.size("_s")
-    pad = F.array_repeat(F.lit(pad_id), F.lit(max_len) - n)
-    input_ids = F.concat(ids, pad)
-    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(max_len) - n))
-    if label_pad is None:
-        labels = input_ids
+        found = some.distinct().join(F.broadcast(v), "word")
     else:
-        labels = F.concat(ids, F.array_repeat(F.lit(label_pad), F.lit(max_len) - n))
-    return grouped.select(*keys, input_ids.alias("input_ids"), mask.alias("attention_mask"),
-                          labels.alias("labels"))
+        found = some.join(F.broadcast(top.select("word")), "word", "left_anti").distinct().join(v, "word")
+    # Blocks much larger than planned hold repeated rows.
+    large = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2 * BLOCK_ROWS).select(
+        "_block", F.ceil(F.col("_n") / BLOCK_ROWS).cast("long").alias("_parts"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1).cast("long"))
+    left = df.select(*keys, F.col(text).alias("_text"), block.alias("_block")).join(large, "_block", "left").withColumn(
+        "_part", F.pmod(F.monotonically_increasing_id(), parts)).select(*keys, "_text", "_block", "_part")
+    right = found.join(large, "_block", "left").select(
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_part"), "word", "token_id")
+    out_fields = [f for f in left.schema.fields if f.name in keys] + list(ENCODED_SCHEMA.fields)
+    names = [f.name for f in out_fields]
+
+    def run(rows, known):
+        import pyarrow as pa  # noqa: PLC0415
+
+        rows, known = rows.combine_chunks(), known.combine_chunks()
+        frequent, ids = bc.value
+        value_set = pa.array([*frequent, *known.column("word").to_pylist()], pa.string())
+        texts = rows.column("_text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
+        if isinstance(texts, pa.ChunkedArray):
+            texts = pa.concat_arrays(texts.chunks)
+        arrays = encoded_arrays(texts, value_set, [*ids, *known.column("token_id").to_pylist()], max_len, pad_id, unk_id, label_pad)
+        return pa.Table.from_arrays([rows.column(n) for n in names[:len(keys)]] + arrays, names=names)
+
+    on = ["_block", "_part"]
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(run, T.StructType(out_fields))
 
 
 def next_token_pairs(df: DataFrame, ids: str = "input_ids", labels: str = "labels") -> DataFrame:

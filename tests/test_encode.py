@@ -77,3 +77,15 @@ def test_whole_vocabulary_has_dense_ids_by_count(spark):
     df = spark.createDataFrame([(1, "x x x y y z z w w v")], "id bigint, prompt string")
     got = [(r["word"], r["token_id"]) for r in E.build_vocab(df, "prompt").orderBy("token_id").collect()]
     assert got == [("x", 2), ("w", 3), ("y", 4), ("z", 5), ("v", 6)]
+
+
+def test_blocks_and_large_blocks_give_the_map_paths_arrays(spark, monkeypatch):
+    """Many blocks, and one that repeated rows make so large that it is cut in parts."""
+    monkeypatch.setattr(E, "BLOCK_ROWS", 4)
+    rows = [(1, "same text here zz")] * 40 + [(i, " ".join(f"w{i * j % 23}" for j in range(i % 9))) for i in range(60)] + [(None, "same"), (7, None)]
+    df = spark.createDataFrame(rows, "id bigint, prompt string")
+    vocab = E.build_vocab(df.where("id is null or id <> 3"), "prompt")
+    get = lambda **kw: sorted(map(repr, E.encode(df, vocab, max_len=5, label_pad=-100, **kw).collect()))
+    want = get(method="map")
+    assert len(want) == len(rows) and want == get(broadcast_limit=1, head=3) == get(broadcast_limit=1, head=0)
+    assert E.encode(df.limit(0), vocab, broadcast_limit=1).count() == 0
