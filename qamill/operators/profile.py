@@ -116,6 +116,76 @@ def box_stats(df: DataFrame, x: str = "question_length", by: Sequence[str] = (),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
 
 
+#: Accuracy of the quantile sketch: its ranks are off by n / ACCURACY at most.
+ACCURACY = 10_000
+
+
+def box_continuous(df: DataFrame, x: str, by: Sequence[str] = (), whisker: float = 1.5, accuracy: int = ACCURACY) -> DataFrame:
+    """``box_stats`` (linear) for a column with any number of distinct values.
+
+    A mergeable quantile sketch brackets each quartile: it is asked for ranks
+    eight errors below and above (a group of fewer than ``accuracy`` rows is one
+    bracket).  One exact pass then counts the rows below each bracket and the
+    values inside, about 16 / accuracy of the rows, among which the quartile is
+    found by rank; a bracket that misses its rank stops the query.  A last pass
+    takes whiskers and counts outliers.  Null and NaN values are left out.
+    """
+    groups = list(by) or ["_g"]
+    rows = df if by else df.withColumn("_g", F.lit(0))
+    v = F.col(x).cast("double")
+    src = rows.select(*groups, v.alias("_x")).where(v.isNotNull() & ~F.isnan(v))
+    qs = (0.25, 0.5, 0.75)
+    off = 8.0 / accuracy
+    ends = [max(0.0, min(1.0, q + s * off)) for q in qs for s in (-1, 1)]
+    sketch = src.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
+                                      F.percentile_approx("_x", [float(e) for e in ends], accuracy).alias("_ends"))
+    brackets = sketch.select(*groups, F.array(*[F.struct(
+        F.lit(j).alias("j"), F.lit(q).alias("q"), F.when(F.col("n") < accuracy, F.col("min")).otherwise(F.get("_ends", F.lit(2 * j))).alias("lo"),
+        F.when(F.col("n") < accuracy, F.col("max")).otherwise(F.get("_ends", F.lit(2 * j + 1))).alias("hi")) for j, q in enumerate(qs)]).alias("_b"))
+    # Without groups the joined side is one row; with them Spark decides by its size.
+    small = (lambda one: one) if by else F.broadcast
+    same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        """left with right's columns of the same group (a null group is one, too)."""
+        extra = [c for c in right.columns if c not in groups]
+        return left.alias("l").join(small(right.alias("r")), same).select("l.*", *[F.col(f"r.{c}") for c in extra])
+
+    placed = beside(src, brackets).select(*groups, "_x", F.explode("_b").alias("b")).where(F.col("_x") <= F.col("b.hi"))
+    # A null value stands for all rows below the bracket.
+    inside = placed.groupBy(*groups, "b.j", "b.q", F.when(F.col("_x") >= F.col("b.lo"), F.col("_x")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ranked = beside(inside.withColumn("cum", F.sum("c").over(Window.partitionBy(*groups, "j").orderBy(F.asc_nulls_first("v")))), sketch.select(*groups, "n"))
+    p = (F.col("n") - 1).cast("double") * F.col("q")
+    at = lambda rank: F.min(F.when(F.col("v").isNotNull() & (F.col("cum") >= rank + 1), F.col("v")))
+    found = ranked.groupBy(*groups, "j").agg(at(F.floor(p)).alias("lo"), at(F.ceil(p)).alias("hi"), F.first(p - F.floor(p)).alias("part"),
+                                               (F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)) <= F.min(F.floor(p))).alias("ok"))
+    names = ("q1", "median", "q3")
+    value = F.when(F.col("ok") & F.col("hi").isNotNull(), F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).otherwise(
+        F.raise_error(F.lit("a quartile is outside its bracket")))
+    wide = found.withColumn("value", value).groupBy(*groups).agg(
+        *[F.max(F.when(F.col("j") == j, F.col("value"))).alias(name) for j, name in enumerate(names)])
+    box = beside(sketch.select(*groups, "n", "min", "max"), wide)
+    box = (box.withColumn("iqr", F.col("q3") - F.col("q1"))
+           .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
+           .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
+    within = (F.col("_x") >= F.col("lower_fence")) & (F.col("_x") <= F.col("upper_fence"))
+    edges = beside(src, box.select(*groups, "lower_fence", "upper_fence")).groupBy(*groups).agg(
+        F.min(F.when(within, F.col("_x"))).alias("whisker_low"), F.max(F.when(within, F.col("_x"))).alias("whisker_high"),
+        F.count_if(~within).alias("n_outliers"))
+    return beside(box, edges).select(*by, "n", "min", *names, "max", "iqr", "lower_fence", "upper_fence", "whisker_low", "whisker_high", "n_outliers")
+
+
+def box_outliers(df: DataFrame, x: str, box: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``df`` whose value lies outside the fences of ``box`` (one row a group): the points of the box plot."""
+    groups = list(by) or ["_g"]
+    fences = (box if by else box.withColumn("_g", F.lit(0))).select(*groups, F.col("lower_fence").alias("_low"), F.col("upper_fence").alias("_high"))
+    rows = (df if by else df.withColumn("_g", F.lit(0))).alias("l")
+    v = F.col(f"l.{x}").cast("double")
+    same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
+    beside = rows.join((fences if by else F.broadcast(fences)).alias("r"), same)
+    return beside.where(~F.isnan(v) & ((v < F.col("_low")) | (v > F.col("_high")))).select(*[F.col(f"l.`{c}`") for c in df.columns])
+
+
 def histogram(df: DataFrame, x: str = "question_length", max_bins: int = 30,
               by: Sequence[str] = ()) -> DataFrame:
     """Equal-width histogram with at most ``max_bins`` bins.

@@ -202,6 +202,32 @@ def q_worker_shards(spark, sf_dir):
     return O.shard(offline_splits(spark, sf_dir), "split_pos", WORKERS).select("id", "split", "shard")
 
 
+#: Whiskers of the price box, short enough for the data to have outliers.
+PRICE_WHISKER = 0.25
+
+
+def _price_box(spark, sf_dir, by):
+    lines = S.table(spark, sf_dir, "lineitem")
+    return lines, P.box_continuous(lines, "l_extendedprice", by, whisker=PRICE_WHISKER)
+
+
+def q_price_box(spark, sf_dir):
+    """A8 on a column with about as many values as rows, per group."""
+    return _price_box(spark, sf_dir, ["l_returnflag"])[1]
+
+
+def q_box_outliers(spark, sf_dir):
+    """The points outside the fences, of a table without groups."""
+    lines, box = _price_box(spark, sf_dir, [])
+    return P.box_outliers(lines, "l_extendedprice", box).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+def q_event_outliers(spark, sf_dir):
+    events = S.table(spark, sf_dir, "events")
+    box = P.box_continuous(events, "value", ["event_type"])
+    return P.box_outliers(events, "value", box, ["event_type"]).select("event_id", "event_type", "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_profile": q_quality_profile,
     "clean_allowlist": q_clean_allowlist,
@@ -231,4 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_token_pairs": q_next_token_pairs,
     "batches_epoch": q_batches_epoch,
     "worker_shards": q_worker_shards,
+    "price_box": q_price_box,
+    "box_outliers": q_box_outliers,
+    "event_outliers": q_event_outliers,
 }

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from qamill.operators import clean as C
 from qamill.operators import profile as P
+from qamill.operators import samples
 from qamill.operators import versions as V
 from qamill.plans import catalog as Q
 from qamill.plans import dropgen, jobs
@@ -209,26 +210,118 @@ def q_report_version(spark, sf_dir):
     return spark.read.parquet(f"{root}/report/types").select("question_type", "n")
 
 
+#: Samples of one file in the lookup query.
+LOOKUP_FILE = 256
 #: Copies of each row, and ids of one file: the number of files grows with the table, not their size.
 BIG_COPIES, BIG_IDS = 60, 1000
 
 
-def q_ingest_big_array(spark, sf_dir):
-    """JSON arrays on one line each, too large for a single parsed value (150 MB of one range of ids)."""
+def _big_arrays(spark, sf_dir, copies: int) -> str:
+    """JSON arrays on one line, one for each range of ids, ingested."""
     root = scratch_dir(spark, "ingest")
     docs = S.qa_docs(spark, sf_dir).withColumn("answer", F.coalesce("answer", "question")).select(
-        "id", "answer", F.explode(F.sequence(F.lit(1), F.lit(BIG_COPIES))).alias("copy"))
+        "id", "answer", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
     docs = docs.select("id", "copy", F.lit("q").alias("question"), "answer")
-    items = F.array_join(F.collect_list(F.to_json(F.struct(*docs.columns))), ",")
-    docs.groupBy(F.floor(F.col("id") / BIG_IDS).alias("g")).agg(F.concat(F.lit("["), items, F.lit("]")).alias("value")).write.partitionBy(
-        "g").text(f"{root}/tmp")
-    for g in fs.list_names(spark, f"{root}/tmp"):
-        if g.startswith("g="):
-            dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp/{g}", ".txt"), f"{root}/drop", f"big-{g[2:]}")
+    dropgen.one_line_arrays(spark, docs, F.floor(F.col("id") / BIG_IDS), ["id", "copy"], f"{root}/tmp", f"{root}/drop", "big")
     V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
+    return root
+
+
+def q_ingest_big_array(spark, sf_dir):
+    """JSON arrays on one line each, too large for a single parsed value (150 MB of one range of ids)."""
+    root = _big_arrays(spark, sf_dir, BIG_COPIES)
     return V.read_all(spark, f"{root}/base").groupBy("copy").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("answer")).alias("chars"))
 
 
+def q_ingest_array_places(spark, sf_dir):
+    """The place of every record in arrays that several tasks cut (12 MB of one range of ids)."""
+    root = _big_arrays(spark, sf_dir, 5)
+    return V.read_all(spark, f"{root}/base").select("id", "copy", F.col("source_elem").cast("long").alias("source_elem"))
+
+
+def q_ingest_odd_keys(spark, sf_dir):
+    """Keys with an apostrophe, a colon, a comma, a back tick, a dot, and the empty key; nested and mixed values."""
+    root = scratch_dir(spark, "ingest")
+    odd = F.expr('''concat('"it\\\'s":', id, ',"c: d":', id / 4, ',"a,b":"x', id, '","`t`":', if(id % 2 = 0, 'true', 'null'),
+                    ',"":"e', id, '","n.m":{"k":[', id, ']},"<o>":', if(id % 3 = 0, '"s"', '1'))''')
+    line = F.concat(F.lit('{"question":"q","answer":"a","id":'), F.col("id"), F.when(F.col("id") % 5 > 0, F.concat(F.lit(","), odd)).otherwise(""), F.lit("}"))
+    S.qa_docs(spark, sf_dir).select(line.alias("value")).write.text(f"{root}/tmp")
+    dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp", ".txt"), f"{root}/drop", "odd")
+    V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
+    keys = {"it's": "apostrophe", "c: d": "colon", "a,b": "comma", "``t``": "tick", "_": "empty", "n.m": "dot", "<o>": "mixed"}
+    return V.read_all(spark, f"{root}/base").select("id", *[F.col(f"`{k}`").alias(a) for k, a in keys.items()])
+
+
+def q_ingest_quarantine_elements(spark, sf_dir):
+    """What is no object in an array goes to quarantine with its text, also what Spark's parser refuses."""
+    root = scratch_dir(spark, "ingest")
+    item = F.expr("""case id % 6 when 0 then 'NaN' when 1 then cast(id as string) when 2 then concat('"s', id, '"')
+                     when 3 then concat('{"question":"q","answer":-Infinity,"id":', id, '}') else concat('{"question":"q","answer":"a","id":', id, '}') end""")
+    docs = S.qa_docs(spark, sf_dir).select("id", item.alias("j")).groupBy(F.floor(F.col("id") / 500).alias("g")).agg(
+        F.sort_array(F.collect_list(F.struct("id", "j"))).alias("items"))
+    text = F.concat(F.lit("[\n"), F.array_join(F.transform("items", lambda x: x["j"]), ",\n"), F.lit("\n]"))
+    docs.select("g", text.alias("value")).write.partitionBy("g").text(f"{root}/tmp")
+    for g in fs.list_names(spark, f"{root}/tmp"):
+        if g.startswith("g="):
+            dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp/{g}", ".txt"), f"{root}/drop", f"items-{g[2:]}")
+    V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive", quarantine_path=f"{root}/quarantine")
+    kept = V.read_all(spark, f"{root}/base").select(F.lit("kept").alias("reason"), F.col("id").cast("string").alias("raw"))
+    return spark.read.schema("reason string, raw string").json(f"{root}/quarantine").select("reason", "raw").union(kept)
+
+
+def q_ingest_widened(spark, sf_dir):
+    """V3, V4: versions whose columns differ in type and number, read as one table."""
+    root = scratch_dir(spark, "ingest")
+    docs = S.qa_docs(spark, sf_dir)
+    values = ("cast(id as string)", "cast(id + 0.5 as string)", "concat('\"t', id, '\"')")
+    for k, value in enumerate(values):
+        line = F.concat(F.lit('{"question":"q","answer":"a","id":'), F.col("id"), F.lit(',"x":'), F.expr(value), F.lit(f',"only{k}":true,"n":'),
+                        F.expr("cast(id as string)" if k else "cast(id + 0.25 as string)"), F.lit("}"))
+        docs.where(F.col("id") % 3 == k).select(line.alias("value")).write.text(f"{root}/tmp{k}")
+        dropgen._publish(spark, fs.list_files(spark, f"{root}/tmp{k}", ".txt"), f"{root}/drop", f"part{k}")
+        V.ingest_dir(spark, f"{root}/drop", f"{root}/base", f"{root}/archive")
+    return V.read_all(spark, f"{root}/base").select("id", "x", "n", "only0", "only2", "version")
+
+
+def q_offline_null_key(spark, sf_dir):
+    """X1 with keys that are null or repeat: no row is lost, and their order follows their content."""
+    root = scratch_dir(spark, "offline")
+    key = F.expr("case id % 10 when 0 then null when 1 then 'twice' when 2 then '' else concat('doc-', id) end")
+    docs = S.qa_docs(spark, sf_dir).select(key.alias("key"), *C.QA_COLUMNS)
+    done = jobs.offline_prepare(spark, docs, root, key="key")
+    assert done.final_records == sum(done.split_counts.values())
+    parts = [jobs.read_split(spark, root, s).withColumn("split", F.lit(s)) for s in ("training", "validation", "evaluation")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("key", *C.QA_COLUMNS, "pos", "split", "split_pos")
+
+
+def q_batches_permuted(spark, sf_dir):
+    """T5: batches of two epochs; every row computes its own places from its position."""
+    root = scratch_dir(spark, "epochs")
+    train = Q.offline_splits(spark, sf_dir).where(F.col("split") == "training").select("id", "split_pos")
+    train.write.parquet(root)
+    keys = spark.read.parquet(root)
+    return Q.O.batches_permuted(keys, "id", keys.count(), size=Q.BATCH_SIZE, epochs=(0, 1), seed=Q.SEED)
+
+
+def q_sample_lookup(spark, sf_dir):
+    """Samples written with their index, and looked up at a place for each row (places repeat, and one in 50 doesn't exist)."""
+    root = _feed(spark, sf_dir)
+    written = spark.read.parquet(f"{root}/feed/samples").select("id", "split", "split_pos", "input_ids", "attention_mask", "labels")
+    samples.write(written, f"{root}/indexed", rows_per_file=LOOKUP_FILE)
+    asked = written.select("split", "split_pos").withColumn("place", F.expr("if(split_pos % 50 = 7, -1 - split_pos, split_pos * 5 div 7)"))
+    found = samples.lookup(spark, f"{root}/indexed", asked)
+    return found.select("split", "split_pos", "place", "sample.id", "sample.input_ids")
+
+
+def q_landed(spark, sf_dir):
+    """A raw table of JSON Lines landed once as a snapshot in which every row has an id of its own."""
+    root = scratch_dir(spark, "landed")
+    io.write_jsonl(S.qa_docs(spark, sf_dir).select(*C.QA_COLUMNS), f"{root}/raw")
+    out = io.land_raw(spark, f"{root}/raw", f"{root}/snapshot", fmt="json", schema=io.QA_SCHEMA)
+    own = out.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return out.join(own, "id").select(*C.QA_COLUMNS, "n")
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrow_scan": q_arrow_scan,
     "csv_export": q_csv_export,
@@ -247,6 +340,14 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_listing": q_archive_listing,
     "ingest_mixed_types": q_ingest_mixed_types,
     "ingest_big_array": q_ingest_big_array,
+    "ingest_array_places": q_ingest_array_places,
+    "ingest_odd_keys": q_ingest_odd_keys,
+    "ingest_quarantine_elements": q_ingest_quarantine_elements,
+    "ingest_widened": q_ingest_widened,
+    "offline_null_key": q_offline_null_key,
+    "batches_permuted": q_batches_permuted,
+    "sample_lookup": q_sample_lookup,
+    "landed_raw": q_landed,
     "report_splits": q_report_splits,
     "report_version": q_report_version,
 }
@@ -338,6 +439,44 @@ a as (select coalesce(answer, question) as answer from qa_docs)
 select cast(c as bigint) as copy, count(*) as n, cast(sum(length(answer)) as bigint) as chars
 from a, (select unnest(range(1, {BIG_COPIES + 1})) as c)
 where answer is not null and not {O.blank('answer')} group by c""",
+        "ingest_array_places": f"""{docs},
+a as (select id, coalesce(answer, question) as answer from qa_docs),
+r as (select id, answer, cast(c as bigint) as copy, row_number() over (partition by id // {BIG_IDS} order by id, c) - 1 as source_elem
+      from a, (select unnest(range(1, 6)) as c))
+select id, copy, source_elem from r where answer is not null and not {O.blank('answer')}""",
+        "ingest_odd_keys": f"""{docs}
+select id, case when k then id end as apostrophe, case when k then id / 4 end as colon, case when k then 'x' || id end as comma,
+       case when k and id % 2 = 0 then true end as tick, case when k then 'e' || id end as empty,
+       case when k then '{{"k":[' || id || ']}}' end as dot, case when k then case when id % 3 = 0 then 's' else '1' end end as mixed
+from (select id, id % 5 > 0 as k from qa_docs)""",
+        "ingest_quarantine_elements": f"""{docs}
+select case id % 6 when 0 then 'invalid_json' when 3 then 'invalid_json' when 1 then 'element_not_an_object'
+            when 2 then 'element_not_an_object' else 'kept' end as reason,
+       case id % 6 when 0 then 'NaN' when 2 then '"s' || id || '"' when 3 then '{{"question":"q","answer":-Infinity,"id":' || id || '}}'
+            else cast(id as varchar) end as raw from qa_docs""",
+        "ingest_widened": f"""{docs}
+select id, case id % 3 when 0 then cast(id as varchar) when 1 then cast(id as varchar) || '.5' else 't' || id end as x,
+       cast(id + case when id % 3 = 0 then 0.25 else 0 end as double) as n, case when id % 3 = 0 then true end as only0,
+       case when id % 3 = 2 then true end as only2, cast(id % 3 + 1 as integer) as version from qa_docs""",
+        "offline_null_key": f"""with {O.QA_DOCS}, {O.QA_CLEAN},
+keyed as (select case id % 10 when 0 then null when 1 then 'twice' when 2 then '' else 'doc-' || id end as key,
+                 synonyms, question_type, question, question_focus, answer from qa_clean),
+r as (select *, row_number() over (order by md5('{Q.SEED}|' || coalesce(key, '')), key nulls first, synonyms nulls first,
+             question_type nulls first, question nulls first, question_focus nulls first, answer nulls first) - 1 as pos,
+             count(*) over () as n from keyed),
+b as (select *, cast(floor(n * cast(0.6 as double)) as bigint) as nt, cast(floor(n * cast(0.2 as double)) as bigint) as nv from r)
+select key, synonyms, question_type, question, question_focus, answer, pos,
+       case when pos < nt then 'training' when pos < nt + nv then 'validation' else 'evaluation' end as split,
+       case when pos < nt then pos when pos < nt + nv then pos - nt else pos - nt - nv end as split_pos from b""",
+        "batches_permuted": O.permuted_sql(),
+        "sample_lookup": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS},
+p as (select id, split, split_pos, {O.PROMPT_INSTRUCT} as prompt from splits
+      where split in ('training', 'validation')),
+{O.vocab_sql("p", "split = 'training'")},
+{O.encode_sql("p", ", split, split_pos")}
+select a.split, a.split_pos, a.split_pos * 5 // 7 as place, e.id, e.input_ids
+from encoded a join encoded e on e.split = a.split and e.split_pos = a.split_pos * 5 // 7 where a.split_pos % 50 <> 7""",
+        "landed_raw": f"{docs} select synonyms, question_type, question, question_focus, answer, cast(1 as bigint) as n from qa_docs",
         "replay_score": f"""with {O.QA_DOCS}, {O.QA_CLEAN}, {O.SPLITS}
 select pos, 'ok' as status, cast(len({O.words('question')}) as varchar) as response,
        cast(null as varchar) as error

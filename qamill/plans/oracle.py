@@ -143,6 +143,39 @@ def whole(sql: str) -> str:
     return sql.replace(cap, "")
 
 
+def box_sql(table: str, column: str, group: str, whisker: float) -> str:
+    """CTE ``box``: the box summary of a column per group, by exact linear quantiles."""
+    return f"""src as (select {group} as g, cast({column} as double) as x from {table}),
+quartiles as (
+  select g, count(*) as n, min(x) as min, max(x) as max, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median,
+         quantile_cont(x, 0.75) as q3 from src group by g),
+box as (select *, q3 - q1 as iqr, q1 - {whisker} * (q3 - q1) as lower_fence, q3 + {whisker} * (q3 - q1) as upper_fence from quartiles)"""
+
+
+def permuted_sql() -> str:
+    """Batches of epochs 0 and 1 of the training split: a Feistel permutation on an a x b grid, walked on until below n."""
+    from qamill.operators.order import round_keys  # noqa: PLC0415
+
+    def rounds(src: str, epoch: int) -> str:
+        sql = f"select id, n, a, b, x // b as r, x % b as c from {src}"
+        for i, (m, k) in enumerate(round_keys(Q.SEED, epoch)):
+            row = f"(r + ((c * {m} + {k}) % 2147483647) // 8) % a" if i % 2 == 0 else "r"
+            col = "c" if i % 2 == 0 else f"(c + ((r * {m} + {k}) % 2147483647) // 8) % b"
+            sql = f"select id, n, a, b, {row} as r, {col} as c from ({sql})"
+        return f"select id, n, a, b, r * b + c as x from ({sql})"
+
+    epochs = ",\n".join(f"""walk{e} as ({rounds("train", e)} union all {rounds(f"(select * from walk{e} where x >= n)", e)}),
+at{e} as (select {e} as epoch, id, x from walk{e} where x < n)""" for e in (0, 1))
+    return f"""with recursive {QA_DOCS}, {QA_CLEAN}, {SPLITS},
+size as (select count(*) as n, cast(floor(sqrt(count(*))) as bigint) as s from splits where split = 'training'),
+grid as (select n, a, (n + a - 1) // a as b from (select n, unnest(range(greatest((s + 1) // 2, s - 100000, 1), s + 1)) as a from size)
+         order by ((n + a - 1) // a) * a - n, a desc limit 1),
+train as (select id, n, a, b, split_pos as x from splits, grid where split = 'training'),
+{epochs}
+select cast(epoch as integer) as epoch, x // {Q.BATCH_SIZE} as batch_id, list(id order by x) as ids, cast(count(*) as integer) as n_rows
+from (select * from at0 union all select * from at1) group by epoch, x // {Q.BATCH_SIZE}"""
+
+
 TYPES_IN = ", ".join(lit(t) for t in Q.EXPLORE_TYPES)
 KW = lit("(?i)" + Q.EXPLORE_KEYWORD)
 
@@ -277,6 +310,17 @@ select 'training' as split, cast(0 as integer) as epoch, cast(bpos // {Q.BATCH_S
 union all
 select 'validation', cast(0 as integer), cast(bpos // {Q.BATCH_SIZE} as bigint),
        list(id order by bpos), cast(count(*) as integer) from va group by bpos // {Q.BATCH_SIZE}""",
+        "price_box": f"""with {box_sql("lineitem", "l_extendedprice", "l_returnflag", Q.PRICE_WHISKER)}
+select b.g as l_returnflag, n, min, q1, median, q3, max, iqr, lower_fence, upper_fence,
+       min(x) filter (x between lower_fence and upper_fence) as whisker_low,
+       max(x) filter (x between lower_fence and upper_fence) as whisker_high,
+       count(*) filter (not x between lower_fence and upper_fence) as n_outliers
+from box b join src s on s.g = b.g group by all""",
+        "box_outliers": f"""with {box_sql("lineitem", "l_extendedprice", "1", Q.PRICE_WHISKER)}
+select l_orderkey, l_linenumber, l_extendedprice from lineitem, box
+where l_extendedprice < lower_fence or l_extendedprice > upper_fence""",
+        "event_outliers": f"""with {box_sql("events", "value", "event_type", 1.5)}
+select event_id, event_type, value from events join box on g = event_type where value < lower_fence or value > upper_fence""",
         "worker_shards": f"""with {QA_DOCS}, {QA_CLEAN}, {SPLITS}
 select id, split, cast(split_pos % {Q.WORKERS} as integer) as shard from splits""",
     }

@@ -100,3 +100,30 @@ def test_history_from_metadata_folders(spark, tmpdir_shared):
     assert sorted(r["version"] for r in meta.collect()) == [1, 2, 10]
     h = P.history(meta).orderBy("seq").collect()
     assert [(r["version"], r["records"]) for r in h] == [("v2", 2), ("v1", 4), ("v10", 0)]
+
+
+def test_box_continuous_against_numpy(spark):
+    """Quartiles of groups small and large, with ties, nulls and NaN, at the sketch's least accuracy."""
+    import numpy as np
+    import pytest
+    rng = np.random.default_rng(5)
+    groups = {"normal": rng.normal(size=6000), "ties": rng.integers(0, 4, 5000).astype(float), "one": np.array([7.0]), "two": np.array([1.0, 2.0]),
+              "skewed": rng.exponential(size=5003) ** 3, None: rng.uniform(size=101)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("one", None), ("two", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    box = P.box_continuous(df, "x", ["g"], accuracy=100)
+    got = {r["g"]: r for r in box.collect()}
+    assert got.keys() == groups.keys()
+    for g, v in groups.items():
+        r = got[g]
+        q1, q2, q3 = np.quantile(v, [0.25, 0.5, 0.75])
+        assert [r["n"], r["min"], r["max"]] == [len(v), v.min(), v.max()]
+        assert [r["q1"], r["median"], r["q3"]] == pytest.approx([q1, q2, q3])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = v[(v >= low) & (v <= high)]
+        assert (r["n_outliers"], r["whisker_low"], r["whisker_high"]) == (len(v) - len(inside), inside.min(), inside.max())
+        points = P.box_outliers(df, "x", box, ["g"]).where("g <=> " + (f"'{g}'" if g else "null")).count()
+        assert points == r["n_outliers"]
+    whole = P.box_continuous(df.where("g = 'skewed'"), "x", accuracy=100).first()
+    assert whole["median"] == pytest.approx(np.median(groups["skewed"]))
+    assert P.box_outliers(df.where("g = 'skewed'"), "x", P.box_continuous(df.where("g = 'skewed'"), "x")).count() == whole["n_outliers"]
