@@ -14,7 +14,8 @@ fills up as the benchmark grows, and then drops less; the join decides.
 
 Cases: null or empty texts, or texts without words: no words, nothing hit.
 Repeated rows are judged row by row; several rows of one item_id count as one
-item; a null item_id hits words, but isn't listed.  Empty benchmark: nothing
+item; a null item_id hits words, but isn't listed; ids may be of any type and are
+listed as strings.  Very long texts: a slice of their own, some 100 bytes of memory a word.  Empty benchmark: nothing
 hit.  Empty documents: no rows.
 """
 
@@ -140,9 +141,11 @@ def covered(spans: Column) -> Column:
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, item_ids (sorted as strings), spans (at, size of hit windows, in words)."""
     ship_package(spark)
-    items = staged(spark, _exploded(_probes(benchmark.select(
-        F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), None, None), "id")
-        .select(F.col("id").alias("item_id"), "key", "size", F.col("ctx").alias("item_ctx")).distinct(), "items")
+    # Ids of any type, as the strings they are listed as; a hash names them on the way.
+    name = F.col("item_id").cast("string")
+    named = benchmark.select(F.xxhash64(name).alias("id"), name.alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = staged(spark, _exploded(_probes(named.select("id", "text"), None, None), "id").join(named.select("id", "item_id").distinct(), "id")
+                   .select("item_id", "key", "size", F.col("ctx").alias("item_ctx")).distinct(), "items")
     short = sorted(r[0] for r in items.where(F.col("size") < WINDOW).select("size").distinct().collect())  # 9 at most
     probed = staged(spark, _probes(docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), _table(items), short)
@@ -153,7 +156,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     hits = hits.where(F.size("same") > 0).select("row", "item_id", F.transform("same", lambda d: F.struct(
         (F.col("at") - (GUARD - 1) + d).alias("at"), F.col("size").alias("size"))).alias("spans"))
     spans = hits.select("row", F.explode("spans").alias("s")).groupBy("row").agg(F.collect_set("s").alias("spans"))
-    listed = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    listed = hits.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     return probed.select("row", F.col("id").alias("doc_id"), "n_words").join(spans, "row", "left").join(listed, "row", "left").select(
         "doc_id", "n_words", F.coalesce(covered(F.col("spans")), F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans")

@@ -55,3 +55,11 @@ def test_empty_tables(spark, tmp_path):
     assert run(spark, f"{tmp_path}/a", [], [(1, "a b")]) == []
     docs = [(1, "a b"), (2, None)]
     assert run(spark, f"{tmp_path}/b", docs, []) == expected(docs, [])
+
+
+def test_text_item_ids(spark):
+    """Ids that are no numbers are listed as strings, in their order."""
+    items = spark.createDataFrame([("b/1", "one two three"), ("a b", "one two three"), (None, "four five"), ("9", "six")], "item_id string, text string")
+    docs = documents(spark, [(1, "x one two three y"), (2, "four five"), (3, "six one"), (4, "x")])
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in D.contamination(spark, docs, items).collect()}
+    assert got == {1: (3, ["a b", "b/1"]), 2: (2, []), 3: (1, ["9"]), 4: (0, [])}
