@@ -24,6 +24,7 @@ texts are matched whole.  Repeated rows: each is encoded.  Other columns stay as
 
 from __future__ import annotations
 
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -84,16 +85,34 @@ class Model:
 
     def merged(self, s: str, whole: bool = True) -> list[int]:
         """Ids of s by merging: the highest score first, then the leftmost; whole=False: without the last merge of a piece."""
-        parts = list(s)
-        while len(parts) > (1 if whole else 2):
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                score = self.score.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, k
-            if at < 0:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        # Neighbours by score, then from the left, in a heap: a run of n characters takes n log n steps.
+        parts: list[str | None] = list(s)
+        after, before = list(range(1, len(s) + 1)), list(range(-1, len(s) - 1))
+        heap: list[tuple] = []
+
+        def offer(k: int) -> None:
+            both = parts[k] + parts[after[k]] if after[k] < len(s) else None
+            score = self.score.get(both) if both is not None else None
+            if score is not None:
+                heapq.heappush(heap, (-score, k, both))
+
+        for k in range(len(s) - 1):
+            offer(k)
+        left = len(s)
+        while heap and left > (1 if whole else 2):
+            _, k, both = heapq.heappop(heap)
+            j = after[k] if parts[k] is not None else len(s)
+            if j >= len(s) or parts[k] + parts[j] != both:
+                continue
+            parts[k], parts[j] = both, None
+            after[k] = after[j]
+            if after[j] < len(s):
+                before[after[j]] = k
+            left -= 1
+            offer(k)
+            if before[k] >= 0:
+                offer(before[k])
+        parts = [x for x in parts if x is not None]
         out: list[int] = []
         for p in parts:
             out += [self.id[p]] if p in self.id else [self.byte[b] for b in p.encode()]

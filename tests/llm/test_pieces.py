@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -28,6 +29,19 @@ def test_same_ids_as_the_library(library):
         assert P.decode_ids(enc.model, mine) == t.replace("▁", " ")
 
 
+def test_long_runs_of_blanks(library):
+    """Runs of blanks in n log n steps, equal to the library's."""
+    enc = P.Encoder(P.Model(P.vocabulary_path(P.VOCABULARY)))
+    some = [" " * n for n in (1, 2, 15, 16, 17, 31, 100, 1023, 4001)] + [" " * 777 + "word" + " " * 333 + "x", "a" * 3001]
+    ids, per = enc(some)
+    at = np.concatenate([[0], np.cumsum(per)])
+    for k, t in enumerate(some):
+        assert ids[at[k]:at[k + 1]].tolist() == library.encode(t), len(t)
+    began = time.time()
+    enc([" " * 100_000])
+    assert time.time() - began < 30
+
+
 def test_suffix_array_and_occurrences():
     model = P.Model(P.vocabulary_path(P.VOCABULARY))
     text = "▁the▁thermal▁theory" * 3
