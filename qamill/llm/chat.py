@@ -2,13 +2,20 @@
 
 A turn's content is a list of parts: text, image, audio or document.  A
 visitor flattens it: text is escaped and written, any other part becomes a
-numbered placeholder, its reference goes to the attachment list, and the
-tokens it expands to are counted.  Turns are marked by control strings, all of
-which begin with ``<|``; inside texts and roles a backslash is doubled and
-``<|`` becomes ``<\\|``, so a text never holds a control string and every
-text comes back whole.  (Line feeds in roles are written as a backslash and n.)
+placeholder with its number in the conversation (from 0) and its type, its
+reference goes to the attachment list at that number, and the tokens it expands
+to are counted.  Turns and parts are marked by control strings, all of which
+begin with ``<|``; inside texts, roles and types a backslash is doubled and
+``<|`` becomes ``<\\|``, so none of them holds a control string and each comes
+back whole.  (Line feeds in roles and types are written as a backslash and n,
+and the ``|`` of a type as a backslash and ``|``.)
 
     <|turn|>role, line feed, content, <|end|>, line feed
+    <|part:number:type|>
+
+``read_back`` gives turns with their whole content as text, ``read_parts`` turns
+with their parts as they were: neighbouring texts come back as one, and empty
+ones not at all.
 
 The loss mask is a list of stretches of the formatted text, in code points:
 the contents of the assistant's turns, still escaped.
@@ -16,7 +23,9 @@ the contents of the assistant's turns, still escaped.
 Cases: null text: empty; null role: empty; null turn: first.  Equal turn
 numbers are ordered by role, then text; repeated rows are repeated turns.
 Null conv_id: one conversation.  A part of unknown type is a placeholder of
-that type; a null part or list is left out.  Empty table: no rows.
+that type, of null type one of the empty type; a null part or list is left out.
+Very long texts: a conversation is one row, and as long as its turns.  Empty
+table: no rows.
 """
 
 from __future__ import annotations
@@ -55,14 +64,33 @@ def _expanded(part: Column) -> Column:
     return F.coalesce(part["n_tokens"], default)
 
 
+def _inline(text: Column) -> Column:
+    """Escaped, on one line and without a closing sign."""
+    return F.replace(F.replace(F.replace(escaped(text), F.lit("<\\|"), F.lit("<|")), F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit("\\n"))
+
+
+def _from_inline(text: Column) -> Column:
+    # Back from "\n" to a line feed, but not where the backslash is itself escaped.
+    return unescaped(F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"))
+
+
 def flattened(parts: Column) -> tuple[Column, Column]:
-    """(content, attachments) of a list of parts: attachments in order, with type, ref and expanded tokens."""
+    """(content, attachments) of a list of parts: attachments in order, with type, ref and expanded tokens.
+    Placeholders are numbered from 0; ``formatted`` counts on over a conversation."""
     parts = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
-    content = F.array_join(F.transform(parts, lambda p: _visit(p, escaped(p["text"]), F.concat(
-        F.lit("<|"), F.regexp_replace(F.coalesce(p["type"], F.lit("unknown")), "[^a-z]", ""), F.lit("|>")))), "")
+    pieces = F.transform(parts, lambda p: _visit(p, F.struct(F.lit(False).alias("file"), escaped(p["text"]).alias("text")),
+                                                 F.struct(F.lit(True).alias("file"), _inline(p["type"]).alias("text"))))
     files = F.transform(F.filter(parts, lambda p: ~F.coalesce(p["type"] == "text", F.lit(False))), lambda p: F.struct(
         p["type"].alias("type"), p["ref"].alias("ref"), _expanded(p).alias("n_tokens")))
-    return content, files
+    return pieces, files
+
+
+def _written(pieces: Column, number: Column) -> Column:
+    """The pieces of a turn whose first placeholder has this number."""
+    step = lambda acc, p: F.struct(
+        F.concat(acc["text"], F.when(p["file"], F.concat(F.lit("<|part:"), acc["n"].cast("string"), F.lit(":"), p["text"], F.lit("|>"))).otherwise(
+            p["text"])).alias("text"), (acc["n"] + p["file"].cast("long")).alias("n"))
+    return F.aggregate(pieces, F.struct(F.lit("").alias("text"), number.cast("long").alias("n")), step, lambda acc: acc["text"])
 
 
 def formatted(turns: DataFrame, parts: str = "parts") -> DataFrame:
@@ -71,14 +99,19 @@ def formatted(turns: DataFrame, parts: str = "parts") -> DataFrame:
     turns: conv_id, turn, role and a column of parts.  Offsets are running sums
     over a conversation's turns, in the same shuffle that gathers its text.
     """
-    content, files = flattened(F.col(parts))
+    pieces, files = flattened(F.col(parts))
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
-    t = turns.select("conv_id", "turn", role.alias("role"), content.alias("content"), files.alias("files"))
+    t = turns.select("conv_id", "turn", role.alias("role"), pieces.alias("pieces"), files.alias("files"))
+    # Equal turn numbers go by role, then by what they say.
+    t = t.withColumn("said", F.array_join(F.transform("pieces", lambda p: F.concat(F.when(p["file"], F.lit("<|")).otherwise(F.lit("")), p["text"])), ""))
+    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "said", F.to_json("files"))
+    t = t.withColumn("n", F.row_number().over(order)).withColumn(
+        "before", F.sum(F.size("files").cast("long")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.size("files"))
+    t = t.withColumn("content", _written(F.col("pieces"), F.col("before")))
     head = F.concat(F.lit(START), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
     t = t.withColumn("head", head).withColumn("size", F.length("content")).withColumn(
         "whole", F.length("head") + F.col("size") + len(END))
-    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "content", F.to_json("files"))
-    t = t.withColumn("n", F.row_number().over(order)).withColumn(
+    t = t.withColumn(
         "start", F.sum(F.col("whole").cast("long")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size") - len(END))
     one = F.struct("n", "role", F.concat("head", "content", F.lit(END)).alias("piece"), "start", "size", "files")
     g = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("t"))
@@ -90,19 +123,41 @@ def formatted(turns: DataFrame, parts: str = "parts") -> DataFrame:
                         "attachments", F.lit(0).cast("long"), lambda acc, x: acc + x["n_tokens"]))
 
 
-def read_back(text: Column) -> Column:
-    """Turns (role, text) of a formatted text."""
+def _turns(text: Column, content) -> Column:
     turns = F.split(text, "<\\|end\\|>\n")
     turns = F.slice(turns, F.lit(1), F.size(turns) - 1)
+
     def turn(x: Column) -> Column:
         x = F.substring(x, F.lit(len(START) + 1), F.length(x))
         role = F.substring_index(x, "\n", 1)
-        # Back from "\n" to a line feed, but not where the backslash is itself escaped.
         plain = F.regexp_replace(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"), r"\\([\s\S])", "$1")
-        return F.struct(plain.alias("role"), unescaped(F.substring(x, F.length(role) + 2, F.length(x))).alias("text"))
+        return F.struct(plain.alias("role"), content(F.substring(x, F.length(role) + 2, F.length(x))))
     return F.transform(turns, turn)
 
 
+def read_back(text: Column) -> Column:
+    """Turns (role, text) of a formatted text; placeholders stand in the text as they are written."""
+    return _turns(text, lambda c: unescaped(c).alias("text"))
+
+
+def read_parts(text: Column, attachments: Column) -> Column:
+    """Turns (role, parts) of a formatted text and its attachments: parts as PART, in order."""
+    def parts(content: Column) -> Column:
+        # Behind each "<|part:" there is a number, a type, "|>" and the text up to the next one.
+        cut = F.split(content, r"<\|part:")
+        def part(x: Column, i: Column) -> Column:
+            mark = F.regexp_extract(x, r"^([0-9]+:(?:[^|\\]|\\[\s\S])*)\|>", 1)
+            number = F.substring_index(mark, ":", 1).cast("int")
+            file = F.get(attachments, number)
+            behind = F.when(i == 0, x).otherwise(F.substring(x, F.length(mark) + 3, F.length(x)))
+            words = F.struct(F.lit("text").alias("type"), unescaped(behind).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("n_tokens"))
+            kind = F.when(file["type"].isNotNull(), _from_inline(F.substring(mark, F.length(F.substring_index(mark, ":", 1)) + 2, F.length(mark))))
+            held = F.struct(kind.alias("type"), F.lit(None).cast("string").alias("text"), file["ref"].alias("ref"), file["n_tokens"].alias("n_tokens"))
+            return F.when(i == 0, F.array(words)).otherwise(F.array(held, words))
+        return F.filter(F.flatten(F.transform(cut, part)), lambda p: ~F.coalesce((p["type"] == "text") & (p["text"] == ""), F.lit(False))).alias("parts")
+    return _turns(text, parts)
+
+
 def masked(text: Column, loss: Column) -> Column:
     """The text under the loss mask, unescaped."""
     return F.array_join(F.transform(loss, lambda x: unescaped(F.substring(text, (x["start"] + 1).cast("int"), x["length"].cast("int")))), "")

@@ -37,13 +37,38 @@ def test_typed_parts(spark):
              ("document", "ignored", None, None), ("video", None, "v", None), ("text", " end", None, None)]
     df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", []), (1, 2, "assistant", None)], f"conv_id long, turn long, role string, parts array<{C.PART}>")
     r = C.formatted(df).first()
-    assert r.formatted == ("<|turn|>user\nlook <\\|image|> <|image|><|audio|><|document|><|video|> end<|end|>\n"
+    assert r.formatted == ("<|turn|>user\nlook <\\|image|> <|part:0:image|><|part:1:audio|><|part:2:document|><|part:3:video|> end<|end|>\n"
                            "<|turn|>assistant\n<|end|>\n<|turn|>assistant\n<|end|>\n")
     assert [tuple(a) for a in r.attachments] == [("image", "s3://i", 576), ("audio", "a.wav", 7), ("document", None, 1024), ("video", "v", 1)]
     assert r.expanded_tokens == 576 + 7 + 1024 + 1
     assert [r.formatted[a:a + n] for a, n in r.loss] == ["", ""]
 
 
+def test_parts_come_back(spark):
+    """Types that look like control strings, line feeds, empty and null types, numbers over several turns."""
+    t, f = (lambda x: ("text", x, None, None)), (lambda kind, ref, n: (kind, None, ref, n))
+    kinds = ["end", "turn", "", None, "end|>\n", "<|turn|>user\n", "a\\|b", "part:0:x", "\\n", "image"]
+    turns = [(1, 0, "user", [t("see "), f("image", "i0", 5), f("image", "i1", 6), t("<|part:0:image|> \\ <|end|>\n")]),
+             (1, 1, "assistant", [f(k, f"r{i}", i) for i, k in enumerate(kinds)]),
+             (1, 2, "assistant", [t("a"), t("b"), t(""), f("end", None, 1), t("\nlost?\n")]), (1, 3, "user", [])]
+    df = spark.createDataFrame(turns, f"conv_id long, turn long, role string, parts array<{C.PART}>")
+    r = C.formatted(df).select("formatted", "attachments", C.read_parts(F.col("formatted"), F.col("attachments")).alias("turns"),
+                               C.read_back(F.col("formatted")).alias("said")).first()
+    got = [(x.role, [tuple(p) for p in x.parts]) for x in r.turns]
+    want = [(role, list(parts)) for _, _, role, parts in turns]
+    want[2] = ("assistant", [t("ab"), f("end", None, 1), t("\nlost?\n")])
+    assert got == want and len(r.said) == 4 and len(r.attachments) == 13
+    assert "<|part:12:end|>" in r.formatted and r.said[2].text == "ab<|part:12:end|>\nlost?\n"
+
+
+def test_very_long_text(spark):
+    text = "line <|end|>\n\\" * 60_000
+    df = spark.createDataFrame([(1, 0, "assistant", text), (1, 1, "user", "short")], "conv_id long, turn long, role string, text string")
+    made = C.formatted(df.withColumn("parts", C.text_parts(F.col("text"))))
+    r = made.select(C.read_back(F.col("formatted")).alias("t"), C.masked(F.col("formatted"), F.col("loss")).alias("m")).first()
+    assert [x.text for x in r.t] == [text, "short"] and r.m == text
+
+
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert C.formatted(df.withColumn("parts", C.text_parts(F.col("text")))).collect() == []
