@@ -20,7 +20,7 @@ def counts(text):
 
 def test_counts(spark):
     rows = texts() + [(900, "# $$ a<b>\n*\n\n x | &&% é€😀\n*"), (901, "a b a b a b a"), (902, "a b"), (None, "no id")]
-    got = {r.doc_id: tuple(r.quality_counts) for r in Q.measured(documents(spark, rows)).collect()}
+    got = {r.doc_id: tuple(r.quality_counts)[:6] for r in Q.measured(documents(spark, rows)).collect()}
     assert got == {i: counts(t) for i, t in rows}
 
 
@@ -52,17 +52,35 @@ def chosen(spark, docs, labels, **kw):
 
 def test_cutoffs_follow_the_exact_bound(spark):
     docs, labels = labelled(spark, bad_good=2)
-    risk, level = 0.2 / 5, 0.1 / 5  # alpha and delta below, one stratum
-    _, cut = chosen(spark, docs, labels, alpha=0.2, delta=0.1)
-    got = cut.first()["quality_cutoffs"]
-    assert exact(2, 400, risk) < level and exact(9, 400, risk) > level
-    # Two good documents have more signs than words; that many rejections are within the bound.
-    assert got["symbols_per_word"] == Q.RULES["symbols_per_word"][2][-1]
+    assert exact(2, 400, 0.04) < 0.02
+    _, cut = chosen(spark, docs, labels, alpha=0.04, delta=0.02)
+    # Two good documents have more signs than words; that many rejections are within the bound at every level.
+    assert cut.first()["quality_cutoffs"] == {r: g[-1] for r, (_, _, g) in Q.RULES.items()}
     docs, labels = labelled(spark, bad_good=40)
-    _, cut = chosen(spark, docs, labels, alpha=0.2, delta=0.1)
-    assert got["dup_line_share"] == Q.RULES["dup_line_share"][2][-1]
-    # Forty are too many: their three signs a word stay beyond every cutoff of the grid.
-    assert "symbols_per_word" not in cut.first()["quality_cutoffs"]
+    _, cut = chosen(spark, docs, labels, alpha=0.04, delta=0.02)
+    assert cut.collect() == []  # forty are too many already at the first level
+
+
+def test_sequence_ends_at_the_first_level_that_fails(spark):
+    """Good documents with a sign every third word: levels whose cutoff leaves them alone pass, the next one ends the sequence."""
+    docs, labels = labelled(spark)
+    signs = docs.withColumn("text", F.when(F.col("doc_id") < 100, F.concat("text", F.lit(" " + "#" * 20))).otherwise(F.col("text")))
+    _, cut = chosen(spark, signs, labels, alpha=0.04, delta=0.02)
+    got = cut.first()["quality_cutoffs"]
+    share = 20 / 61
+    last = max(i for i, c in enumerate(Q.RULES["symbols_per_word"][2]) if c >= share)
+    assert got == {r: g[last] for r, (_, _, g) in Q.RULES.items()}
+
+
+def test_how_many_labels_are_enough(spark):
+    """437 good documents at 1 % and four strata; equal texts are one label."""
+    for n, enough in ((437, True), (436, False)):
+        docs, labels = labelled(spark, n)
+        _, cut = chosen(spark, docs, labels, alpha=0.01, delta=0.05 / 4)
+        assert (cut.count() == 1) == enough
+    docs, labels = labelled(spark, 500)
+    same = docs.withColumn("text", F.when(F.col("doc_id") < 100, F.lit("one text of some words " * 1 + " ".join(f"u{i}" for i in range(60)))).otherwise(F.col("text")))
+    assert chosen(spark, same, labels, alpha=0.01, delta=0.05 / 4)[1].count() == 0
 
 
 def test_judged(spark):
