@@ -3,7 +3,9 @@
 A line's tokens are its distinct 5-word shingles (lower case; a line of fewer
 words is one token).  Two lines match if the Jaccard similarity of their sets
 is 0.75 or more.  A line is removed if any earlier line, in order of doc_id,
-then place, matches it; lines without words never match.
+then place, then row, matches it; lines without words never match.  A row is
+named by a hash of its text beside its doc_id, so that rows of one doc_id are
+told apart.
 
 Tokens are ordered by rarity: that of a shingle is the rarity of its rarest
 word, from a table of BUCKETS word counts over the whole corpus (words share a
@@ -21,8 +23,10 @@ below how many tokens are not common.
 Tokens are 64-bit numbers: a level of rarity (LEVELS, by logarithm) above 58 bits of a hash.
 
 Cases: null text: one empty line, kept.  Null doc_id: lines are kept and match
-nothing.  Rows that repeat a doc_id: their lines are told apart by place only,
-so equal places don't remove each other.  Empty table: no rows.
+nothing.  Rows that share a doc_id are rows of their own, in the order of their
+texts' hashes at equal places; rows that repeat doc_id and text are one, and
+each of them loses the same lines.  Very long texts: a text is one row's work.
+Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from qamill.llm.columns import let, words
-from qamill.llm.tables import staged
+from qamill.llm.tables import released, staged
 
 SHINGLE = 5
 PART, WHOLE = 75, 100
@@ -47,6 +51,15 @@ BROADCAST_ROWS = 1_000_000
 PASS_WORDS = 1 << 15
 
 
+#: What names a line, in the order that decides which line is the earlier one.
+PLACE = ["doc_id", "line_no", "row"]
+
+
+def row_key(text: str = "text") -> Column:
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def word_counts(docs: DataFrame) -> list[int]:
     """Occurrences of the words of each bucket, over all texts; BUCKETS numbers at most reach the driver."""
     counted = docs.select(F.explode(words(F.lower("text"))).alias("w")).groupBy(
@@ -83,8 +96,8 @@ def tokenized(lines: DataFrame, counts: list[int]) -> DataFrame:
 
 
 def _passing(ids: DataFrame) -> Column:
-    """Whether a line (doc_id, line_no) may be one of ids; PASS_WORDS numbers at most reach the driver."""
-    place = F.xxhash64("doc_id", "line_no").bitwiseAND(F.lit(PASS_WORDS * 64 - 1))
+    """Whether a line (PLACE) may be one of ids; PASS_WORDS numbers at most reach the driver."""
+    place = F.xxhash64(*PLACE).bitwiseAND(F.lit(PASS_WORDS * 64 - 1))
     bits = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
     table = [0] * PASS_WORDS
@@ -103,8 +116,8 @@ def _parity(tokens: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line of every line."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line_no", "line"))
+    """PLACE (line_no from 0) and line of every line."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line_no", "line"))
 
 
 def _needed(n: Column, m: Column) -> Column:
@@ -113,66 +126,68 @@ def _needed(n: Column, m: Column) -> Column:
 
 
 def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, line_no of the lines that an earlier line matches."""
+    """PLACE of the lines that an earlier line matches."""
     docs = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     counts = word_counts(docs)
     lines = lines_of(docs)
-    # The first of equal lines stands for all; those at a later place go.  Rows that repeat a doc_id
-    # can have several lines at one place: they are told apart by k1.
-    place = F.struct("doc_id", "line_no")
+    # The first of equal lines stands for all; those at a later place go.
+    place = F.struct(*PLACE)
     keyed = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), place.alias("place"))
     firsts = staged(spark, keyed.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(
         "first < last").drop("last"), "firsts")
-    copies = staged(spark, keyed.join(firsts, ["k1", "k2"]).where("place > first").select(
-        "place.doc_id", "place.line_no", "k1").distinct(), "copies")
+    copies = staged(spark, keyed.join(firsts, ["k1", "k2"]).where("place > first").select("place.*").distinct(), "copies")
+    released(spark, firsts)
     few = copies.count() <= BROADCAST_ROWS
-    lines = lines.withColumn("k1", F.xxhash64("line"))
-    single = lines.join(F.broadcast(copies), ["doc_id", "line_no", "k1"], "left_anti") if few else lines
+    single = lines.join(F.broadcast(copies), PLACE, "left_anti") if few else lines
     # Only the first tokens of a line leave the scan.
     n = F.size("tokens")
-    prefix = tokenized(single, counts).select("doc_id", "line_no", "k1", n.alias("n"), F.slice(
+    prefix = tokenized(single, counts).select(*PLACE, n.alias("n"), F.slice(
         "tokens", F.lit(1), (n - F.ceil(n * PART / WHOLE) + 1).cast("int")).alias("prefix"))
     if not few:
-        prefix = prefix.join(copies, ["doc_id", "line_no", "k1"], "left_anti")
-    each = prefix.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "token"))
-    order = W.partitionBy("token").orderBy("doc_id", "line_no")
+        prefix = prefix.join(copies, PLACE, "left_anti")
+    each = prefix.select(*PLACE, "n", F.posexplode("prefix").alias("at", "token"))
+    order = W.partitionBy("token").orderBy(*PLACE)
     near = each.withColumn("before", F.lag("n").over(order)).withColumn("after", F.lead("n").over(order)).where(
         "before is not null or after is not null")
     shared = staged(spark, near.select(
-        "token", "doc_id", "line_no", "n", "at", *[F.first(c).over(order).alias(f"{c}0") for c in ("doc_id", "line_no", "n", "at")]), "shared")
+        "token", *PLACE, "n", "at", *[F.first(c).over(order).alias(f"{c}0") for c in (*PLACE, "n", "at")]), "shared")
     # The whole sets of those lines that share a token with another.
-    ids = staged(spark, shared.select("doc_id", "line_no").distinct(), "ids")
-    picked = tokenized(lines.where(_passing(ids)), counts).join(ids, ["doc_id", "line_no"], "left_semi")
-    sets = staged(spark, picked.select("doc_id", "line_no", "tokens"), "sets")
+    ids = staged(spark, shared.select(*PLACE).distinct(), "ids")
+    picked = tokenized(lines.where(_passing(ids)), counts).join(ids, PLACE, "left_semi").dropDuplicates(PLACE)
+    sets = staged(spark, picked.select(*PLACE, "tokens"), "sets")
+    released(spark, ids)
+    place0 = [f"{c}0" for c in PLACE]
 
     def could(n1: str, at1: str, n2: str, at2: str) -> Column:
         left = F.least(F.col(n1) - F.col(at1), F.col(n2) - F.col(at2))
         return (F.least(n1, n2) * WHOLE >= F.greatest(n1, n2) * PART) & (left * (PART + WHOLE) >= _needed(F.col(n1), F.col(n2)))
 
     def matched(pairs: DataFrame) -> DataFrame:
-        """doc_id, line_no of pairs (doc_id, line_no, doc_id0, line_no0) that match."""
-        two = pairs.join(sets, ["doc_id", "line_no"]).join(sets.select(
-            F.col("doc_id").alias("doc_id0"), F.col("line_no").alias("line_no0"), F.col("tokens").alias("tokens0")), ["doc_id0", "line_no0"])
+        """PLACE of pairs (PLACE, place0) that match."""
+        two = pairs.join(sets, PLACE).join(sets.select(*[F.col(c).alias(f"{c}0") for c in (*PLACE, "tokens")]), place0)
         return two.where(F.size(F.array_intersect("tokens", "tokens0")) * (PART + WHOLE) >= _needed(F.size("tokens"), F.size("tokens0"))).select(
-            "doc_id", "line_no").distinct()
+            *PLACE).distinct()
 
-    later = (F.col("doc_id") > F.col("doc_id0")) | ((F.col("doc_id") == F.col("doc_id0")) & (F.col("line_no") > F.col("line_no0")))
-    names = ["doc_id", "line_no", "doc_id0", "line_no0"]
+    later = F.struct(*PLACE) > F.struct(*[F.col(f"{c}0").alias(c) for c in PLACE])
+    names = [*PLACE, *place0]
     stars = staged(spark, shared.where(later & could("n", "at", "n0", "at0")).select(*names).distinct(), "pairs")
     gone = staged(spark, matched(stars), "gone")
     # Those that the earliest left: all earlier lines of their tokens.
-    held = sets.select("doc_id", "line_no", _parity(F.col("tokens")).alias("parity"))
-    rest = shared.select("token", "doc_id", "line_no", "n", "at").join(gone, ["doc_id", "line_no"], "left_anti")
-    rest = staged(spark, rest.join(held, ["doc_id", "line_no"]), "rest")
+    held = sets.select(*PLACE, _parity(F.col("tokens")).alias("parity"))
+    rest = shared.select("token", *PLACE, "n", "at").join(gone, PLACE, "left_anti")
+    rest = staged(spark, rest.join(held, PLACE), "rest")
     wanted = rest.select("token").distinct()
-    earlier = shared.select("token", "doc_id", "line_no", "n", "at").join(wanted, "token", "left_semi").join(held, ["doc_id", "line_no"]).select(
-        "token", *[F.col(c).alias(f"{c}0") for c in ("doc_id", "line_no", "n", "at", "parity")])
+    earlier = shared.select("token", *PLACE, "n", "at").join(wanted, "token", "left_semi").join(held, PLACE).select(
+        "token", *[F.col(c).alias(f"{c}0") for c in (*PLACE, "n", "at", "parity")])
     differ = sum((F.bit_count(F.get("parity", F.lit(g)).bitwiseXOR(F.get("parity0", F.lit(g)))) for g in range(4)), F.lit(0))
     common = (F.col("n") + F.col("n0") - differ) * (PART + WHOLE) >= _needed(F.col("n"), F.col("n0")) * 2
     pairs = rest.join(earlier, (rest["token"] == earlier["token"]) & later & could("n", "at", "n0", "at0") & common).select(*names).distinct()
     pairs = staged(spark, pairs.join(stars, names, "left_anti"), "pairs")
-    return copies.select("doc_id", "line_no").union(gone).union(matched(pairs)).distinct()
+    released(spark, rest, shared, stars)
+    out = staged(spark, copies.select(*PLACE).union(gone).union(matched(pairs)).distinct(), "removed")
+    released(spark, copies, gone, pairs, sets)
+    return out
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
@@ -180,9 +195,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = Fals
 
     drop_emptied: documents that lose their last line with words go; those that had none stay.
     """
-    gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id")).agg(F.collect_set("line_no").alias("removed_lines"))
-    rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("id"))
-    out = rows.join(staged(spark, gone, "removed"), F.col("id") == F.col("removed_id"), "left")
+    gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id"), F.col("row").alias("removed_row")).agg(
+        F.collect_set("line_no").alias("removed_lines"))
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("id"), row_key().alias("key"))
+    out = rows.join(gone, (F.col("id") == F.col("removed_id")) & (F.col("key") == F.col("removed_row")), "left")
     kept = let(F.split(F.col("whole.text").cast("string"), "\n"), lambda x: F.transform(F.array_except(
         F.sequence(F.lit(0), F.size(x) - 1), F.col("removed_lines")), lambda i: F.get(x, i)))
     text = F.when(F.col("removed_lines").isNull(), F.col("whole.text")).otherwise(F.array_join(kept, "\n"))
@@ -195,8 +211,9 @@ def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = Fals
 def op4_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (places from 0, ascending, comma-joined) per document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id")).agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
-    size = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id"), F.col("row").alias("removed_row")).agg(
+        F.array_sort(F.collect_set("line_no")).alias("lines"))
+    size = docs.select("doc_id", row_key().alias("key"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
     lines = F.coalesce("lines", F.array().cast("array<int>"))
-    return size.join(gone, F.col("doc_id") == F.col("removed_id"), "left").select(
+    return size.join(gone, (F.col("doc_id") == F.col("removed_id")) & (F.col("key") == F.col("removed_row")), "left").select(
         "doc_id", "n_lines", F.size(lines).cast("long").alias("n_removed"), F.array_join(lines.cast("array<string>"), ",").alias("removed_lines"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qamill.session import scratch_dir
+from qamill.sources import fs
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -15,6 +16,13 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables that ``staged`` wrote, once nothing that is still to run reads them."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            fs.remove(spark, path)
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b: long) as (node, label), label the smallest node reachable.
 
@@ -44,8 +52,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     was = mark(e)
     while was[0]:
-        e = staged(spark, star(star(e, True), False), "edges")
+        last, e = e, staged(spark, star(star(e, True), False), "edges")
         now = mark(e)
+        released(spark, last)
         if tuple(now) == tuple(was):
             break
         was = now

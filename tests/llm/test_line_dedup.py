@@ -5,12 +5,13 @@ from helpers import changed, documents, jaccard_at_least, sentence, shingles, te
 from qamill.llm import line_dedup as L
 
 
-def expected(rows):
-    """Places of removed lines of each doc_id."""
+def expected(spark, rows):
+    """(doc_id, line_no, row) of removed lines; rows of one doc_id are told apart by the hash of their text."""
+    key = {r.text or "": r.key for r in documents(spark, rows).select("text", L.row_key().alias("key")).collect()}
     lines = []
     for i, t in rows:
         if i is not None:
-            lines += [((i, k), shingles((x or "").lower())) for k, x in enumerate((t or "").split("\n"))]
+            lines += [((i, k, key[t or ""]), shingles((x or "").lower())) for k, x in enumerate((t or "").split("\n"))]
     gone = set()
     for at, s in lines:
         if s and any(b < at and z and len(s & z) and jaccard_at_least(s, z) for b, z in lines):
@@ -21,7 +22,11 @@ def expected(rows):
 def removed(spark, rows):
     got = L.removed_lines(spark, documents(spark, rows)).collect()
     assert len(got) == len(set(got))
-    return {(r.doc_id, r.line_no) for r in got}
+    return {(r.doc_id, r.line_no, r.row) for r in got}
+
+
+def places(found):
+    return {x[:2] for x in found}
 
 
 def lined(seed):
@@ -36,19 +41,19 @@ def lined(seed):
 
 def test_against_all_pairs(spark):
     rows = [r for r in texts()[:40] if r[0] != 8] + lined(4) + [(None, "a b c"), (8, "\n\n")]
-    assert removed(spark, rows) == expected(rows)
+    assert removed(spark, rows) == expected(spark, rows)
 
 
 def test_many_variants_of_one_line(spark):
     rng = random.Random(6)
     base = sentence(rng, 40)
     rows = [(i, changed(rng, base, i % 9)) for i in range(120)]
-    assert removed(spark, rows) == expected(rows)
+    assert removed(spark, rows) == expected(spark, rows)
 
 
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "a b c"), (1, "a b c"), (2, "A b  c"), (2, "other\na b c\nother")]
-    assert removed(spark, rows) == {(2, 0), (2, 1), (2, 2)}
+    assert places(removed(spark, rows)) == {(2, 0), (2, 1), (2, 2)} and removed(spark, rows) == expected(spark, rows)
     assert removed(spark, []) == set()
 
 
@@ -59,7 +64,16 @@ def test_rows_of_one_doc_id(spark, monkeypatch):
     rows = [(1, line), (2, line), (2, other), (2, other), (3, changed(rng, other, 1)), (4, f"{other}\n{line}")]
     for most in (L.BROADCAST_ROWS, 0):
         monkeypatch.setattr(L, "BROADCAST_ROWS", most)
-        assert removed(spark, rows) == expected(rows) == {(2, 0), (3, 0), (4, 0), (4, 1)}
+        found = removed(spark, rows)
+        assert found == expected(spark, rows) and len(found) == 4 and places(found) == {(2, 0), (3, 0), (4, 0), (4, 1)}
+
+
+def test_no_text_is_lost(spark):
+    """A line goes only if an earlier one stays or matches in turn: every text of a corpus with repeated ids is still there once."""
+    rows = [(1, "A a"), (2, "A a"), (2, "B b"), (3, "B b"), (3, "C c\nD d"), (3, "D d\nC c"), (4, "E e"), (4, "E e")]
+    left = [(r.doc_id, r.text) for r in L.deduplicated(spark, documents(spark, rows), drop_emptied=True).collect()]
+    assert sorted(x for x in left if x[0] < 3) == [(1, "A a"), (2, "B b")] and left.count((4, "E e")) == 2
+    assert sorted(line for i, t in left if i == 3 for line in t.split("\n")) == ["C c", "D d"]
 
 
 def test_repeated_rows_keep_their_lines(spark):
