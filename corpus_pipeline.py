@@ -22,9 +22,9 @@ from qamill.session import scratch_dir
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the risk-controlled rules keep.  The labelled holdout is what of the labels meets a document of this stage."""
     rows = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "lang", "text")
-    counted = quality.measured(rows)
-    held = staged(spark, counted.select("doc_id", "lang", "quality_counts"), "counted")
-    chosen = quality.cutoffs(spark, held, spark.read.parquet(f"{sf_dir}/labels.parquet"), "lang")
+    # Counted once, and written beside the rows: cutoffs read the counts alone, the verdict both.
+    counted = staged(spark, quality.measured(rows).drop("text"), "counted")
+    chosen = quality.cutoffs(spark, counted.drop("whole"), spark.read.parquet(f"{sf_dir}/labels.parquet"), "lang")
     return quality.judged(spark, counted, chosen, "lang").where("quality_kept").select("whole.*")
 
 
