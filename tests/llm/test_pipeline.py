@@ -6,6 +6,7 @@ import sentencepiece
 from helpers import WORD, changed, documents, jaccard_at_least, sentence, shingles
 from test_decontaminate import expected as contaminated
 from test_line_dedup import expected as removed_lines
+from test_line_dedup import places
 from test_near_dedup import expected as near
 from test_quality import counts
 
@@ -27,9 +28,9 @@ def corpus():
     return rows, [(1, item), (2, None)]
 
 
-def expected(rows, items):
+def expected(spark, rows, items):
     rows = [(i, t) for i, t in rows if counts(t)[0] >= 50 and 100 * counts(t)[4] <= 50 * counts(t)[0]]
-    gone = removed_lines(rows)
+    gone = places(removed_lines(spark, rows))
     rows = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)) for i, t in rows]
     rows = [(i, t) for i, t in rows if WORD.search(t)]  # every document has words before this stage
     rows = [(i, t) for i, t in rows if near(rows)[i][2]]
@@ -47,7 +48,7 @@ def test_run_against_brute_force(spark, tmp_path):
     rows, items = corpus()
     write(spark, str(tmp_path), rows, items)
     got = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
-    want = expected(rows, items)
+    want = expected(spark, rows, items)
     assert [(r.doc_id, r.text) for r in got] == want and 0 < len(want) < len(rows) - 3
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary_path(pieces.VOCABULARY))
     for r in got:
