@@ -37,22 +37,25 @@ def _class_body(ranges) -> str:
 # The same pattern text works in Java regex and in RE2.
 WORD_REGEX: str = "[^" + _class_body(PY_WS_RANGES) + "]+"
 
-# The instruction prompt of the offline training feed.
-INSTRUCT_HEAD = (
-    "### Context:\n"
-    "You are a helpful, accurate, and safety-aware medical assistant.\n"
-    "\n"
-    "### Instruction:\n"
-    "Answer the following medical question with factual and reliable information.\n"
-    "\n"
-    "### Question:\n"
-)
-INSTRUCT_MID = "\n\n### Answer:\n"
-INSTRUCT_TAIL = "\n"
+# The instruction prompt of the offline training feed (T1) and
+# the short prompt of the retraining feed.
+INSTRUCT_PROMPT = """### Context:
+You are a helpful, accurate, and safety-aware medical assistant.
+
+### Instruction:
+Answer the following medical question with factual and reliable information.
+
+### Question:
+{question}
+
+### Answer:
+{answer}
+"""
+SHORT_PROMPT = "Question: {question}\nAnswer: {answer}"
 
-# The short prompt of the retraining feed.
-SHORT_HEAD = "Question: "
-SHORT_MID = "\nAnswer: "
+# What stands before, between and behind the two fields.
+INSTRUCT_HEAD, INSTRUCT_MID, INSTRUCT_TAIL = INSTRUCT_PROMPT.replace("{answer}", "{question}").split("{question}")
+SHORT_HEAD, SHORT_MID, _ = SHORT_PROMPT.replace("{answer}", "{question}").split("{question}")
 
 
 def _c(c) -> Column:

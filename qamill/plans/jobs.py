@@ -126,10 +126,11 @@ def feed(spark: SparkSession, train: DataFrame, val: DataFrame, out: str, key: s
             .unionByName(val.select(key, *carry, "split_pos", "question", "answer",
                                     F.lit("validation").alias("split"))))
     prompts = both.select(key, *carry, "split", "split_pos", prompt("question", "answer", style).alias("prompt"))
-    # Key table (small columns only) for the batch plans: written once instead
-    # of re-reading the text inputs for every epoch.
-    prompts.select(key, "split", "split_pos").write.mode("overwrite").parquet(f"{stage}/keys")
-    keys = spark.read.parquet(f"{stage}/keys")
+    # The JSON text is parsed once: prompts are staged as columns, which the word
+    # counts, the encoder and (keys and places only) the batch plans read.
+    prompts.write.mode("overwrite").parquet(f"{stage}/prompts")
+    prompts = spark.read.parquet(f"{stage}/prompts")
+    keys = prompts.select(key, "split", "split_pos")
     vocab = E.build_vocab(prompts.where(F.col("split") == "training"), "prompt", max_vocab,
                           staging=f"{stage}/vocab")
     vocab.write.mode("errorifexists").parquet(f"{out}/vocab")

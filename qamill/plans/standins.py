@@ -15,23 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qamill.operators.clean import QA_COLUMNS, clean_allowlist
+from qamill.operators.clean import QA_COLUMNS, SAFE_TYPES, clean_allowlist
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# The question_type cycle of the qa_docs stand-in (FIXTURES.md):
-# the 20 allowed types with three capitalised, then four that must be dropped.
-DOC_TYPES: tuple[str, ...] = (
-    "Causes", "complications", "considerations", "Dietary", "exams and tests",
-    "genetic changes", "how can i learn more", "how does it work",
-    "how effective is it", "information", "inheritance", "outlook",
-    "prevention", "research", "stages", "storage and disposal", "support groups",
-    "susceptibility", "Symptoms", "why get vaccinated",
-    "treatment", "usage", "brand names", "symptoms ",
-)
+# The question_type cycle of the qa_docs stand-in (FIXTURES.md): the allowed
+# types in order of name, three of them capitalised, then four that must be dropped.
+CAPITALS = ("causes", "dietary", "symptoms")
+DROPPED = ("treatment", "usage", "brand names", "symptoms ")
+DOC_TYPES: tuple[str, ...] = (*(t.capitalize() if t in CAPITALS else t for t in sorted(SAFE_TYPES)), *DROPPED)
 
 
 def qa_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

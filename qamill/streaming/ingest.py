@@ -45,7 +45,8 @@ def start_ingest(spark: SparkSession, src: str, base: str, archive: str, checkpo
         now = dropdir.list_files(spark, src, glob)
         paths = [r["path"] for r in now.select("path").collect()]
         ingest_paths(spark, paths, base, archive, batch_id=batch_id, listing=now,
-                     single_object=single_object, quarantine_path=quarantine_path)
+                     single_object=single_object, quarantine_path=quarantine_path,
+                     others=dropdir.other_files(spark, src, glob) if quarantine_path else None)
 
     w = listing.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

@@ -289,3 +289,12 @@ def test_read_all_is_one_pruned_scan(spark, tmpdir_shared):
     rows = df.collect()
     assert len(rows) == 205 and {r["version"] for r in rows} == set(range(1, 203))
     assert {r["x"] for r in rows} == {"1", "2.5", "t", "s"} and {"only0", "only1", "only2"} <= set(df.columns) and "X" not in df.columns
+
+
+def test_files_of_other_suffixes_are_reported(spark, tmpdir_shared):
+    drop, base, arch, q = (f"{tmpdir_shared}/{x}" for x in ("drop", "base", "archive", "quarantine"))
+    _write(drop, {"a.json": '[{"question":"q","answer":"a"}]', "x.txt": "hi", "x.JSON": "[]", "notes.json.bak": "1"})
+    assert V.ingest_dir(spark, drop, base, arch, quarantine_path=q).version == 1
+    rows = spark.read.schema("name string, line_no long, reason string, raw string").json(f"{q}/version=1").collect()
+    assert sorted(tuple(r) for r in rows) == [(n, None, "other_suffix", None) for n in ("notes.json.bak", "x.JSON", "x.txt")]
+    assert sorted(os.listdir(drop)) == ["notes.json.bak", "x.JSON", "x.txt"]

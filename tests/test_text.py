@@ -35,3 +35,22 @@ def test_prompts_are_literal(spark):
     long = df.select(prompt(style="instruct")).first()[0]
     assert long.startswith("### Context:\n") and long.endswith("### Answer:\n{answer}\n")
     assert "### Question:\nwhat {x} %s?\n\n### Answer:" in long
+
+
+def test_fixed_texts_stated_here():
+    """The values that the SQL takes from the code, spelled out."""
+    from qamill.functions.text import INSTRUCT_PROMPT, SHORT_PROMPT, WORD_REGEX
+    from qamill.operators.clean import SAFE_TYPES
+    from qamill.operators.profile import EXPECTED_TYPES
+    assert INSTRUCT_PROMPT == ("### Context:\nYou are a helpful, accurate, and safety-aware medical assistant.\n\n### Instruction:\n"
+                               "Answer the following medical question with factual and reliable information.\n\n"
+                               "### Question:\n{question}\n\n### Answer:\n{answer}\n")
+    assert SHORT_PROMPT == "Question: {question}\nAnswer: {answer}"
+    assert sorted(SAFE_TYPES) == sorted((
+        "causes", "complications", "considerations", "dietary", "exams and tests", "genetic changes", "how can i learn more",
+        "how does it work", "how effective is it", "information", "inheritance", "outlook", "prevention", "research", "stages",
+        "storage and disposal", "support groups", "susceptibility", "symptoms", "why get vaccinated"))
+    assert set(EXPECTED_TYPES) == {"symptoms", "complications", "dietary", "genetic changes"}
+    import re
+    found = re.findall(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", WORD_REGEX), "a\u2003b c\x1cd\u3000e\u200bf")
+    assert found == ["a", "b", "c", "d", "e\u200bf"]
