@@ -37,9 +37,9 @@ from qamill.llm.token_store import vocabulary_path
 from qamill.session import ship_package
 
 VOCABULARY = "piece_bpe_32k.model"
-KNOWN_SEGMENTS = 400_000
+KNOWN_SEGMENTS = 300_000
 #: Characters indexed at a time, about.
-INDEXED = 1 << 19
+INDEXED = 1 << 18
 BLANK = "▁"
 
 
@@ -411,8 +411,8 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
 def _encode_rows(batches, text: str, ids: str, path: str):
     enc = _encoder(path)
     for batch in batches:
-        for k in range(0, batch.num_rows, 512):
-            some = batch.slice(k, 512)
+        for k in range(0, batch.num_rows, 256):
+            some = batch.slice(k, 256)
             texts = some.column(some.schema.names.index(text))
             got, per = enc([t or "" for t in texts.to_pylist()])
             at = pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32(), mask=np.append(texts.is_null().to_numpy(zero_copy_only=False), False))
