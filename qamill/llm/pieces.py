@@ -37,9 +37,9 @@ from qamill.llm.token_store import vocabulary_path
 from qamill.session import ship_package
 
 VOCABULARY = "piece_bpe_32k.model"
-KNOWN_SEGMENTS = 300_000
+KNOWN_SEGMENTS = 400_000
 #: Characters indexed at a time, about.
-INDEXED = 1 << 18
+INDEXED = 3 << 17
 BLANK = "▁"
 
 
