@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qamill.functions.text import keyword_match, word_count
+from qamill.session import scratch_dir
 
 # Question types the retraining report expects to see (A10).
 EXPECTED_TYPES: tuple[str, ...] = ("symptoms", "complications", "dietary", "genetic changes")
@@ -116,6 +117,18 @@ def box_stats(df: DataFrame, x: str = "question_length", by: Sequence[str] = (),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
 
 
+#: Groups up to which a row for each is sent to every task.
+FEW_GROUPS = 100_000
+
+
+def _beside_all(small: DataFrame) -> DataFrame:
+    """One row a group, computed once and written; broadcast when these are few, so that the rows of a group stay where they are."""
+    path = scratch_dir(small.sparkSession, "groups")
+    small.write.parquet(path)
+    small = small.sparkSession.read.parquet(path)
+    return F.broadcast(small) if small.count() <= FEW_GROUPS else small
+
+
 #: Accuracy of the quantile sketch: its ranks are off by n / ACCURACY at most.
 ACCURACY = 10_000
 
@@ -139,17 +152,16 @@ def box_continuous(df: DataFrame, x: str, by: Sequence[str] = (), whisker: float
     ends = [max(0.0, min(1.0, q + s * off)) for q in qs for s in (-1, 1)]
     sketch = src.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
                                       F.percentile_approx("_x", [float(e) for e in ends], accuracy).alias("_ends"))
+    sketch = _beside_all(sketch)
     brackets = sketch.select(*groups, F.array(*[F.struct(
         F.lit(j).alias("j"), F.lit(q).alias("q"), F.when(F.col("n") < accuracy, F.col("min")).otherwise(F.get("_ends", F.lit(2 * j))).alias("lo"),
         F.when(F.col("n") < accuracy, F.col("max")).otherwise(F.get("_ends", F.lit(2 * j + 1))).alias("hi")) for j, q in enumerate(qs)]).alias("_b"))
-    # Without groups the joined side is one row; with them Spark decides by its size.
-    small = (lambda one: one) if by else F.broadcast
     same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
         """left with right's columns of the same group (a null group is one, too)."""
         extra = [c for c in right.columns if c not in groups]
-        return left.alias("l").join(small(right.alias("r")), same).select("l.*", *[F.col(f"r.{c}") for c in extra])
+        return left.alias("l").join(right.alias("r"), same).select("l.*", *[F.col(f"r.{c}") for c in extra])
 
     placed = beside(src, brackets).select(*groups, "_x", F.explode("_b").alias("b")).where(F.col("_x") <= F.col("b.hi"))
     # A null value stands for all rows below the bracket.
@@ -169,6 +181,7 @@ def box_continuous(df: DataFrame, x: str, by: Sequence[str] = (), whisker: float
            .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
            .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
     within = (F.col("_x") >= F.col("lower_fence")) & (F.col("_x") <= F.col("upper_fence"))
+    box = _beside_all(box)
     edges = beside(src, box.select(*groups, "lower_fence", "upper_fence")).groupBy(*groups).agg(
         F.min(F.when(within, F.col("_x"))).alias("whisker_low"), F.max(F.when(within, F.col("_x"))).alias("whisker_high"),
         F.count_if(~within).alias("n_outliers"))
@@ -178,11 +191,11 @@ def box_continuous(df: DataFrame, x: str, by: Sequence[str] = (), whisker: float
 def box_outliers(df: DataFrame, x: str, box: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``df`` whose value lies outside the fences of ``box`` (one row a group): the points of the box plot."""
     groups = list(by) or ["_g"]
-    fences = (box if by else box.withColumn("_g", F.lit(0))).select(*groups, F.col("lower_fence").alias("_low"), F.col("upper_fence").alias("_high"))
+    fences = _beside_all((box if by else box.withColumn("_g", F.lit(0))).select(*groups, F.col("lower_fence").alias("_low"), F.col("upper_fence").alias("_high")))
     rows = (df if by else df.withColumn("_g", F.lit(0))).alias("l")
     v = F.col(f"l.{x}").cast("double")
     same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
-    beside = rows.join((fences if by else F.broadcast(fences)).alias("r"), same)
+    beside = rows.join(fences.alias("r"), same)
     return beside.where(~F.isnan(v) & ((v < F.col("_low")) | (v > F.col("_high")))).select(*[F.col(f"l.`{c}`") for c in df.columns])
 
 

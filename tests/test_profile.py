@@ -127,3 +127,16 @@ def test_box_continuous_against_numpy(spark):
     whole = P.box_continuous(df.where("g = 'skewed'"), "x", accuracy=100).first()
     assert whole["median"] == pytest.approx(np.median(groups["skewed"]))
     assert P.box_outliers(df.where("g = 'skewed'"), "x", P.box_continuous(df.where("g = 'skewed'"), "x")).count() == whole["n_outliers"]
+
+
+def test_rows_of_a_group_are_not_gathered_for_its_box(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1009).cast("double").alias("x"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        box = P.box_continuous(df, "x", ["g"], whisker=0.25)
+        for out in (box, P.box_outliers(df, "x", box, ["g"])):
+            out.collect()
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
