@@ -42,6 +42,10 @@ MAX_VOCAB = None        # the whole vocabulary, unless a size is asked for
 HEAD_WORDS = 20_000
 # Rows of one block on the join path.
 BLOCK_ROWS = 2048
+# Rows that are encoded at once on the map path: the padded arrays and words of these are held, whatever a batch holds.
+SLICE_ROWS = 512
+# Characters of these rows, unless one row has more.
+SLICE_BYTES = 1 << 20
 # Broadcast the vocabulary only below this many bytes of words.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -173,6 +177,21 @@ def encoded_arrays(texts, value_set, ids, max_len: int, pad_id: int, unk_id: int
     return [pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1))) for m in (mat, mask, lab)]
 
 
+def _slices(batch, column: str):
+    """A batch in order, in parts of at most SLICE_ROWS rows and SLICE_BYTES of ``column``, one row at least."""
+    import numpy as np  # noqa: PLC0415
+    import pyarrow.compute as pc  # noqa: PLC0415
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        stop = int(np.searchsorted(sizes, before + SLICE_BYTES, side="right"))
+        stop = min(max(stop, start + 1), start + SLICE_ROWS, batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: int, pad_id: int,
                 unk_id: int, label_pad: int | None, carry: tuple[str, ...]) -> DataFrame:
     """Broadcast path: vectorised per Arrow batch, no shuffle."""
@@ -194,7 +213,7 @@ def _encode_map(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len: i
 
         words, ids = bc.value
         value_set = pa.array(words, pa.string())
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch, "_text")):
             arrays = encoded_arrays(b.column("_text"), value_set, ids, max_len, pad_id, unk_id, label_pad)
             yield pa.RecordBatch.from_arrays([b.column(nm) for nm in names[:len(keys)]] + arrays, names=names)
 

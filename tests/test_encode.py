@@ -89,3 +89,24 @@ def test_blocks_and_large_blocks_give_the_map_paths_arrays(spark, monkeypatch):
     want = get(method="map")
     assert len(want) == len(rows) and want == get(broadcast_limit=1, head=3) == get(broadcast_limit=1, head=0)
     assert E.encode(df.limit(0), vocab, broadcast_limit=1).count() == 0
+
+
+def test_large_batches_are_encoded_in_slices():
+    import pyarrow as pa
+
+    texts = ["a b", None, "", "é" * E.SLICE_BYTES, "c"] + ["x y"] * (2 * E.SLICE_ROWS) + ["z" * (E.SLICE_BYTES // 2)] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["id", "_text"])
+    parts = list(E._slices(batch, "_text"))
+    assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(len(texts)))
+    assert max(p.num_rows for p in parts) <= E.SLICE_ROWS
+    assert all(p.num_rows == 1 or sum(len(t.encode()) for t in p.column("_text").to_pylist() if t) <= E.SLICE_BYTES for p in parts)
+    assert list(E._slices(batch.slice(0, 0), "_text")) == []
+
+
+def test_slices_give_the_arrays_of_the_whole_batch(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{j % 97}" for j in range(i % 13))) for i in range(3 * E.SLICE_ROWS)], "id bigint, prompt string").coalesce(1)
+    vocab = E.build_vocab(df, "prompt")
+    ids = {r["word"]: r["token_id"] for r in vocab.collect()}
+    for r in E.encode(df, vocab, max_len=6, method="map").collect():
+        want = [ids[f"w{j % 97}"] for j in range(r["id"] % 13)][:6]
+        assert r["input_ids"] == want + [E.EOS_ID] * (6 - len(want))
