@@ -298,3 +298,17 @@ def test_files_of_other_suffixes_are_reported(spark, tmpdir_shared):
     rows = spark.read.schema("name string, line_no long, reason string, raw string").json(f"{q}/version=1").collect()
     assert sorted(tuple(r) for r in rows) == [(n, None, "other_suffix", None) for n in ("notes.json.bak", "x.JSON", "x.txt")]
     assert sorted(os.listdir(drop)) == ["notes.json.bak", "x.JSON", "x.txt"]
+
+
+def test_lines_stay_in_place_for_their_numbers(spark, tmpdir_shared):
+    os.makedirs(f"{tmpdir_shared}/drop")
+    with open(f"{tmpdir_shared}/drop/a.json", "w") as f:
+        f.write("\n".join(['{"question":"q","answer":"a"}', "", "bad", '{"question":"r","answer":"b"}']))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = dropdir._stage_lines(spark, [f"{tmpdir_shared}/drop/a.json"], f"{tmpdir_shared}/st")
+        assert sorted(r["line_no"] for r in lines.collect()) == [1, 3, 4]
+        assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
