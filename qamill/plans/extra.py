@@ -29,12 +29,16 @@ from qamill.streaming.replay import start_replay, word_count_score
 
 DOC_SCHEMA = T.StructType([T.StructField("id", T.LongType())] + list(io.QA_SCHEMA.fields))
 
+#: Shards of a small table.
+ARROW_SHARDS = 4
+
 
 def q_arrow_scan(spark, sf_dir):
     """Land qa_docs as Arrow stream shards, scan them back."""
     root = scratch_dir(spark, "arrow")
     docs = S.qa_docs(spark, sf_dir).select("id", *C.QA_COLUMNS)
-    io.write_arrow(docs.repartition(4), root, "train").collect()   # one small row per shard
+    # As many shards as Spark reads the table in, at least ARROW_SHARDS: they grow in number, not in size.
+    io.write_arrow(docs.repartition(max(ARROW_SHARDS, docs.rdd.getNumPartitions())), root, "train").collect()   # one small row per shard
     return io.read_arrow(spark, root, "train", schema=DOC_SCHEMA)
 
 

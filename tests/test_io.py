@@ -48,3 +48,21 @@ def test_arrow_scan_path_with_space(spark, tmpdir_shared):
     io.write_arrow(df.repartition(2), root, "train").collect()
     back = io.read_arrow(spark, root, "train")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_arrow_scan_shards_grow_in_number(spark, tmpdir_shared):
+    from qamill.plans import extra
+    from qamill.sources import fs
+
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('q\\n', id) as text", "'en' as lang", "'s' as source", "1L as n_chars")
+    docs.repartition(9).write.parquet(f"{tmpdir_shared}/documents.parquet")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, "4096")
+    try:
+        out = extra.q_arrow_scan(spark, tmpdir_shared)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert out.rdd.getNumPartitions() >= 9 and out.count() == 4000
+    assert out.select("id").distinct().count() == 4000
