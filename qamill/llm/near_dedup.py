@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from qamill.llm import hashing as H
-from qamill.llm.tables import components, staged
+from qamill.llm.tables import components, passing, released, staged
 from qamill.session import ship_package
 
 SHINGLE = 5
@@ -163,13 +163,19 @@ def _reach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of class ids, those whose full sets reach the threshold."""
-    side = lambda c: classes.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    """Of pairs (a, b) of class ids, a staged table, those whose full sets reach the threshold; staged."""
+    used = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct()
+    # Sketches of the classes that pairs may name; the others are not shuffled.
+    near = classes.where(passing(used, "class"))
+    side = lambda c: near.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
         F.least("na", "nb") * THRESHOLD[1] >= F.greatest("na", "nb") * THRESHOLD[0])
     hopeful = staged(spark, sized.where(_hopeful()("sa", "sb", "na", "nb")).select("a", "b"), "candidates")
     needed = hopeful.select(F.col("a").alias("class")).union(hopeful.select(F.col("b").alias("class"))).distinct()
-    return _reach(hopeful, _sets(spark, docs, classes, needed))
+    sets = _sets(spark, docs, classes, needed)
+    out = staged(spark, _reach(hopeful, sets), "links")
+    released(spark, hopeful, sets)
+    return out
 
 
 def similar_sets(spark: SparkSession, sets: DataFrame) -> DataFrame:
@@ -211,13 +217,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
                      .withColumn("class", F.monotonically_increasing_id()), "classes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         i, F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+    # From here on the sketches are those of the classes alone.
+    named = staged(spark, sketched.drop("sketch"), "sizes")
+    released(spark, sketched)
     banded = classes.select("class", F.explode(band).alias("bucket"))
     leaders = banded.groupBy("bucket").agg(
         F.min(F.col("class").bitwiseXOR(F.col("bucket"))).alias("x"), F.count(F.lit(1)).alias("k")).where("k > 1")
     leaders = leaders.select("bucket", F.col("x").bitwiseXOR(F.col("bucket")).alias("leader"))
     members = staged(spark, banded.join(leaders, "bucket"), "buckets")
     stars = members.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
-    links = staged(spark, verified(spark, docs, classes, stars), "links")
+    stars = staged(spark, stars, "stars")
+    links = verified(spark, docs, classes, stars)
+    released(spark, stars)
     labels = staged(spark, components(spark, links), "labels")
     # What the leaders left apart: members of a band value in different components.
     placed = members.where("class <> leader").join(labels.withColumnRenamed("node", "class"), "class", "left").select(
@@ -225,16 +236,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("k")).where(
         "x < y").select("bucket", "k")
     apart = staged(spark, placed.join(mixed, "bucket"), "apart")
+    released(spark, members)
     few, many = apart.where(F.col("k") <= SMALL), apart.where(F.col("k") > SMALL).select("class", "label").distinct()
     pairs = few.select("bucket", F.col("class").alias("a"), F.col("label").alias("la")).join(
         few.select("bucket", F.col("class").alias("b"), F.col("label").alias("lb")), "bucket").where("a < b and la <> lb").select("a", "b").distinct()
-    more = staged(spark, verified(spark, docs, classes, pairs), "links")
+    pairs = staged(spark, pairs, "pairs")
+    more = verified(spark, docs, classes, pairs)
+    released(spark, pairs)
     if not many.isEmpty():
         many = staged(spark, many.join(_sets(spark, docs, classes, many.select("class")), "class"), "sets")
         more = staged(spark, more.union(similar_sets(spark, many)), "links")
     if not more.isEmpty():
         labels = staged(spark, components(spark, links.union(more)), "labels")
-    named = sketched.join(
+    named = named.join(
         classes.select("set_key", "class").join(labels.withColumnRenamed("node", "class"), "class", "left")
         .select("set_key", F.coalesce("label", "class").alias("label")), "set_key", "left")
     least = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
