@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from qamill.llm.columns import let, words
-from qamill.llm.tables import released, staged
+from qamill.llm.tables import constant, passing, released, staged
 
 SHINGLE = 5
 PART, WHOLE = 75, 100
@@ -47,9 +47,6 @@ HASH_BITS = 58
 LEVELS = 32
 #: Copies (three numbers each) that are sent to every task; more are taken out by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Size, in 64-bit words, of the table that lets the lines needed pass a scan (and others that share their bits).
-PASS_WORDS = 1 << 15
-
 
 #: What names a line, in the order that decides which line is the earlier one.
 PLACE = ["doc_id", "line_no", "row"]
@@ -70,43 +67,39 @@ def word_counts(docs: DataFrame) -> list[int]:
     return out
 
 
-def _constant(numbers: list[int], kind: str) -> Column:
-    """An array of numbers as one constant of the plan."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+def _line_words(line: Column) -> Column:
+    """Words of a line.  Lines whose only blanks are spaces, nearly all, need no regular expression to be split."""
+    plain = F.array_remove(F.split(line, " "), "")
+    return F.when(line.rlike(r"[\x09-\x0D]"), words(line)).otherwise(plain)
 
 
 def _tokens(line: Column, levels: Column) -> Column:
     """Distinct tokens of a line, rarest first; empty if it has no words."""
     low, high = F.lit((1 << HASH_BITS) - 1), F.lit(~((1 << HASH_BITS) - 1))
     # Each word as one number: level of its count above, hash below.
-    word = lambda x: F.xxhash64(x).bitwiseAND(low) + F.shiftleft(
-        F.get(levels, F.xxhash64(x).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), HASH_BITS)
-    token = lambda five: F.array_min(five).bitwiseAND(high) + F.xxhash64(five).bitwiseAND(low)
-    def windows(w: Column) -> Column:
-        return F.when(F.size(w) >= SHINGLE, F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.slice(w, i, SHINGLE))
-                      ).when(F.size(w) > 0, F.array(w)).otherwise(F.array().cast("array<array<bigint>>"))
-    return F.sort_array(F.array_distinct(F.transform(let(F.transform(words(F.lower(line)), word), windows), token)))
+    word = lambda h: h.bitwiseAND(low) + F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), HASH_BITS)
+    coded = F.transform(F.transform(_line_words(F.lower(line)), lambda x: F.xxhash64(x)), word)
+
+    def token(least: Column, hashed: Column) -> Column:
+        return least.bitwiseAND(high) + hashed.bitwiseAND(low)
+
+    def shingle(w: Column, i: Column) -> Column:
+        five = [F.get(w, i + j) if j else F.get(w, i) for j in range(SHINGLE)]
+        return token(F.least(*five), F.xxhash64(*five))
+
+    def tokens(w: Column) -> Column:
+        return F.when(F.size(w) >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: shingle(w, i))).when(
+            F.size(w) > 0, F.array(token(F.array_min(w), F.xxhash64(w)))).otherwise(F.array().cast("array<bigint>"))
+    return F.sort_array(F.array_distinct(let(coded, tokens)))
 
 
 def tokenized(lines: DataFrame, counts: list[int]) -> DataFrame:
     """lines with column ``tokens``."""
     top = math.log2(max(counts) + 2)
-    levels = _constant([int(LEVELS * math.log2(n + 1) / top) for n in counts], "bigint")
+    levels = constant([int(LEVELS * math.log2(n + 1) / top) for n in counts], "bigint")
     return lines.withColumn("tokens", _tokens(F.col("line"), levels))
 
 
-def _passing(ids: DataFrame) -> Column:
-    """Whether a line (PLACE) may be one of ids; PASS_WORDS numbers at most reach the driver."""
-    place = F.xxhash64(*PLACE).bitwiseAND(F.lit(PASS_WORDS * 64 - 1))
-    bits = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-    table = [0] * PASS_WORDS
-    for r in bits.toLocalIterator():
-        table[r["w"]] = r["bits"]
-    word = F.get(_constant(table, "bigint"), F.shiftright(place, 6).cast("int"))
-    return F.lit(0).cast("long") != word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")))
-
-
 def _parity(tokens: Column) -> Column:
     """Four numbers: of each of 256 places, whether an odd number of tokens falls on it."""
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
@@ -154,7 +147,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "token", *PLACE, "n", "at", *[F.first(c).over(order).alias(f"{c}0") for c in (*PLACE, "n", "at")]), "shared")
     # The whole sets of those lines that share a token with another.
     ids = staged(spark, shared.select(*PLACE).distinct(), "ids")
-    picked = tokenized(lines.where(_passing(ids)), counts).join(ids, PLACE, "left_semi").dropDuplicates(PLACE)
+    picked = tokenized(lines.where(passing(ids)), counts).join(ids, PLACE, "left_semi").dropDuplicates(PLACE)
     sets = staged(spark, picked.select(*PLACE, "tokens"), "sets")
     released(spark, ids)
     place0 = [f"{c}0" for c in PLACE]
@@ -198,7 +191,11 @@ def deduplicated(spark: SparkSession, docs: DataFrame, drop_emptied: bool = Fals
     gone = removed_lines(spark, docs).groupBy(F.col("doc_id").alias("removed_id"), F.col("row").alias("removed_row")).agg(
         F.collect_set("line_no").alias("removed_lines"))
     rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("id"), row_key().alias("key"))
-    out = rows.join(gone, (F.col("id") == F.col("removed_id")) & (F.col("key") == F.col("removed_row")), "left")
+    # Rows that lose no line stay where they are: only those that may do meet in the join.
+    gone = staged(spark, gone, "removed")
+    may = F.col("id").isNotNull() & passing(gone.select("removed_id", "removed_row"), "id", "key")
+    rest = rows.where(~may).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in gone.schema])
+    out = rows.where(may).join(gone, (F.col("id") == F.col("removed_id")) & (F.col("key") == F.col("removed_row")), "left").unionByName(rest)
     kept = let(F.split(F.col("whole.text").cast("string"), "\n"), lambda x: F.transform(F.array_except(
         F.sequence(F.lit(0), F.size(x) - 1), F.col("removed_lines")), lambda i: F.get(x, i)))
     text = F.when(F.col("removed_lines").isNull(), F.col("whole.text")).otherwise(F.array_join(kept, "\n"))
